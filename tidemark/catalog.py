@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from tidemark import fixtures as fx
 from tidemark.functions.columns import ts_text
 from tidemark.functions.constants import EXPIRY
-from tidemark.operators import tags
-from tidemark.plans.incremental import chain
+from tidemark.operators import dimensional, tags
+from tidemark.plans.incremental import chain, step
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,8 +55,61 @@ def tag_changes(kind: str, batch: int) -> Query:
     return q
 
 
+def _gold_chain(spark: SparkSession, sf_dir: str, batches: int):
+    """Gold upsert of the customer dimension from two Live snapshots."""
+    out = []
+    target = None
+    for cutoff in fx.LIVE_CUTOFFS[:batches]:
+        live = fx.live_customers(spark, sf_dir, cutoff)
+        if target is None:
+            target = spark.createDataFrame([], live.schema)
+        r = step("dimensional", live, target, fx.CUSTOMER_KEYS, fx.GOLD_NOW, fx.GOLD_NOW)
+        out.append((live, r))
+        target = r.state
+    return out
+
+
+def dim_state(batches: int) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _gold_chain(spark, sf_dir, batches)[-1][1].state
+
+    return q
+
+
+def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_chain(spark, sf_dir, 2)[-1][1].changes
+
+
+def dim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    live, r = _gold_chain(spark, sf_dir, 2)[-1]
+    w = r.window
+    return dimensional.upsert_candidates(live, fx.CUSTOMER_KEYS, w.date_from, w.date_to)
+
+
+def window_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds of every batch of every loader: from, to, watermark, gate."""
+    rows = []
+    for kind in ("first", "latest", "history"):
+        for i, r in enumerate(_tag_chain(spark, sf_dir, kind, 3), start=1):
+            w = r.window
+            rows.append((kind, i, w.date_from, w.date_to, w.watermark, w.is_open, w.message))
+    for i, (_, r) in enumerate(_gold_chain(spark, sf_dir, 2), start=1):
+        w = r.window
+        rows.append(("dimensional", i, w.date_from, w.date_to, w.watermark, w.is_open, w.message))
+    schema = (
+        "target string, batch int, DateFrom timestamp_ntz, DateTo timestamp_ntz,"
+        " Watermark timestamp_ntz, Processed boolean, Message string"
+    )
+    return spark.createDataFrame(rows, schema)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "dim_upsert_initial": dim_state(1),
+        "dim_upsert_incremental": dim_state(2),
+        "dim_changes": dim_changes,
+        "dim_candidates": dim_candidates,
+        "window_bounds": window_bounds,
         "tag_first_initial": tag_state("first", 1),
         "tag_first_incremental": tag_state("first", 3),
         "tag_first_changes": tag_changes("first", 2),
