@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark import fixtures as fx
 from tidemark.functions.columns import ts_text
 from tidemark.functions.constants import EXPIRY
-from tidemark.operators import dimensional, tags
+from tidemark.operators import dimensional, runlog, tags
 from tidemark.plans.incremental import chain, step
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,8 +103,23 @@ def window_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def log_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlog.log_summary(fx.log_rows(spark, sf_dir))
+
+
+def log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlog.log_latest(fx.log_rows(spark, sf_dir))
+
+
+def log_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlog.log_fold(fx.log_events(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "log_summary": log_summary,
+        "log_latest": log_latest,
+        "log_fold": log_fold,
         "dim_upsert_initial": dim_state(1),
         "dim_upsert_incremental": dim_state(2),
         "dim_changes": dim_changes,

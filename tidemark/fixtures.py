@@ -74,3 +74,64 @@ def live_customers(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime) -> Da
             F.max("o_orderdate").alias("UpdateTimestamp"),
         )
     )
+
+
+def _step_of_event() -> F.Column:
+    return (
+        F.when(F.col("event_type") == "click", "Dates")
+        .when(F.col("event_type") == "view", "Insert")
+        .when(F.col("event_type") == "purchase", "Update")
+        .when(F.col("event_type") == "error", "Delete")
+        .otherwise("X-Prepare")
+    )
+
+
+def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run-log table (one row per step) derived from ``events``.
+
+    LogId is the event id (increasing in arrival order, like an identity).
+    """
+    e = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    return e.select(
+        eid.alias("LogId"),
+        F.to_date("ts").cast("timestamp_ntz").alias("LoadDate"),
+        (F.lit(1) + F.floor(F.hour("ts") / 12)).cast("smallint").alias("Run"),
+        F.concat(F.lit("P"), (F.col("user_id") % 5).cast("string")).alias("Procedure"),
+        _step_of_event().alias("Step"),
+        F.when(eid % 97 == 0, "Failed").when(eid % 89 == 0, "Running").otherwise("Success").alias("Status"),
+        F.col("ts").alias("StartDateTime"),
+        F.when((eid % 89 == 0) & (eid % 97 != 0), F.lit(None))
+        .otherwise(F.expr("timestampadd(SECOND, cast(event_id % 600 as int), ts)"))
+        .alias("EndDateTime"),
+        F.concat(F.lit("m"), eid.cast("string")).alias("Message"),
+        F.when(eid % 11 == 0, F.lit(None).cast("bigint"))
+        .when(F.col("user_id") % 5 == 0, F.lit(0).cast("bigint"))
+        .otherwise(F.floor("value").cast("bigint"))
+        .alias("RowsProcessed"),
+    )
+
+
+def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Step events (calls of the logging step) derived from ``events``.
+
+    Arrival order is the event id; groups are (day, procedure).  Starts
+    without a row count re-open a run when their step repeats.
+    """
+    e = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    status = F.when(eid % 13 == 0, "Failed").when(eid % 4 == 0, "Success").otherwise("Start")
+    return e.select(
+        eid.alias("seq"),
+        F.col("ts").alias("EventTime"),
+        F.to_date("ts").cast("timestamp_ntz").alias("LoadDate"),
+        F.concat(F.lit("P"), (F.col("user_id") % 3).cast("string")).alias("Procedure"),
+        _step_of_event().alias("Step"),
+        status.alias("Status"),
+        F.when(eid % 6 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("m"), eid.cast("string")))
+        .alias("Message"),
+        F.when((eid % 5 == 0) | ((status == "Start") & (eid % 2 == 0)), F.lit(None).cast("bigint"))
+        .otherwise(F.floor("value").cast("bigint"))
+        .alias("RowsProcessed"),
+    )
