@@ -16,6 +16,7 @@ from tidemark import fixtures as fx
 from tidemark.functions.columns import ts_text
 from tidemark.functions.constants import EXPIRY
 from tidemark.operators import dimensional, runlog, tags
+from tidemark.plans import partitions as pp
 from tidemark.plans.incremental import chain, step
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,8 +116,65 @@ def log_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.log_fold(fx.log_events(spark, sf_dir))
 
 
+def partition_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pp.grain_stats(fx.boundaries(spark, sf_dir))
+
+
+def _plan_bounds(spark: SparkSession, sf_dir: str, first=None):
+    values = fx.boundaries(spark, sf_dir)
+    return values, pp.plan_bounds(values, boundary=fx.PLAN_BOUNDARY, first_boundary=first)
+
+
+def partition_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bounds = _plan_bounds(spark, sf_dir)
+    return pp.boundary_spine(spark, bounds)
+
+
+# (case, first boundary, gap fill, trim)
+PLAN_CASES = (
+    ("keep", None, False, False),
+    ("trim", None, False, True),
+    ("gapfill", None, True, False),
+    ("gapfill_trim", None, True, True),
+    ("first_trim", fx.PLAN_FIRST_BOUNDARY, False, True),
+)
+
+
+def partition_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for name, first, gap, trim in PLAN_CASES:
+        values, bounds = _plan_bounds(spark, sf_dir, first)
+        plan = pp.partition_plan(spark, values, bounds, gap_fill=gap, trim=trim).select(
+            F.lit(name).alias("Case"), "*"
+        )
+        out = plan if out is None else out.unionByName(plan)
+    return out
+
+
+def partition_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pp.partition_tiers(fx.partition_list(spark, sf_dir))
+
+
+def partition_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows a tier rewrite touches, with the tier they are rewritten into."""
+    plist = fx.partition_list(spark, sf_dir)
+    tiers = pp.partition_tiers(plist).join(
+        plist.select("SchemaName", "ObjectName", "PartitionNumber", "PartitionValue"),
+        ["SchemaName", "ObjectName", "PartitionNumber"],
+    )
+    rows = pp.tier_rows(
+        fx.partitioned_lineitem(spark, sf_dir), tiers, ["SchemaName", "ObjectName", "PartitionValue"]
+    )
+    return rows.select("l_orderkey", "l_linenumber", "ObjectName", "PartitionNumber", "TargetCompression")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "partition_grain": partition_grain,
+        "partition_spine": partition_spine,
+        "partition_plan": partition_plan,
+        "partition_tiers": partition_tiers,
+        "partition_recompress": partition_recompress,
         "log_summary": log_summary,
         "log_latest": log_latest,
         "log_fold": log_fold,

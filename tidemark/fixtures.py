@@ -135,3 +135,48 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.floor("value").cast("bigint"))
         .alias("RowsProcessed"),
     )
+
+
+# --- fixed values: partition-plan parameters -------------------------------------
+PLAN_BOUNDARY = _dt.datetime(2002, 3, 1)
+PLAN_FIRST_BOUNDARY = _dt.datetime(1996, 1, 1)
+TIER_SPLIT = _dt.datetime(1996, 1, 1)
+
+
+def _ship_month() -> F.Column:
+    return F.trunc(F.col("l_shipdate").cast("date"), "MM").cast("timestamp_ntz")
+
+
+def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing monthly boundaries of a dataset: ship months, every July missing."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.where(F.month("l_shipdate") != 7).select(_ship_month().alias("Value")).distinct()
+
+
+def partitioned_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as three datasets (by return flag) partitioned by ship month."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_shipdate",
+        F.lit("tpch").alias("SchemaName"),
+        F.concat(F.lit("lineitem_"), F.col("l_returnflag")).alias("ObjectName"),
+        _ship_month().alias("PartitionValue"),
+    )
+
+
+def partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions of those datasets: number (by month) and current tier."""
+    parts = partitioned_lineitem(spark, sf_dir).select("SchemaName", "ObjectName", "PartitionValue").distinct()
+    from pyspark.sql import Window
+
+    n = F.row_number().over(Window.partitionBy("SchemaName", "ObjectName").orderBy("PartitionValue"))
+    split = F.lit(TIER_SPLIT.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return parts.select(
+        "SchemaName",
+        "ObjectName",
+        "PartitionValue",
+        n.alias("PartitionNumber"),
+        F.when(F.col("PartitionValue") < split, "PAGE").otherwise("ROW").alias("CurrentCompression"),
+    )
