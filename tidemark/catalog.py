@@ -16,7 +16,9 @@ from tidemark import fixtures as fx
 from tidemark.functions.columns import ts_text
 from tidemark.functions.constants import EXPIRY
 from tidemark.operators import dimensional, runlog, tags
+from tidemark.plans import control
 from tidemark.plans import partitions as pp
+from tidemark.plans.pairs import discover_gold_pairs, discover_silver_pairs
 from tidemark.plans.incremental import chain, step
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,8 +170,67 @@ def partition_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", "ObjectName", "PartitionNumber", "TargetCompression")
 
 
+def silver_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    registry = fx.silver_warehouse(spark, sf_dir).registry()
+    out = None
+    for kind in fx.TAG_KINDS:
+        p = discover_silver_pairs(registry, kind).select(F.lit(kind).alias("kind"), "*")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = fx.gold_warehouse(spark, sf_dir, fx.LIVE_CUTOFFS[0])
+    return discover_gold_pairs(wh.registry())
+
+
+def _silver_report(spark: SparkSession, sf_dir: str, kind: str) -> control.ControlReport:
+    """Two driver runs (limits 1996-01-01, then 2003-01-01); the second's report."""
+    wh = fx.silver_warehouse(spark, sf_dir)
+    report = None
+    for limit, now in zip(fx.CONTROL_LIMITS, fx.BATCH_NOWS, strict=False):
+        report = control.run_control(
+            kind, wh, date_limit=limit, now=now, raise_on_failure=False, validate=False
+        )
+    return report
+
+
+def _gold_report(spark: SparkSession, sf_dir: str) -> control.ControlReport:
+    """Gold driver over the Live views at the first cut-off, then the second."""
+    wh = None
+    report = None
+    for cutoff in fx.LIVE_CUTOFFS:
+        wh = fx.gold_warehouse(spark, sf_dir, cutoff, wh)
+        report = control.run_control(
+            "dimensional", wh, date_limit=fx.GOLD_NOW, now=fx.GOLD_NOW, raise_on_failure=False
+        )
+    return report
+
+
+def control_report(kind: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if kind == "dimensional":
+            return _gold_report(spark, sf_dir).to_df(spark)
+        return _silver_report(spark, sf_dir, kind).to_df(spark)
+
+    return q
+
+
+def failure_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reports = [_silver_report(spark, sf_dir, k) for k in fx.TAG_KINDS]
+    reports.append(_gold_report(spark, sf_dir))
+    return control.failure_frame(spark, reports)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "discover_silver_pairs": silver_pairs,
+        "discover_gold_pairs": gold_pairs,
+        "control_first_report": control_report("first"),
+        "control_latest_report": control_report("latest"),
+        "control_history_report": control_report("history"),
+        "control_dimensional_report": control_report("dimensional"),
+        "failure_message": failure_message,
         "partition_grain": partition_grain,
         "partition_spine": partition_spine,
         "partition_plan": partition_plan,

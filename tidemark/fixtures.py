@@ -180,3 +180,92 @@ def partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         n.alias("PartitionNumber"),
         F.when(F.col("PartitionValue") < split, "PAGE").otherwise("ROW").alias("CurrentCompression"),
     )
+
+
+# --- fixed values: warehouse layout of the driver fixtures -------------------------
+SILVER_WATERMARK = _dt.datetime(1996, 4, 1)
+CONTROL_LIMITS = (_dt.datetime(1996, 1, 1), _dt.datetime(2003, 1, 1))
+TAG_KINDS = ("first", "latest", "history")
+
+
+def segments(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Market segments of the customers (a handful of values)."""
+    rows = table(spark, sf_dir, "customer").select("c_mktsegment").distinct().collect()
+    return sorted(r[0] for r in rows)
+
+
+def schema_name(segment: str) -> str:
+    return segment.capitalize()
+
+
+def segment_feed(spark: SparkSession, sf_dir: str, segment: str) -> DataFrame:
+    """The change feed of one segment's customers (a silver source table)."""
+    cust = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == segment).select(F.col("c_custkey").alias("k"))
+    return tag_source(spark, sf_dir).join(cust, "k", "left_semi")
+
+
+def silver_warehouse(spark: SparkSession, sf_dir: str):
+    """Per segment: table ``Seg.Orders`` and view ``Seg_Derived.Returns``
+    (delete actions only), their First / Latest / History tag tables in
+    ``Seg_Tag``, a source without a target (``Seg.Lines``) and a tag-named
+    view that must not match (``Seg_Tag.Lines_Latest``).  The last segment's
+    tag schema has no high watermark, so its pairs fail."""
+    from tidemark.operators.tags import empty_target
+    from tidemark.sources.warehouse import FrameWarehouse
+    from tidemark.spec import TableSpec
+
+    wh = FrameWarehouse(spark)
+    segs = segments(spark, sf_dir)
+    for n, seg in enumerate(segs):
+        s = schema_name(seg)
+        feed = segment_feed(spark, sf_dir, seg)
+        wh.tables[(s, "Orders")] = feed
+        wh.tables[(s, "Lines")] = feed
+        wh.views[(s + "_Derived", "Returns")] = feed.where(F.col("LakeActionCode") == "D")
+        wh.views[(s + "_Tag", "Lines_Latest")] = feed
+        for obj in ("Orders", "Returns"):
+            for kind in TAG_KINDS:
+                name = f"{obj}_{kind.capitalize()}"
+                wh.tables[(s + "_Tag", name)] = empty_target(spark, feed, TAG_KEYS, kind)
+                wh.specs[(s + "_Tag", name)] = TableSpec(name, TAG_KEYS)
+        if n < len(segs) - 1:
+            wh.tables[(s + "_Tag", "__high_watermark")] = spark.createDataFrame(
+                [(SILVER_WATERMARK,)], "LakeTimestamp timestamp_ntz"
+            )
+    return wh
+
+
+def live_segment_nation(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime) -> DataFrame:
+    """A Live view keyed (wrongly) by segment alone: one row per segment and nation."""
+    live = live_customers(spark, sf_dir, cutoff)
+    return live.groupBy("c_mktsegment", "n_name").agg(
+        F.sum("order_count").alias("order_count"), F.max("UpdateTimestamp").alias("UpdateTimestamp")
+    )
+
+
+def gold_warehouse(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime, wh=None):
+    """Per segment ``Dimension.Customer_<Seg>`` fed by ``Live.Customer_<Seg>``;
+    ``Other.Customer_<Seg>`` must not match; ``Fact.SegmentNation`` is fed by
+    a Live view with duplicate keys, so it fails; ``Bridge.Unfed`` has no
+    Live source.  Passing ``wh`` swaps in the Live views at a new cut-off."""
+    from tidemark.sources.warehouse import FrameWarehouse
+    from tidemark.spec import TableSpec
+
+    fresh = wh is None
+    wh = wh or FrameWarehouse(spark)
+    live = live_customers(spark, sf_dir, cutoff)
+    for seg in segments(spark, sf_dir):
+        name = "Customer_" + schema_name(seg)
+        view = live.where(F.col("c_mktsegment") == seg)
+        wh.views[("Live", name)] = view
+        if fresh:
+            wh.tables[("Dimension", name)] = spark.createDataFrame([], view.schema)
+            wh.specs[("Dimension", name)] = TableSpec(name, CUSTOMER_KEYS)
+            wh.tables[("Other", name)] = spark.createDataFrame([], view.schema)
+    sn = live_segment_nation(spark, sf_dir, cutoff)
+    wh.views[("Live", "SegmentNation")] = sn
+    if fresh:
+        wh.tables[("Fact", "SegmentNation")] = spark.createDataFrame([], sn.schema)
+        wh.specs[("Fact", "SegmentNation")] = TableSpec("SegmentNation", ("c_mktsegment",))
+        wh.tables[("Bridge", "Unfed")] = spark.createDataFrame([], sn.schema)
+    return wh
