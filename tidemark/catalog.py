@@ -19,9 +19,12 @@ from tidemark.operators import dimensional, runlog, tags
 from tidemark.plans import control
 from tidemark.plans import partitions as pp
 from tidemark.plans.pairs import discover_gold_pairs, discover_silver_pairs
+from tidemark.sources import remote
 from tidemark.plans.incremental import chain, step
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Independent pairs of a driver run are loaded concurrently.
+PAIR_THREADS = 8
 
 
 def _tag_chain(spark: SparkSession, sf_dir: str, kind: str, batches: int):
@@ -190,7 +193,7 @@ def _silver_report(spark: SparkSession, sf_dir: str, kind: str) -> control.Contr
     report = None
     for limit, now in zip(fx.CONTROL_LIMITS, fx.BATCH_NOWS, strict=False):
         report = control.run_control(
-            kind, wh, date_limit=limit, now=now, raise_on_failure=False, validate=False
+            kind, wh, date_limit=limit, now=now, raise_on_failure=False, parallelism=PAIR_THREADS
         )
     return report
 
@@ -202,7 +205,8 @@ def _gold_report(spark: SparkSession, sf_dir: str) -> control.ControlReport:
     for cutoff in fx.LIVE_CUTOFFS:
         wh = fx.gold_warehouse(spark, sf_dir, cutoff, wh)
         report = control.run_control(
-            "dimensional", wh, date_limit=fx.GOLD_NOW, now=fx.GOLD_NOW, raise_on_failure=False
+            "dimensional", wh, date_limit=fx.GOLD_NOW, now=fx.GOLD_NOW, raise_on_failure=False,
+            parallelism=PAIR_THREADS,
         )
     return report
 
@@ -222,8 +226,20 @@ def failure_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.failure_frame(spark, reports)
 
 
+REMOTE_QUERY_TEXT = (
+    "SELECT o_orderstatus, count(*) AS n_orders, sum(o_totalprice) AS total_price, "
+    "min(o_orderdate) AS first_order FROM {orders} GROUP BY o_orderstatus"
+)
+
+
+def remote_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query text as a source, run locally with the table bound to it."""
+    return remote.remote_query(spark, REMOTE_QUERY_TEXT, orders=fx.table(spark, sf_dir, "orders"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "remote_query": remote_query,
         "discover_silver_pairs": silver_pairs,
         "discover_gold_pairs": gold_pairs,
         "control_first_report": control_report("first"),

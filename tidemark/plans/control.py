@@ -135,24 +135,27 @@ def load_pair(
             return result
         log.add(load_date, me, STEP_CODE, STATUS_START, f"{LOADERS[kind].name} {w.message}")
         if not dry_run:
-            changes = result.changes.persist()
+            counting = getattr(wh, "record_counts", True)
+            changes = result.changes.persist() if counting else result.changes
             try:
                 if validate:
                     assert_no_null_keys(changes, spec.keys, ".".join(source))
                     if kind == "dimensional":
                         assert_unique_keys(changes, spec.keys, ".".join(source))
-                counts = _counts(changes)
+                counts = _counts(changes) if counting else {}
+                total = sum(counts.values()) if counting else w.rows
                 first, update, insert = STEPS[kind]
                 log.add(load_date, me, first, STATUS_START, rows=0)
                 if update:
-                    log.add(load_date, me, update, STATUS_START, rows=sum(counts.values()))
+                    log.add(load_date, me, update, STATUS_START, rows=total)
                     log.add(load_date, me, insert, STATUS_START, rows=counts.get("U", 0))
                 else:
-                    log.add(load_date, me, insert, STATUS_START, rows=sum(counts.values()))
-                wh.commit(*target, kind, result.state, changes, sum(counts.values()))
+                    log.add(load_date, me, insert, STATUS_START, rows=total)
+                wh.commit(*target, kind, result.state, changes, total)
                 log.add(load_date, me, None, STATUS_SUCCESS, rows=counts.get("I", 0))
             finally:
-                changes.unpersist()
+                if counting:
+                    changes.unpersist()
         log.add(load_date, me, None, STATUS_SUCCESS)
         return result
     except Exception as e:

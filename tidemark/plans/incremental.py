@@ -79,12 +79,20 @@ def chain(
     keys: Sequence[str],
     watermarks: Sequence[_dt.datetime],
     nows: Sequence[_dt.datetime],
+    materialize: bool = True,
     **options,
 ) -> list[StepResult]:
-    """Successive steps, one per (watermark, now), each on the previous state."""
+    """Successive steps, one per (watermark, now), each on the previous state.
+
+    With ``materialize`` each intermediate state is checkpointed to the
+    shared checkpoint folder, as a real run writes its target: the next
+    batch then reads the state instead of re-deriving all earlier batches.
+    """
     out: list[StepResult] = []
-    for wm, now in zip(watermarks, nows, strict=True):
+    for n, (wm, now) in enumerate(zip(watermarks, nows, strict=True), start=1):
         r = step(kind, source, target, keys, wm, now, **options)
+        if materialize and n < len(watermarks) and r.changes is not None:
+            r = StepResult(r.window, r.changes, r.state.checkpoint())
         out.append(r)
         target = r.state
     return out

@@ -44,6 +44,8 @@ Name = tuple[str, str]
 class FrameWarehouse:
     """An in-memory warehouse of DataFrames (dry runs, tests, the catalog)."""
 
+    # Commits keep lazy states, so nothing is counted or materialised.
+    record_counts = False
     spark: SparkSession
     tables: dict[Name, DataFrame] = field(default_factory=dict)
     views: dict[Name, DataFrame] = field(default_factory=dict)
@@ -79,6 +81,8 @@ class FrameWarehouse:
 class ParquetWarehouse:
     """Declared tables stored as keyed parquet directories under ``root``."""
 
+    record_counts = True
+
     def __init__(
         self,
         spark: SparkSession,
