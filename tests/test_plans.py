@@ -57,4 +57,4 @@ def test_history_uses_one_exchange_and_one_sort_for_its_windows(spark, scratch):
     tree = plan_text(ch).split("\n\n")[0]
     assert tree.count("Window (") == 2 and tree.count("Sort (") == 1
     # one exchange feeds the windows; the other builds the broadcast first captures
-    assert tree.count("Exchange (") == 2 and "BroadcastHashJoin Inner" in tree
+    assert tree.count("- Exchange (") == 2 and "BroadcastHashJoin Inner" in tree
