@@ -86,3 +86,13 @@ def test_latest_keeps_newest_runs(spark):
     )
     out = runlog.log_latest(log, n=3).collect()
     assert [r["Run"] for r in out] == [7, 6, 5]
+
+
+def test_fold_with_hot_groups_split_matches_plain(spark):
+    # every group counts as hot: all running scans are cut into parts
+    from tidemark import fixtures as fx
+
+    ev = fx.log_events(spark, "/root/testdata/sf0.001")
+    plain = sorted(tuple(r) for r in runlog.log_fold(ev).collect())
+    split = sorted(tuple(r) for r in runlog.log_fold(ev, hot_rows=3).collect())
+    assert split == plain

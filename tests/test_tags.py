@@ -159,3 +159,15 @@ def test_latest_and_history_do_not_depend_on_batching(spark):
         one = chain(kind, src, empty, KEYS, marks[-1:], nows[-1:])[-1].state
         many = chain(kind, src, empty, KEYS, marks, nows)[-1].state
         assert rows(one, *cols) == rows(many, *cols)
+
+
+def test_hot_keys_split_gives_the_same_history(spark):
+    # every key counts as hot: versions are cut into parts and carried over
+    from tidemark import fixtures as fx
+
+    src = fx.tag_source(spark, "/root/testdata/sf0.001")
+    empty = tags.empty_target(spark, src, KEYS, "history")
+    marks, nows = [d("1996-01-01"), d("2003-01-01")], [NOW1, NOW2]
+    plain = chain("history", src, empty, KEYS, marks, nows)[-1].state
+    split = chain("history", src, empty, KEYS, marks, nows, hot_rows=2)[-1].state
+    assert rows(split) == rows(plain)

@@ -11,7 +11,8 @@ log table is a fold over them, computed with windows and aggregates:
    bump is the first such ``Start`` whose previous same-step start lies in
    the run.  That "next bump" pointer is a reverse running minimum; the
    chain from each group's first event is found by pointer doubling
-   (O(log runs) joins), not by walking rows one by one.
+   (O(log runs) joins), not by walking rows one by one.  All running scans
+   cut a group with very many events into ordered parts (``scan.py``).
 2. Each ``Start`` opens a row (``LogId`` = its sequence number).  Later
    ``Success`` / ``Failed`` events update the newest row: status and end
    time from the last one; message and row count from the last ``Failed``
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import like_any, seconds_crossed, time_of_day_text, ts_text
+from tidemark.operators.scan import Parted, running, with_parts
 from tidemark.functions.constants import (
     DELETE_PATTERNS,
     INSERT_PATTERNS,
@@ -126,80 +128,90 @@ def _is(status: str) -> Column:
     return F.col("Status") == status
 
 
-def run_bumps(events: DataFrame) -> DataFrame:
+def run_bumps(events: Parted, hot_rows: int | None = None) -> DataFrame:
     """``(LoadDate, Procedure, seq)`` of the Start events that begin a new run."""
     g = list(GROUP)
-    starts = events.where(_is(STATUS_START))
-    prev = F.lag("seq").over(Window.partitionBy(*g, "Step").orderBy("seq"))
-    cand = (
-        starts.select(*g, "seq", "RowsProcessed", prev.alias("p"))
-        .where(F.col("RowsProcessed").isNull() & F.col("p").isNotNull())
-        .select(*g, "seq", "p")
-    )
-    firsts = events.groupBy(*g).agg(F.min("seq").alias("node"))
+    starts = Parted(events.df.where(_is(STATUS_START)), events.group, events.split)
+    prev = running(starts, [*g, "Step"], ["seq"], F.col("seq"), "max", "p", inclusive=False).df
+    cand = prev.where(F.col("RowsProcessed").isNull() & F.col("p").isNotNull()).select(*g, "seq", "p")
+    firsts = events.df.groupBy(*g).agg(F.min("seq").alias("node"))
     # next bump after node i = min{ j : p(j) >= i }: a reverse running minimum
     # over values keyed by p(j) and queries keyed by i (values first on ties).
-    marks = cand.select(
-        *g, F.col("p").alias("key"), F.lit(0).alias("kind"), F.col("seq").alias("val"), F.lit(None).cast("bigint").alias("node")
-    ).unionByName(
-        cand.select(*g, F.col("seq").alias("key"), F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("val"), F.col("seq").alias("node"))
-    ).unionByName(
-        firsts.select(*g, F.col("node").alias("key"), F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("val"), "node")
-    )
-    w = (
-        Window.partitionBy(*g)
-        .orderBy(F.col("key").desc(), F.col("kind").asc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    nothing = F.lit(None).cast("bigint")
+    marks = (
+        cand.select(*g, F.col("p").alias("key"), F.lit(1).alias("kind"), F.col("seq").alias("val"), nothing.alias("node"))
+        .unionByName(cand.select(*g, F.col("seq").alias("key"), F.lit(0).alias("kind"), nothing.alias("val"), F.col("seq").alias("node")))
+        .unionByName(firsts.select(*g, F.col("node").alias("key"), F.lit(0).alias("kind"), nothing.alias("val"), "node"))
     )
+    parted = with_parts(marks, g, F.col("key"), hot_rows)
     jump = (
-        marks.select(*g, "kind", "node", F.min("val").over(w).alias("dst"))
-        .where((F.col("kind") == 1) & F.col("dst").isNotNull())
+        running(parted, g, ["key", "kind"], F.col("val"), "min", "dst", reverse=True)
+        .df.where((F.col("kind") == 0) & F.col("dst").isNotNull())
         .select(*g, F.col("node").alias("src"), "dst")
     )
     reached = firsts.select(*g, "node", F.lit(True).alias("first"))
     # Pointer doubling: after round r, `reached` holds the chain nodes at
     # distance < 2^(r+1) and `jump` maps a node to its 2^(r+1)-th successor.
+    # The jump table is joined with itself, so it is checkpointed every
+    # round (its plan would double otherwise); `reached` every eighth.
+    jump = jump.checkpoint()
+    rounds = 0
     while True:
-        jump = jump.checkpoint()
+        rounds += 1
         r, j = reached.alias("r"), jump.alias("j")
         same = [F.col(f"r.{c}") == F.col(f"j.{c}") for c in g]
         hop = r.join(j, [*same, F.col("r.node") == F.col("j.src")]).select(
             *[F.col(f"r.{c}").alias(c) for c in g], F.col("j.dst").alias("node"), F.lit(False).alias("first")
         )
-        reached = reached.unionByName(hop).checkpoint()
+        reached = reached.unionByName(hop)
+        if rounds % 8 == 0:
+            reached = reached.checkpoint()
         a, b = jump.alias("a"), jump.alias("b")
         same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in g]
-        jump = a.join(b, [*same, F.col("a.dst") == F.col("b.src")]).select(
-            *[F.col(f"a.{c}").alias(c) for c in g], F.col("a.src").alias("src"), F.col("b.dst").alias("dst")
+        jump = (
+            a.join(b, [*same, F.col("a.dst") == F.col("b.src")])
+            .select(*[F.col(f"a.{c}").alias(c) for c in g], F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))
+            .checkpoint()
         )
         if jump.isEmpty():
             break
     return reached.where(~F.col("first")).select(*g, F.col("node").alias("seq"))
 
 
-def log_fold(events: DataFrame) -> DataFrame:
-    """Log rows (``LOG_COLUMNS``) from step events in arrival order ``seq``."""
+def log_fold(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Log rows (``LOG_COLUMNS``) from step events in arrival order ``seq``.
+
+    The running scans (previous same-step start, run number, current row,
+    next start) cut a group with more than ``hot_rows`` events into ordered
+    parts (``scan.py``), so one busy procedure is not one task.
+    """
     g = list(GROUP)
-    bumps = run_bumps(events).withColumn("_bump", F.lit(1))
-    ev = events.join(bumps, [*g, "seq"], "left")
-    upto = Window.partitionBy(*g).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ev = ev.select(
-        *EVENT_COLUMNS,
-        (F.lit(1) + F.sum(F.coalesce(F.col("_bump"), F.lit(0))).over(upto)).alias("Run"),
-        F.coalesce(F.col("_bump"), F.lit(0)).alias("_bump"),
-        F.max(F.when(_is(STATUS_START), F.col("seq"))).over(upto).alias("LogId"),
+    parted = with_parts(events.select(*EVENT_COLUMNS), g, F.col("seq"), hot_rows)
+    bumps = run_bumps(parted, hot_rows).withColumn("_bump", F.lit(1))
+    ev = Parted(
+        parted.df.join(bumps, [*g, "seq"], "left").withColumn("_bump", F.coalesce(F.col("_bump"), F.lit(0))),
+        parted.group,
+        parted.split,
+    )
+    ev = running(ev, g, ["seq"], F.col("_bump"), "sum", "_bumps")
+    ev = running(ev, g, ["seq"], F.when(_is(STATUS_START), F.col("seq")), "max", "LogId")
+    ev = ev.df.withColumn("Run", F.lit(1) + F.col("_bumps"))
+    later = F.struct(
+        F.col("seq").alias("s"), F.col("EventTime").alias("at"), F.col("RowsProcessed").alias("rows"), F.col("_bump").alias("bump")
     )
-    nxt = Window.partitionBy(*g).orderBy("seq")
-    starts = ev.where(_is(STATUS_START)).select(
+    starts = running(
+        Parted(ev.where(_is(STATUS_START)), parted.group, parted.split),
+        g, ["seq"], later, "min", "_next", reverse=True, inclusive=False,
+    ).df.select(
         *g,
         "LogId",
         "Run",
         "Step",
         F.col("EventTime").alias("StartDateTime"),
         F.col("Message").alias("_start_message"),
-        F.lead("EventTime").over(nxt).alias("_next_at"),
-        F.lead("RowsProcessed").over(nxt).alias("_next_rows"),
-        F.lead("_bump").over(nxt).alias("_next_bump"),
+        F.col("_next.at").alias("_next_at"),
+        F.col("_next.rows").alias("_next_rows"),
+        F.col("_next.bump").alias("_next_bump"),
     )
     done = _is(STATUS_SUCCESS) | _is(STATUS_FAILED)
     updates = (
@@ -216,20 +228,20 @@ def log_fold(events: DataFrame) -> DataFrame:
         )
     )
     r = starts.join(updates, [*g, "LogId"], "left")
-    running = F.col("_last").isNull()
-    closed = running & F.col("_next_at").isNotNull() & (F.col("_next_bump") == 0)
+    is_running = F.col("_last").isNull()
+    closed = is_running & F.col("_next_at").isNotNull() & (F.col("_next_bump") == 0)
     return r.select(
         "LogId",
         "LoadDate",
         F.col("Run").cast("smallint").alias("Run"),
         "Procedure",
         "Step",
-        F.when(~running, F.col("_last.Status"))
+        F.when(~is_running, F.col("_last.Status"))
         .when(closed, F.lit(STATUS_SUCCESS))
         .otherwise(F.lit(STATUS_RUNNING))
         .alias("Status"),
         "StartDateTime",
-        F.when(~running, F.col("_last.EventTime")).when(closed, F.col("_next_at")).alias("EndDateTime"),
+        F.when(~is_running, F.col("_last.EventTime")).when(closed, F.col("_next_at")).alias("EndDateTime"),
         F.when(F.col("_msg").isNotNull(), F.col("_msg.Message")).otherwise(F.col("_start_message")).alias("Message"),
         F.when(F.col("_rows").isNotNull(), F.col("_rows.RowsProcessed"))
         .when(closed, F.col("_next_rows"))

@@ -16,8 +16,10 @@ Scale notes
 * Stored rows are fetched with a semi join driven by the change keys; the
   change keys are broadcast only under a counted size bound, so the large
   target is streamed, not shuffled.
-* History needs one exchange on the keys: both windows share the sort
-  order ``keys, capture, lake, action, flag``.
+* History first reduces to one version per ``(key, capture)`` with a
+  map-side-combined aggregate; the expiry (next capture of the key) is a
+  running minimum in which a key with very many versions is cut into
+  ordered parts (``scan.py``) that run as separate tasks.
 """
 
 from __future__ import annotations
@@ -25,11 +27,11 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import in_window, ntz
+from tidemark.functions.columns import epoch_micros, in_window, ntz
 from tidemark.functions.constants import (
     ACTION,
     CAPTURE,
@@ -42,6 +44,7 @@ from tidemark.functions.constants import (
     UPDATED,
     UPSERT,
 )
+from tidemark.operators.scan import running, with_parts
 from tidemark.operators.sizing import bounded_broadcast
 
 CHANGE_COLUMNS = (CAPTURE, LAKE, ACTION)
@@ -158,6 +161,7 @@ def history_changes(
     now: _dt.datetime,
     probe_rows: int | None = None,
     refresh_action: bool = False,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Rows to upsert into a History table (validity intervals per key).
 
@@ -193,21 +197,37 @@ def history_changes(
         )
     )
     combined = incoming.unionByName(stored)
-    order = [CAPTURE, LAKE, ACTION, UPSERT]
-    by_version = (
-        Window.partitionBy(*keys, CAPTURE)
-        .orderBy(*order[1:])
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    by_key = Window.partitionBy(*keys).orderBy(*order)
+    # One surviving version per (key, capture): the newest (lake, action,
+    # flag); the others would expire at their own capture.  The aggregate is
+    # combined map-side, so a hot (key, capture) is reduced before the shuffle.
     old = F.struct("_old_lake", "_old_action", "_old_updated")
-    ranked = combined.select(
-        *keys,
-        *CHANGE_COLUMNS,
-        F.max(UPSERT).over(by_version).alias("_flag"),
-        F.max(F.when(F.col(UPSERT) == UPDATE_FLAG, old)).over(by_version).alias("_old"),
-        F.coalesce(F.lead(CAPTURE, 1).over(by_key), ntz(OPEN_EXPIRY)).alias(EXPIRY),
-    ).where(F.col(CAPTURE) != F.col(EXPIRY))
+    versions = (
+        combined.where(F.col(CAPTURE).isNotNull())
+        .groupBy(*keys, CAPTURE)
+        .agg(
+            F.max(F.struct(LAKE, ACTION, UPSERT)).alias("_top"),
+            F.max(F.when(F.col(UPSERT) == UPDATE_FLAG, old)).alias("_old"),
+        )
+        .select(
+            *keys,
+            CAPTURE,
+            F.col(f"_top.{LAKE}").alias(LAKE),
+            F.col(f"_top.{ACTION}").alias(ACTION),
+            F.when(F.col("_old").isNotNull(), F.lit(UPDATE_FLAG)).otherwise(F.lit(INSERT_FLAG)).alias("_flag"),
+            "_old",
+        )
+    )
+    # Expiry = the key's next capture: a reverse running minimum, split into
+    # ordered parts so one key with very many versions is not one task.
+    # Materialised once: the hot-key measurement and the plan both read it,
+    # so the stored table is scanned once.
+    versions = versions.checkpoint()
+    parted = with_parts(versions, keys, epoch_micros(CAPTURE), hot_rows)
+    ranked = (
+        running(parted, keys, [CAPTURE], F.col(CAPTURE), "min", "_next", reverse=True, inclusive=False)
+        .df.withColumn(EXPIRY, F.coalesce(F.col("_next"), ntz(OPEN_EXPIRY)))
+        .where(F.col(CAPTURE) != F.col(EXPIRY))
+    )
     is_update = F.col("_flag") == UPDATE_FLAG
     action = F.col(ACTION) if refresh_action else F.when(is_update, F.col("_old._old_action")).otherwise(F.col(ACTION))
     updated = F.when(is_update & (F.col(LAKE) == F.col("_old._old_lake")), F.col("_old._old_updated")).otherwise(ntz(now))
