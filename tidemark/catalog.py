@@ -19,6 +19,7 @@ from tidemark.operators import dimensional, runlog, tags
 from tidemark.plans import control
 from tidemark.plans import partitions as pp
 from tidemark.plans.pairs import discover_gold_pairs, discover_silver_pairs
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import remote
 from tidemark.plans.incremental import chain, step
 
@@ -237,7 +238,20 @@ def remote_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remote.remote_query(spark, REMOTE_QUERY_TEXT, orders=fx.table(spark, sf_dir, "orders"))
 
 
+def _with_checkpoint_dir(q: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_checkpoint_dir(spark)
+        return q(spark, sf_dir)
+
+    run.__name__ = getattr(q, "__name__", "query")
+    return run
+
+
 def queries() -> dict[str, Query]:
+    return {name: _with_checkpoint_dir(q) for name, q in _queries().items()}
+
+
+def _queries() -> dict[str, Query]:
     return {
         "remote_query": remote_query,
         "discover_silver_pairs": silver_pairs,

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # remove checkpoint files once their DataFrames are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
