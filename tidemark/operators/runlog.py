@@ -152,20 +152,17 @@ def run_bumps(events: Parted, hot_rows: int | None = None) -> DataFrame:
     reached = firsts.select(*g, "node", F.lit(True).alias("first"))
     # Pointer doubling: after round r, `reached` holds the chain nodes at
     # distance < 2^(r+1) and `jump` maps a node to its 2^(r+1)-th successor.
-    # The jump table is joined with itself, so it is checkpointed every
-    # round (its plan would double otherwise); `reached` every eighth.
+    # Both tables feed two branches of the next round (the jump table is
+    # joined with itself, `reached` is unioned with its own join), so both
+    # are checkpointed every round; otherwise their plans double per round.
     jump = jump.checkpoint()
-    rounds = 0
     while True:
-        rounds += 1
         r, j = reached.alias("r"), jump.alias("j")
         same = [F.col(f"r.{c}") == F.col(f"j.{c}") for c in g]
         hop = r.join(j, [*same, F.col("r.node") == F.col("j.src")]).select(
             *[F.col(f"r.{c}").alias(c) for c in g], F.col("j.dst").alias("node"), F.lit(False).alias("first")
         )
-        reached = reached.unionByName(hop)
-        if rounds % 8 == 0:
-            reached = reached.checkpoint()
+        reached = reached.unionByName(hop).checkpoint()
         a, b = jump.alias("a"), jump.alias("b")
         same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in g]
         jump = (
