@@ -50,11 +50,22 @@ def test_probe_broadcast_only_under_the_limit(spark, scratch):
     assert "BroadcastHashJoin LeftSemi" in plan_text(ch)
 
 
-def test_history_uses_one_exchange_and_one_sort_for_its_windows(spark, scratch):
+def test_history_scans_reduced_versions_with_one_exchange(spark, scratch):
+    # the (key, capture) reduction is checkpointed; without hot keys the
+    # expiry is one window over one exchange on the key
     feed = stored_feed(spark, scratch)
     target = tags.empty_target(spark, feed, ("k",), "history")
     ch = tags.history_changes(feed, target, ("k",), d("1900-01-01"), d("2003-01-01"), d("2024-01-01"), probe_rows=10)
     tree = plan_text(ch).split("\n\n")[0]
-    assert tree.count("Window (") == 2 and tree.count("Sort (") == 1
-    # one exchange feeds the windows; the other builds the broadcast first captures
-    assert tree.count("- Exchange (") == 2 and "BroadcastHashJoin Inner" in tree
+    assert tree.count("Window (") == 1 and tree.count("Sort (") == 1 and tree.count("- Exchange (") == 1
+    assert "Scan ExistingRDD" in tree
+
+
+def test_hot_keys_are_spread_over_key_and_part(spark, scratch):
+    feed = stored_feed(spark, scratch)
+    target = tags.empty_target(spark, feed, ("k",), "history")
+    ch = tags.history_changes(
+        feed, target, ("k",), d("1900-01-01"), d("2003-01-01"), d("2024-01-01"), probe_rows=10, hot_rows=2
+    )
+    text = plan_text(ch)
+    assert "hashpartitioning(k#" in text and "_part#" in text
