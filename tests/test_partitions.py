@@ -68,3 +68,13 @@ def test_rewrite_tiers_replaces_only_listed_partitions(spark, scratch):
     assert after[0] == before[0] and after[2] == before[2] and after[1] != before[1]
     assert any("zstd" in f for f in after[1])
     assert spark.read.parquet(path).count() == 30
+
+
+def test_existing_boundaries_of_a_partitioned_dataset(spark, scratch):
+    import os
+
+    path = os.path.join(scratch, "ds")
+    spark.createDataFrame([(1, "2020-01-01"), (2, "2020-02-01"), (3, "2020-02-01")], "v int, month string") \
+        .selectExpr("v", "to_date(month) AS month").write.partitionBy("month").parquet(path)
+    got = sorted(r[0] for r in pp.existing_boundaries(spark.read.parquet(path), "month").collect())
+    assert got == [d("2020-01-01"), d("2020-02-01")]

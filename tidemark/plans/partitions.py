@@ -43,6 +43,15 @@ from tidemark.functions.constants import (
 OPEN_VALUE = "9999-12-31 00:00:00"
 
 
+def existing_boundaries(data: DataFrame, partition_col: str) -> DataFrame:
+    """The boundaries a dataset has: distinct values of its partition column.
+
+    On a file-partitioned dataset the scan reads only directory names for
+    this one column.
+    """
+    return data.select(F.col(partition_col).cast("timestamp_ntz").alias("Value")).distinct()
+
+
 def grain_stats(values: DataFrame, col: str = "Value") -> DataFrame:
     """Count, first, last and inferred grain of existing boundaries.
 
