@@ -70,7 +70,8 @@ def live_customers(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime) -> Da
         .groupBy(c.c_custkey, c.c_name, c.c_mktsegment, n.n_name)
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total_price"),
+            # summed exactly as decimal (order-independent), kept as double
+            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total_price"),
             F.max("o_orderdate").alias("UpdateTimestamp"),
         )
     )
