@@ -2,9 +2,9 @@
 
 ``Warehouse`` is the small interface the batch drivers use; two versions:
 
-* ``FrameWarehouse`` holds DataFrames in a dict.  Commits replace the
-  entry with the (lazy) next state, so a driver run is a dry computation;
-  the query catalog uses it.
+* ``FrameWarehouse`` holds DataFrames in a dict.  A commit replaces the
+  entry with the checkpointed next state (no files of its own); tests and
+  the query catalog use it.
 * ``ParquetWarehouse`` keeps each declared table under
   ``<root>/<schema>/<object>`` as a ``KeyedParquetTable``; views are named
   DataFrame builders.  The run log is an append-only parquet dataset of
@@ -44,7 +44,7 @@ Name = tuple[str, str]
 class FrameWarehouse:
     """An in-memory warehouse of DataFrames (dry runs, tests, the catalog)."""
 
-    # Commits keep lazy states, so nothing is counted or materialised.
+    # Step row counts are not recorded (the catalog needs only the report).
     record_counts = False
     spark: SparkSession
     tables: dict[Name, DataFrame] = field(default_factory=dict)
@@ -72,7 +72,9 @@ class FrameWarehouse:
         return self.tables.get((schema, WATERMARK_TABLE))
 
     def commit(self, schema: str, name: str, kind: str, state: DataFrame, changes: DataFrame, rows: int) -> None:
-        self.tables[(schema, name)] = state
+        # materialised like a written table, so the next run reads it
+        # instead of re-deriving every earlier run
+        self.tables[(schema, name)] = state.checkpoint()
 
     def log(self, events: list[tuple]) -> None:
         self.events.extend(events)
