@@ -114,8 +114,13 @@ def load_pair(
     dry_run: bool = False,
     log: EventLog | None = None,
     validate: bool = True,
+    date_from: _dt.datetime | None = None,
 ) -> StepResult:
-    """Load one target from one source; raises on failure (after logging it)."""
+    """Load one target from one source; raises on failure (after logging it).
+
+    ``date_from`` replays from an explicit low bound (default: the newest
+    timestamp the target holds); ``date_limit`` caps the watermark.
+    """
     log = log or EventLog()
     me = ".".join(target)
     watermark = None
@@ -128,7 +133,7 @@ def load_pair(
         src, tgt = wh.source(*source), wh.target(*target)
         load_date = min(watermark, date_limit)
         log.add(load_date, me, STEP_DATES, STATUS_START)
-        result = step(kind, src, tgt, spec.keys, watermark, now, date_to=date_limit)
+        result = step(kind, src, tgt, spec.keys, watermark, now, date_from=date_from, date_to=date_limit)
         w = result.window
         log.add(load_date, me, None, STATUS_SUCCESS, w.message, 1 if w.is_open else 0)
         if not w.is_open:
