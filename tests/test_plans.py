@@ -69,3 +69,24 @@ def test_hot_keys_are_spread_over_key_and_part(spark, scratch):
     )
     text = plan_text(ch)
     assert "hashpartitioning(k#" in text and "_part#" in text
+
+
+def test_bucket_upsert_reads_only_touched_buckets(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.tables import BUCKET, KeyedParquetTable
+
+    df = spark.range(0, 2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    t = KeyedParquetTable(spark, os.path.join(scratch, "t"), ["k"], df.schema, buckets=32)
+    t.append(df)
+    changes = spark.createDataFrame([(1, -1), (5000, -2)], "k bigint, v bigint")
+    touched = t.touched_buckets(changes)
+    assert 1 <= len(touched) <= 2
+    stored = spark.read.parquet(t.path).where(F.col(BUCKET).isin(touched))
+    import re
+
+    filters = [line for line in plan_text(stored).splitlines() if line.startswith("PartitionFilters")]
+    assert filters and re.search(r"_bucket#\d+ IN \(", filters[0])
+    t.upsert(changes, ["k"])
+    got = {r["k"]: r["v"] for r in t.read().collect()}
+    assert len(got) == 2001 and got[1] == -1 and got[5000] == -2 and got[2] == 4

@@ -5,7 +5,8 @@ its key into ``buckets`` directories (``_bucket=<n>``).  An upsert rewrites
 only the buckets its change set touches:
 
 1. the touched bucket numbers (at most ``buckets`` values, a fixed bound)
-   are broadcast, which prunes the target scan to those directories;
+   are collected and become a partition filter, so the target scan lists
+   and reads only those directories;
 2. ``next = (stored rows not matched) UNION (changes)`` for those buckets;
 3. the result is checkpointed into the session's shared checkpoint folder
    (``spark.checkpoint.dir``), so the write does not read the directories
@@ -77,6 +78,11 @@ class KeyedParquetTable:
     def _with_bucket(self, df: DataFrame) -> DataFrame:
         return df.select(*self.schema.fieldNames()).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
 
+    def touched_buckets(self, changes: DataFrame) -> list[int]:
+        """Bucket numbers a change set touches (at most ``buckets`` values)."""
+        rows = changes.select(bucket_of(self.keys, self.buckets).alias(BUCKET)).distinct().collect()
+        return sorted(r[0] for r in rows)
+
     def append(self, rows: DataFrame) -> None:
         self._with_bucket(rows).write.mode("append").partitionBy(BUCKET).parquet(self.path)
 
@@ -85,12 +91,13 @@ class KeyedParquetTable:
         if not self.exists():
             self.append(changes)
             return
-        keyed = changes.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-        touched = keyed.select(BUCKET).distinct()
+        touched = self.touched_buckets(changes)
+        if not touched:
+            return
         stored = (
             self.spark.read.schema(self._stored_schema())
             .parquet(self.path)
-            .join(F.broadcast(touched), BUCKET, "left_semi")
+            .where(F.col(BUCKET).isin(touched))
             .drop(BUCKET)
         )
         nxt = self._with_bucket(merge.upsert(stored, changes, match, change_rows)).checkpoint()
