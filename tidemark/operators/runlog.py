@@ -24,7 +24,7 @@ log table is a fold over them, computed with windows and aggregates:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import like_any, seconds_crossed, time_of_day_text, ts_text

@@ -50,17 +50,6 @@ from tidemark.operators.sizing import bounded_broadcast
 CHANGE_COLUMNS = (CAPTURE, LAKE, ACTION)
 
 
-def first_columns(keys: Sequence[str]) -> list[str]:
-    return [*keys, CAPTURE, LAKE, ACTION, UPDATED]
-
-
-latest_columns = first_columns
-
-
-def history_columns(keys: Sequence[str]) -> list[str]:
-    return [*keys, CAPTURE, EXPIRY, LAKE, ACTION, UPDATED]
-
-
 def empty_target(spark: SparkSession, source: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
     """An empty First / Latest / History table whose key types follow the source."""
     by_name = {f.name: f for f in source.schema.fields}
