@@ -37,3 +37,14 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["log_summary", "tag_history_changes", "partition_plan", "log_fold"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = entry.queries()[name](spark, SF_SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert digest(got)[2] == digest(con.execute(SQL[name]).df())[2]
