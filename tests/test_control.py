@@ -88,3 +88,15 @@ def test_dry_run_changes_nothing(spark):
     r = control.run_control("first", wh, date_limit=d("2025-01-01"), now=d("2024-01-01"), dry_run=True)
     # a NULL watermark value means 1900-01-01: nothing is in the window
     assert r.rows[0].date_to == d("1900-01-01") and wh.tables[("A_Tag", "T_First")].count() == 0
+
+
+def test_spark_failure_text_equals_the_raised_one(spark):
+    report = control.ControlReport("Control.Latest", [
+        control.ReportRow(2, "silver.B_Tag.T_Latest", "boom"),
+        control.ReportRow(1, "silver.A_Tag.T_Latest", ""),
+        control.ReportRow(3, "silver.C_Tag.T_Latest", "bang"),
+    ])
+    ok = control.ControlReport("Control.First", [control.ReportRow(1, "silver.A_Tag.T_First", "")])
+    rows = control.failure_frame(spark, [report, ok]).collect()
+    assert [(r["Procedure"], r["Message"]) for r in rows] == [("Control.Latest", report.failure_message)]
+    assert ok.failure_message is None

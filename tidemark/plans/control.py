@@ -227,7 +227,33 @@ def run_control(
     return report
 
 
+def failure_messages(reports: DataFrame) -> DataFrame:
+    """One failure text per procedure from report rows, as a Spark aggregate.
+
+    ``reports``: ``Procedure`` plus the report columns.  The lines of the
+    failed targets are concatenated in pair order (``listagg ... WITHIN GROUP
+    (ORDER BY i)``) under the header; procedures without failures give no row.
+    """
+    header, line = FAILURE_HEADER.split("{me}"), FAILURE_LINE.split("{target}")
+    line_msg = line[1].split("{message}")
+    failed = reports.where(F.col("Message") != "").select(
+        "Procedure",
+        "i",
+        F.concat(F.lit(line[0]), F.col("Target"), F.lit(line_msg[0]), F.col("Message"), F.lit(line_msg[1])).alias("_line"),
+    )
+    return failed.groupBy("Procedure").agg(
+        F.concat(
+            F.lit(header[0]), F.col("Procedure"), F.lit(header[1]),
+            F.expr("listagg(_line, '') WITHIN GROUP (ORDER BY i)"),
+        ).alias("Message")
+    )
+
+
 def failure_frame(spark: SparkSession, reports: list[ControlReport]) -> DataFrame:
-    rows = [(r.procedure, r.failure_message) for r in reports]
-    return spark.createDataFrame(rows, "Procedure string, Message string").where(F.col("Message").isNotNull())
+    """``failure_messages`` over the reports of several driver runs."""
+    frames = [r.to_df(spark).select(F.lit(r.procedure).alias("Procedure"), "*") for r in reports]
+    allrows = frames[0]
+    for f in frames[1:]:
+        allrows = allrows.unionByName(f)
+    return failure_messages(allrows)
 
