@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ntz
+from tidemark.operators.sizing import bounded_broadcast
 from tidemark.functions.constants import (
     ACTION_INSERT,
     ACTION_MERGE,
@@ -201,11 +202,11 @@ def partition_tiers(
 def tier_rows(data: DataFrame, tiers: DataFrame, on: list[str]) -> DataFrame:
     """The data rows of partitions whose tier changes, with the target tier.
 
-    ``tiers`` has one row per partition (a bound fixed by the calendar, not
-    by the data volume), so it is broadcast.
+    ``tiers`` has one row per partition whose tier changes; it is counted
+    and broadcast under the size limit (else the join shuffles).
     """
     t = tiers.drop("i")
-    return data.join(F.broadcast(t), on, "inner")
+    return data.join(bounded_broadcast(t, t.count()), on, "inner")
 
 
 def rewrite_tiers(rows: DataFrame, path: str, partition_cols: list[str]) -> None:
