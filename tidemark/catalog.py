@@ -147,9 +147,12 @@ PLAN_CASES = (
 
 
 def partition_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the existing boundaries (one row per partition) are derived once
+    values = fx.boundaries(spark, sf_dir).checkpoint()
+    stats = pp.grain_stats(values).first()
     out = None
     for name, first, gap, trim in PLAN_CASES:
-        values, bounds = _plan_bounds(spark, sf_dir, first)
+        bounds = pp.bounds_from_stats(stats, fx.PLAN_BOUNDARY, first_boundary=first)
         plan = pp.partition_plan(spark, values, bounds, gap_fill=gap, trim=trim).select(
             F.lit(name).alias("Case"), "*"
         )

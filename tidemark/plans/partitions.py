@@ -93,7 +93,11 @@ def plan_bounds(
     if boundary is None:
         today = today or _dt.datetime.now(_dt.timezone.utc).date()
         boundary = _dt.datetime.combine(today + _dt.timedelta(days=1), _dt.time())
-    row = grain_stats(values, col).first()
+    return bounds_from_stats(grain_stats(values, col).first(), boundary, grain, first_boundary)
+
+
+def bounds_from_stats(row, boundary: _dt.datetime, grain: str | None = None, first_boundary=None) -> PlanBounds:
+    """``plan_bounds`` from an already collected ``grain_stats`` row."""
     g = grain if grain is not None else row["grain"]
     if g != DAILY:
         g = MONTHLY
