@@ -5,12 +5,14 @@ When one group may hold a large share of all rows (one business key, one
 procedure's log), the rows of such a group are cut into ordered parts:
 
 * ``with_parts`` measures first: one map-side-combined aggregate finds the
-  groups with more than ``hot_rows`` rows (and their order range).  If
-  there are none, the plain window plan is kept.  Otherwise each row of a
-  hot group gets one of ``ceil(rows / hot_rows)`` equal-width stretches of
-  its order value as its part (a pure function of the row and its group's
-  statistics, so every evaluation and retry assigns the same part); the
-  hot-group table is broadcast under its counted size.
+  groups with more than ``hot_rows`` rows.  If there are none, the plain
+  window plan is kept.  Otherwise approximate quantiles of each hot
+  group's order value (``percentile_approx``, combined map-side) cut it
+  into ``ceil(rows / hot_rows)`` ordered parts of similar size.  The cut
+  points are checkpointed once (one row per hot group) and a row's part is
+  a pure function of its value and those cut points, so every evaluation
+  and retry assigns the same part.  The hot-group tables are
+  broadcast under their counted size.
 * ``running`` hash-partitions on ``(group, part)``, which spreads a hot
   group's parts over many tasks.
   It computes a running max / min / sum: inside each
@@ -53,38 +55,52 @@ def hot_rows_limit(df: DataFrame, hot_rows: int | None = None) -> int:
     return int(value) if value else DEFAULT_HOT_ROWS
 
 
+QUANTILES = 128
+
+
 def with_parts(df: DataFrame, group: Sequence[str], order_value: Column, hot_rows: int | None = None) -> Parted:
-    """Cut hot groups into ordered parts (see module doc).
+    """Cut hot groups into ordered parts of about ``hot_rows`` rows (see module doc).
 
     ``order_value`` is a numeric image of the order (e.g. epoch micros of a
-    timestamp); parts are contiguous, increasing ranges of it.
+    timestamp); parts are contiguous, increasing ranges of it.  The cut
+    points of a hot group are approximate quantiles of its order values, so
+    parts hold similar row counts even when the values are tightly packed.
     """
     limit = hot_rows_limit(df, hot_rows)
     group = tuple(group)
-    stats = (
-        df.withColumn("_scan_o", order_value.cast("double"))
-        .groupBy(*group)
-        .agg(
-            F.count(F.lit(1)).alias("_scan_n"),
-            F.min("_scan_o").alias("_scan_lo"),
-            F.max("_scan_o").alias("_scan_hi"),
-        )
+    v = df.withColumn("_scan_o", order_value.cast("double"))
+    hot = (
+        v.groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("_scan_n"))
         .where(F.col("_scan_n") > limit)
-        .select(*group, F.ceil(F.col("_scan_n") / F.lit(limit)).cast("int").alias("_scan_k"), "_scan_lo", "_scan_hi")
+        .select(*group, F.least(F.ceil(F.col("_scan_n") / F.lit(limit)), F.lit(QUANTILES)).cast("int").alias("_scan_k"))
     )
-    n_hot = stats.count()
+    n_hot = hot.count()
     if n_hot == 0:
         return Parted(df.withColumn(PART, F.lit(0)).withColumn(HOT, F.lit(False)), group, False)
-    j = df.withColumn("_scan_o", order_value.cast("double")).join(bounded_broadcast(stats, n_hot), list(group), "left")
-    span = F.col("_scan_hi") - F.col("_scan_lo")
-    pos = F.when(span > 0, (F.col("_scan_o") - F.col("_scan_lo")) / span).otherwise(F.lit(0.0))
-    part = F.least(F.floor(pos * F.col("_scan_k")), F.col("_scan_k") - 1)
-    out = j.select(
-        *df.columns,
-        F.coalesce(part, F.lit(0)).cast("int").alias(PART),
-        F.col("_scan_k").isNotNull().alias(HOT),
+    hot = bounded_broadcast(hot, n_hot)
+    grid = F.array(*[F.lit(q / QUANTILES) for q in range(1, QUANTILES)])
+    cuts = (
+        v.join(hot, list(group), "left_semi")
+        .groupBy(*group)
+        .agg(F.percentile_approx("_scan_o", grid, 10 * QUANTILES).alias("_scan_cuts"))
+        .join(hot, list(group))
+        # sketch merges depend on fetch order: fix the cut points once
+        .checkpoint()
+    )
+    j = v.join(bounded_broadcast(cuts, n_hot), list(group), "left")
+    # rank of the value among the group's cut points, scaled to k parts
+    below = F.size(F.filter(F.col("_scan_cuts"), lambda c: c < F.col("_scan_o")))
+    part = F.floor(below * F.col("_scan_k") / F.lit(QUANTILES))
+    return Parted(
+        j.select(
+            *df.columns,
+            F.coalesce(part, F.lit(0)).cast("int").alias(PART),
+            F.col("_scan_k").isNotNull().alias(HOT),
+        ),
+        group,
+        True,
     )
-    return Parted(out, group, True)
 
 
 def running(
