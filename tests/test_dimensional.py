@@ -39,3 +39,16 @@ def test_key_checks(spark):
         assert_no_null_keys(df, ("id",), "live")
     with pytest.raises(KeyContractError):
         assert_unique_keys(df.where("id is not null"), ("id",), "live")
+
+
+def test_driver_passes_computed_columns(spark):
+    from tidemark.plans import control
+    from tidemark.sources.warehouse import FrameWarehouse
+    from tidemark.spec import TableSpec
+
+    wh = FrameWarehouse(spark)
+    wh.views[("Live", "D")] = spark.createDataFrame([(1, "a", 4, d("2020-01-01"))], SCHEMA)
+    wh.tables[("Dimension", "D")] = spark.createDataFrame([], SCHEMA + ", doubled int")
+    wh.specs[("Dimension", "D")] = TableSpec("D", ("id",), {"doubled": "amount * 2"})
+    control.run_control("dimensional", wh, date_limit=d("2024-01-01"), now=d("2024-01-01"))
+    assert rows(wh.tables[("Dimension", "D")], "id", "doubled") == [(1, 8)]

@@ -133,7 +133,8 @@ def load_pair(
         src, tgt = wh.source(*source), wh.target(*target)
         load_date = min(watermark, date_limit)
         log.add(load_date, me, STEP_DATES, STATUS_START)
-        result = step(kind, src, tgt, spec.keys, watermark, now, date_from=date_from, date_to=date_limit)
+        options = {"computed": dict(spec.computed)} if kind == "dimensional" and spec.computed else {}
+        result = step(kind, src, tgt, spec.keys, watermark, now, date_from=date_from, date_to=date_limit, **options)
         w = result.window
         log.add(load_date, me, None, STATUS_SUCCESS, w.message, 1 if w.is_open else 0)
         if not w.is_open:
