@@ -149,30 +149,32 @@ def run_bumps(events: Parted, hot_rows: int | None = None) -> DataFrame:
         .df.where((F.col("kind") == 0) & F.col("dst").isNotNull())
         .select(*g, F.col("node").alias("src"), "dst")
     )
-    reached = firsts.select(*g, "node", F.lit(True).alias("first"))
-    # Pointer doubling: after round r, `reached` holds the chain nodes at
-    # distance < 2^(r+1) and `jump` maps a node to its 2^(r+1)-th successor.
-    # Both tables feed two branches of the next round (the jump table is
-    # joined with itself, `reached` is unioned with its own join), so both
-    # are checkpointed every round; otherwise their plans double per round.
-    jump = jump.checkpoint()
+    # Pointer doubling over one table of tagged rows: "J" rows map a node to
+    # its 2^r-th successor, "R0" / "R" rows are the group's first node / the
+    # chain nodes reached so far (distance < 2^r).  Each round is built from
+    # the previous round's checkpoint, so the plan never grows, and costs
+    # one checkpoint: R' = R + J(R), J' = J o J.
+    null = F.lit(None).cast("bigint")
+    state = jump.select(*g, F.lit("J").alias("t"), "src", "dst").unionByName(
+        firsts.select(*g, F.lit("R0").alias("t"), F.col("node").alias("src"), null.alias("dst"))
+    ).checkpoint()
     while True:
-        r, j = reached.alias("r"), jump.alias("j")
+        jmp = state.where(F.col("t") == "J")
+        got = state.where(F.col("t") != "J")
+        r, j = got.alias("r"), jmp.alias("j")
         same = [F.col(f"r.{c}") == F.col(f"j.{c}") for c in g]
-        hop = r.join(j, [*same, F.col("r.node") == F.col("j.src")]).select(
-            *[F.col(f"r.{c}").alias(c) for c in g], F.col("j.dst").alias("node"), F.lit(False).alias("first")
+        hop = r.join(j, [*same, F.col("r.src") == F.col("j.src")]).select(
+            *[F.col(f"r.{c}").alias(c) for c in g], F.lit("R").alias("t"), F.col("j.dst").alias("src"), null.alias("dst")
         )
-        reached = reached.unionByName(hop).checkpoint()
-        a, b = jump.alias("a"), jump.alias("b")
+        a, b = jmp.alias("a"), jmp.alias("b")
         same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in g]
-        jump = (
-            a.join(b, [*same, F.col("a.dst") == F.col("b.src")])
-            .select(*[F.col(f"a.{c}").alias(c) for c in g], F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))
-            .checkpoint()
+        doubled = a.join(b, [*same, F.col("a.dst") == F.col("b.src")]).select(
+            *[F.col(f"a.{c}").alias(c) for c in g], F.lit("J").alias("t"), F.col("a.src").alias("src"), F.col("b.dst").alias("dst")
         )
-        if jump.isEmpty():
+        state = got.unionByName(hop).unionByName(doubled).checkpoint()
+        if state.where(F.col("t") == "J").isEmpty():
             break
-    return reached.where(~F.col("first")).select(*g, F.col("node").alias("seq"))
+    return state.where(F.col("t") == "R").select(*g, F.col("src").alias("seq"))
 
 
 def log_fold(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
