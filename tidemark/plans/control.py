@@ -33,6 +33,7 @@ from tidemark.functions.constants import (
     STEP_DATES,
     UPSERT,
 )
+from tidemark.functions.columns import in_window
 from tidemark.operators.bounds import read_high_watermark
 from tidemark.plans import pairs as pairing
 from tidemark.plans.incremental import LOADERS, StepResult, step
@@ -134,6 +135,15 @@ def load_pair(
         load_date = min(watermark, date_limit)
         log.add(load_date, me, STEP_DATES, STATUS_START)
         options = {"computed": dict(spec.computed)} if kind == "dimensional" and spec.computed else {}
+        if hasattr(wh, "target_for"):
+            # read only the target buckets the window's keys hash to
+            col = LOADERS[kind].ts_col
+
+            def probe(w):
+                changed = src.where(in_window(col, w.date_from, w.date_to))
+                return wh.target_for(*target, changed)
+
+            options["probe_target"] = probe
         result = step(kind, src, tgt, spec.keys, watermark, now, date_from=date_from, date_to=date_limit, **options)
         w = result.window
         log.add(load_date, me, None, STATUS_SUCCESS, w.message, 1 if w.is_open else 0)

@@ -56,17 +56,24 @@ def step(
     now: _dt.datetime,
     date_from: _dt.datetime | None = None,
     date_to: _dt.datetime | None = None,
+    probe_target: Callable[[ChangeWindow], DataFrame] | None = None,
     **options,
 ) -> StepResult:
-    """Bounds, change set and next state of one target (pure)."""
+    """Bounds, change set and next state of one target (pure).
+
+    ``probe_target`` may give, once the window is known, the part of the
+    target that can hold the window's keys (e.g. their hash buckets); the
+    change set is computed against it, the bounds against the whole target.
+    """
     loader = LOADERS[kind]
     window = change_window(
         source, target, loader.ts_col, watermark, date_from, date_to, loader.default_low
     )
     if not window.is_open:
         return StepResult(window, None, target)
+    probed = probe_target(window) if probe_target is not None else target
     changes = loader.changes(
-        source, target, keys, window.date_from, window.date_to, now, probe_rows=window.rows, **options
+        source, probed, keys, window.date_from, window.date_to, now, probe_rows=window.rows, **options
     )
     state = loader.apply(target, changes, keys, window.rows)
     return StepResult(window, changes, state)

@@ -83,6 +83,17 @@ class KeyedParquetTable:
         rows = changes.select(bucket_of(self.keys, self.buckets).alias(BUCKET)).distinct().collect()
         return sorted(r[0] for r in rows)
 
+    def read_buckets(self, ids: list[int]) -> DataFrame:
+        """Rows of the listed buckets only (a partition filter on the scan)."""
+        if not self.exists():
+            return self.spark.createDataFrame([], self.schema)
+        return (
+            self.spark.read.schema(self._stored_schema())
+            .parquet(self.path)
+            .where(F.col(BUCKET).isin(ids))
+            .drop(BUCKET)
+        )
+
     def append(self, rows: DataFrame) -> None:
         self._with_bucket(rows).write.mode("append").partitionBy(BUCKET).parquet(self.path)
 

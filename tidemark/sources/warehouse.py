@@ -119,6 +119,17 @@ class ParquetWarehouse:
     def spec(self, schema: str, name: str) -> TableSpec:
         return self.specs[(schema, name)][0]
 
+    def target_for(self, schema: str, name: str, changed: DataFrame) -> DataFrame:
+        """The target's rows in the buckets of the keys in ``changed``.
+
+        A key's stored rows live only in its hash bucket, so this is all a
+        change set can match; the bucket ids (at most ``buckets``) are
+        collected and prune the scan.
+        """
+        table = self._table(schema, name)
+        ids = table.touched_buckets(changed.select(*table.keys))
+        return table.read_buckets(ids)
+
     def watermark(self, schema: str) -> DataFrame | None:
         path = f"{self.root}/{schema}/{WATERMARK_TABLE}"
         return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
