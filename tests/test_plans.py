@@ -90,3 +90,21 @@ def test_bucket_upsert_reads_only_touched_buckets(spark, scratch):
     t.upsert(changes, ["k"])
     got = {r["k"]: r["v"] for r in t.read().collect()}
     assert len(got) == 2001 and got[1] == -1 and got[5000] == -2 and got[2] == 4
+
+
+def test_warehouse_probe_reads_only_the_changed_keys_buckets(spark, scratch):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.warehouse import ParquetWarehouse
+    from tidemark.spec import TableSpec
+
+    df = spark.range(0, 1000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    wh = ParquetWarehouse(spark, scratch, {("S", "T"): (TableSpec("T", ("k",)), df.schema)}, buckets=64)
+    wh._table("S", "T").append(df)
+    probe = wh.target_for("S", "T", spark.createDataFrame([(3,), (7,)], "k bigint"))
+    filters = [line for line in plan_text(probe).splitlines() if line.startswith("PartitionFilters")]
+    assert filters and re.search(r"_bucket#\d+ IN \(", filters[0])
+    assert {r["k"] for r in probe.where("k in (3, 7)").collect()} == {3, 7}
+    assert probe.count() < 1000
