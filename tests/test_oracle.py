@@ -6,9 +6,10 @@ from check_oracle import TABLES, digest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from tidemark import catalog, oracle
 
-SQL = entry.oracle_sql()
-NAMES = sorted(entry.queries())
+SQL = oracle.oracle_sql()
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")

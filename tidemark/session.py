@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,7 +46,9 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a scratch folder made.
+    Only a session on one machine (``local``, ``local[*]``) that names none
+    gets a scratch folder; a cluster without the setting is refused, as its
+    executors would not share a folder of the driver.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
