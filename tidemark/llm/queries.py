@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, packing, quality, secret_scan, simhash, urls
+from tidemark.llm import chat, embeddings, html_extract, lm, mixing, packing, quality, secret_scan, simhash, urls
 from tidemark.llm.common import cut, table
 
 #: The filter's rules (action, host, path).
@@ -64,6 +64,21 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-likelihood of every document."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL."""
     rules = spark.createDataFrame(list(URL_RULES), "action string, host string, path string")
