@@ -92,14 +92,16 @@ def last_taken(sized: DataFrame, targets: DataFrame, bucket_rows: int = BUCKET_R
 
     ranges = 16**digits
     timed = cut(timed.withColumn("span", F.least(F.floor(F.col("finish") * ranges), F.lit(2 * ranges)).cast("long")))
-    spans = timed.groupBy("span").agg(F.sum("size").alias("in_span"))
-    upto = F.sum("in_span").over(Window.orderBy("span"))
-    spans = spans.withColumn("before", upto - F.col("in_span"))
-    ranged = timed.join(spans, "span")
-    full = ranged.filter("before + in_span <= budget")
-    edge = ranged.filter("before < budget and before + in_span > budget")
-    merged = F.sum("size").over(Window.partitionBy("span").orderBy("finish"))
-    edge = edge.withColumn("merged", F.col("before") + merged).filter("merged <= budget").drop("merged")
+    spans = timed.groupBy("span").agg(F.sum("size").alias("in_span"), F.max("budget").alias("budget"))
+    spans = spans.withColumn("upto", F.sum("in_span").over(Window.orderBy("span")))
+    passing = spans.filter("upto > budget").orderBy("span").first()  # the range in which the budget ends
+    if passing:
+        full, edge = timed.filter(F.col("span") < passing["span"]), timed.filter(F.col("span") == passing["span"])
+        merged = F.sum("size").over(Window.partitionBy("span").orderBy("finish"))
+        before = passing["upto"] - passing["in_span"]
+        edge = edge.withColumn("merged", merged + before).filter("merged <= budget").drop("merged")
+    else:
+        full, edge = timed, timed.limit(0)
     taken = full.unionByName(edge).groupBy("source")
     return taken.agg(
         F.array(*[F.max(F.when(F.col("turn") == i, F.col("key"))) for i in range(PASSES)]).alias("last")
