@@ -9,7 +9,8 @@ def test_wrap_rules():
     assert remote.remote_text("dbo.T") == "SELECT * FROM dbo.T"
     assert remote.remote_text("select 1") == "select 1"
     assert remote.from_clause("select 1") == "(select 1)"
-    assert remote.from_clause("dbo.T", server="[Far]") == "OPENQUERY(Far, 'SELECT * FROM dbo.T')"
+    assert remote.from_clause("dbo.T", server="[Far]") == "OPENQUERY([Far], 'SELECT * FROM dbo.T')"
+    assert remote.from_clause("select 'x'", server="Far") == "OPENQUERY([Far], 'select ''x''')"
     assert not remote.is_remote("[Here]", local_name="Here")
 
 

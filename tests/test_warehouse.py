@@ -62,3 +62,28 @@ def test_drivers_on_parquet_match_the_pure_chain(spark, scratch):
     assert runs == {("Sales_Tag.Orders_First", 1), ("Sales_Tag.Orders_Latest", 2), ("Sales_Tag.Orders_History", 1)}
     summary = runlog.log_summary(log).collect()
     assert {r["Procedure"] for r in summary} == {f"Sales_Tag.Orders_{k.capitalize()}" for k in KINDS}
+
+
+def test_another_bucket_count_is_refused(spark, scratch):
+    import pytest
+    from pyspark.sql import types as T
+
+    from tidemark.sources.tables import KeyedParquetTable
+
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    rows = spark.createDataFrame([(i, "a") for i in range(50)], schema)
+    table = KeyedParquetTable(spark, f"{scratch}/t", ["k"], schema, buckets=4)
+    table.upsert(rows, ["k"])
+    KeyedParquetTable(spark, f"{scratch}/t", ["k"], schema, buckets=4).upsert(rows, ["k"])
+    assert table.read().count() == 50
+    with pytest.raises(ValueError, match="4 buckets"):
+        KeyedParquetTable(spark, f"{scratch}/t", ["k"], schema, buckets=16).upsert(rows, ["k"])
+
+
+def test_a_start_needs_a_step():
+    import pytest
+
+    from tidemark.plans.control import EventLog
+
+    with pytest.raises(ValueError):
+        EventLog().add(None, "p", None, "Start")

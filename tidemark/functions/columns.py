@@ -62,12 +62,13 @@ def seconds_crossed(start: str | Column, end: str | Column) -> Column:
 def time_of_day_text(seconds: Column) -> Column:
     """A second count as a ``HH:mm:ss`` time of day; wraps at 24 hours."""
     s = F.pmod(seconds, F.lit(86400))
-    return F.format_string(
+    text = F.format_string(
         "%02d:%02d:%02d",
         (s / 3600).cast("int"),
         ((s % 3600) / 60).cast("int"),
         (s % 60).cast("int"),
     )
+    return F.when(seconds.isNotNull(), text)
 
 
 def like_any(c: str | Column, patterns: Iterable[str]) -> Column:

@@ -55,7 +55,7 @@ def hot_rows_limit(df: DataFrame, hot_rows: int | None = None) -> int:
     return int(value) if value else DEFAULT_HOT_ROWS
 
 
-QUANTILES = 128
+CHUNK = 128
 
 
 def with_parts(df: DataFrame, group: Sequence[str], order_value: Column, hot_rows: int | None = None) -> Parted:
@@ -73,25 +73,31 @@ def with_parts(df: DataFrame, group: Sequence[str], order_value: Column, hot_row
         v.groupBy(*group)
         .agg(F.count(F.lit(1)).alias("_scan_n"))
         .where(F.col("_scan_n") > limit)
-        .select(*group, F.least(F.ceil(F.col("_scan_n") / F.lit(limit)), F.lit(QUANTILES)).cast("int").alias("_scan_k"))
+        .select(*group, F.ceil(F.col("_scan_n") / F.lit(limit)).cast("int").alias("_scan_k"))
     )
-    n_hot = hot.count()
+    n_hot, most = hot.agg(F.count(F.lit(1)), F.max("_scan_k")).first()
     if n_hot == 0:
         return Parted(df.withColumn(PART, F.lit(0)).withColumn(HOT, F.lit(False)), group, False)
     hot = bounded_broadcast(hot, n_hot)
-    grid = F.array(*[F.lit(q / QUANTILES) for q in range(1, QUANTILES)])
+    # as many quantiles as the largest group has parts
+    n_cuts = max(CHUNK, most)
+    grid = F.lit([q / n_cuts for q in range(1, n_cuts)])
     cuts = (
         v.join(hot, list(group), "left_semi")
         .groupBy(*group)
-        .agg(F.percentile_approx("_scan_o", grid, 10 * QUANTILES).alias("_scan_cuts"))
+        .agg(F.percentile_approx("_scan_o", grid, 10 * n_cuts).alias("_scan_cuts"))
+        .withColumn("_scan_heads", F.filter("_scan_cuts", lambda c, i: i % CHUNK == 0))
         .join(hot, list(group))
         # sketch merges depend on fetch order: fix the cut points once
         .checkpoint()
     )
-    j = v.join(bounded_broadcast(cuts, n_hot), list(group), "left")
-    # rank of the value among the group's cut points, scaled to k parts
-    below = F.size(F.filter(F.col("_scan_cuts"), lambda c: c < F.col("_scan_o")))
-    part = F.floor(below * F.col("_scan_k") / F.lit(QUANTILES))
+    j = v.join(bounded_broadcast(cuts, n_hot, row_bytes=64 * len(group) + 32 * n_cuts), list(group), "left")
+    # rank of the value among the group's cut points (first the chunk, then
+    # the place in it), scaled to k parts
+    less = lambda cut_points: F.size(F.filter(cut_points, lambda c: c < F.col("_scan_o")))
+    skipped = F.greatest(less(F.col("_scan_heads")) - 1, F.lit(0)) * CHUNK
+    below = skipped + less(F.slice("_scan_cuts", skipped + 1, F.lit(CHUNK)))
+    part = F.floor(below * F.col("_scan_k") / F.lit(n_cuts))
     return Parted(
         j.select(
             *df.columns,
@@ -137,7 +143,11 @@ def running(
     part_order = F.col(PART).desc() if reverse else F.col(PART).asc()
     carry_w = Window.partitionBy(*group).orderBy(part_order).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_part.select(*group, PART, agg("_scan_pv").over(carry_w).alias("_scan_carry"))
-    joined = local.join(carry, [*group, PART], "left")
+    # null-safe, as a window groups nulls together
+    at = [*group, PART]
+    carry = carry.select(*[F.col(c).alias(f"_scan_{c}") for c in at], "_scan_carry")
+    same = [F.col(c).eqNullSafe(F.col(f"_scan_{c}")) for c in at]
+    joined = local.join(carry, same, "left").drop(*[f"_scan_{c}" for c in at])
     a, b = F.col("_scan_local"), F.col("_scan_carry")
     if op == "max":
         combined = F.greatest(a, b)

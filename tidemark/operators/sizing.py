@@ -48,12 +48,13 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(value) if value else DEFAULT_LIMIT
 
 
-def fits_broadcast(df: DataFrame, rows: int | None) -> bool:
+def fits_broadcast(df: DataFrame, rows: int | None, row_bytes: int | None = None) -> bool:
+    """``row_bytes`` replaces the estimate where rows hold arrays of known length."""
     if rows is None:
         return False
-    return rows * row_width(df.schema) <= broadcast_limit(df.sparkSession)
+    return rows * (row_bytes or row_width(df.schema)) <= broadcast_limit(df.sparkSession)
 
 
-def bounded_broadcast(df: DataFrame, rows: int | None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, rows: int | None, row_bytes: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its counted size is under the limit, else ``df``."""
-    return F.broadcast(df) if fits_broadcast(df, rows) else df
+    return F.broadcast(df) if fits_broadcast(df, rows, row_bytes) else df

@@ -97,6 +97,8 @@ class EventLog:
         self.events: list[tuple] = []
 
     def add(self, load_date, procedure, step_name, status, message=None, rows=None, at=None) -> None:
+        if status == STATUS_START and step_name is None:
+            raise ValueError("a Start event needs a step")
         at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         self.events.append((next(self._seq), at, load_date, procedure, step_name, status, message, rows))
 
@@ -124,15 +126,15 @@ def load_pair(
     """
     log = log or EventLog()
     me = ".".join(target)
-    watermark = None
+    load_date = None
     try:
         if kind == "dimensional":
             watermark = now
         else:
             watermark = read_high_watermark(wh.watermark(target[0]))
+        load_date = min(watermark, date_limit)
         spec = wh.spec(*target)
         src, tgt = wh.source(*source), wh.target(*target)
-        load_date = min(watermark, date_limit)
         log.add(load_date, me, STEP_DATES, STATUS_START)
         options = {"computed": dict(spec.computed)} if kind == "dimensional" and spec.computed else {}
         if hasattr(wh, "target_for"):
@@ -162,12 +164,12 @@ def load_pair(
                 total = sum(counts.values()) if counting else w.rows
                 first, update, insert = STEPS[kind]
                 log.add(load_date, me, first, STATUS_START, rows=0)
+                wh.commit(*target, kind, result.state, changes, total)
                 if update:
                     log.add(load_date, me, update, STATUS_START, rows=total)
                     log.add(load_date, me, insert, STATUS_START, rows=counts.get("U", 0))
                 else:
                     log.add(load_date, me, insert, STATUS_START, rows=total)
-                wh.commit(*target, kind, result.state, changes, total)
                 log.add(load_date, me, None, STATUS_SUCCESS, rows=counts.get("I", 0))
             finally:
                 if counting:
@@ -175,7 +177,7 @@ def load_pair(
         log.add(load_date, me, None, STATUS_SUCCESS)
         return result
     except Exception as e:
-        log.add(watermark, me, None, STATUS_FAILED, str(e))
+        log.add(load_date, me, None, STATUS_FAILED, str(e))
         raise
 
 

@@ -75,7 +75,8 @@ def step(
     changes = loader.changes(
         source, probed, keys, window.date_from, window.date_to, now, probe_rows=window.rows, **options
     )
-    state = loader.apply(target, changes, keys, window.rows)
+    # History's changes also hold stored versions, so the window bounds nothing
+    state = loader.apply(target, changes, keys, None if kind == "history" else window.rows)
     return StepResult(window, changes, state)
 
 

@@ -35,7 +35,8 @@ def remote_text(query: str) -> str:
 def from_clause(query: str, server: str | None = None, local_name: str | None = None) -> str:
     """The FROM-clause form of a query: a derived table, or a pass-through text."""
     if is_remote(server, local_name):
-        return f"OPENQUERY({_bare(server)}, {remote_text(query)!r})"
+        quoted = remote_text(query).replace("'", "''")
+        return f"OPENQUERY([{_bare(server)}], '{quoted}')"
     return f"({query})"
 
 

@@ -42,8 +42,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 - lists files, reads no rows
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 class KeyedParquetTable:
@@ -62,6 +64,22 @@ class KeyedParquetTable:
         self.keys = tuple(keys)
         self.schema = schema
         self.buckets = buckets
+        self._pinned = False
+
+    def _pin_buckets(self) -> None:
+        """Store the bucket count at the first write; refuse another one later.
+
+        A key's rows are looked for in the bucket of the stored count only.
+        """
+        if self._pinned:
+            return
+        layout = f"{self.path.rstrip('/')}.layout"
+        if not path_exists(self.spark, layout):
+            self.spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.parquet(layout)
+        stored = self.spark.read.parquet(layout).first()["buckets"]
+        if stored != self.buckets:
+            raise ValueError(f"{self.path} is stored in {stored} buckets, not {self.buckets}")
+        self._pinned = True
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
@@ -80,6 +98,7 @@ class KeyedParquetTable:
 
     def touched_buckets(self, changes: DataFrame) -> list[int]:
         """Bucket numbers a change set touches (at most ``buckets`` values)."""
+        self._pin_buckets()
         rows = changes.select(bucket_of(self.keys, self.buckets).alias(BUCKET)).distinct().collect()
         return sorted(r[0] for r in rows)
 
@@ -95,7 +114,10 @@ class KeyedParquetTable:
         )
 
     def append(self, rows: DataFrame) -> None:
-        self._with_bucket(rows).write.mode("append").partitionBy(BUCKET).parquet(self.path)
+        self._pin_buckets()
+        # one file per bucket, or some of even size where a bucket is large
+        dealt = self._with_bucket(rows).hint("rebalance", BUCKET)
+        dealt.write.mode("append").partitionBy(BUCKET).parquet(self.path)
 
     def upsert(self, changes: DataFrame, match: Sequence[str], change_rows: int | None = None) -> None:
         """Replace the rows matched on ``match`` and add new ones, bucket by bucket."""
@@ -113,7 +135,8 @@ class KeyedParquetTable:
         )
         nxt = self._with_bucket(merge.upsert(stored, changes, match, change_rows)).checkpoint()
         (
-            nxt.write.mode("overwrite")
+            nxt.hint("rebalance", BUCKET)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET)
             .parquet(self.path)
