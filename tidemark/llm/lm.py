@@ -48,7 +48,7 @@ LANES = 256
 WINDOW = 32
 RATE = 0.1
 #: Tokens that are laid side by side at once, at most (a longer document alone).
-CHUNK = 1_000_000
+CHUNK = 4_000_000
 #: In training a longer document is cut, and the state starts anew there.
 SEGMENT = 2048
 #: A task hands on its counts when it has so many words.
@@ -126,7 +126,15 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.filter(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(SENT).collect()
+    grade = F.floor(F.log2("c") * 16).cast("int")
+    words = counts.filter(F.length("word") > 0)
+    at, room = 1 << 30, SENT
+    for g, n in sorted(map(tuple, words.groupBy(grade).count().collect()), reverse=True):  # a thousand grades at most
+        room -= n
+        if room < 0:
+            break
+        at = g
+    top = sorted(words.filter(grade >= at).collect(), key=lambda r: (-r["c"], bytes(r["word"])))  # SENT rows at most
     ends = counts.filter(F.length("word") == 0).collect()
     pairs = [(bytes(r["word"]), r["c"]) for r in top]
     model = [(END, ends[0]["c"] if ends else 0), *pairs[: MODEL_WORDS - 1]]
@@ -314,7 +322,7 @@ class Network:
 
     def score(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log-probability of every target (steps, lanes), 0 at padding."""
-        h, out = np.zeros((x.shape[1], HIDDEN), dtype=np.float32), np.zeros(x.shape)
+        h, out = np.zeros((x.shape[1], HIDDEN), dtype=np.float32), np.zeros(x.shape, dtype=np.float32)
         for t, xs, ys in self.windows(x, y):
             states, _ = self.forward(xs, h[: xs.shape[1]])
             h = states[-1]
@@ -336,7 +344,7 @@ def lanes(docs: list[np.ndarray], start: int, width: int = LANES) -> tuple[np.nd
     parts, to = [parts[i] for i in longest], {lane: i for i, lane in enumerate(longest)}
     where = [(to[lane], n) for lane, n in where]
     steps = max(n for n, _ in free)
-    x, y = np.full((steps, width), start, dtype=np.int64), np.full((steps, width), -1, dtype=np.int64)
+    x, y = np.full((steps, width), start, dtype=np.int32), np.full((steps, width), -1, dtype=np.int32)
     for lane, p in enumerate(parts):
         at = 0
         for ids in p:
@@ -351,13 +359,14 @@ def model_ids(codes: np.ndarray, v: Vocabulary, shape_of: np.ndarray) -> np.ndar
     return np.where(codes < 0, v.n_model - 1 - codes, np.where(codes < v.n_model, codes, v.n_model + shape_of[codes]))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[tuple[pa.RecordBatch, int, list[bytes]]]]:
-    """Documents in groups of about ``CHUNK`` tokens."""
+def _chunks(batches: Iterator[pa.RecordBatch], column: int, known: Codes) -> Iterator[list[tuple[pa.RecordBatch, int, np.ndarray, Counter]]]:
+    """Documents in groups of about ``CHUNK`` tokens: batch, place, codes, and the words that were not sent."""
     held, n = [], 0
     for b in batches:
         for i, t in enumerate(b.column(column).to_pylist()):
             w = tokens(t)
-            held.append((b, i, w))
+            codes = np.fromiter(map(known.__getitem__, w), dtype=np.int32, count=len(w))
+            held.append((b, i, codes, Counter(w[k] for k in np.flatnonzero(codes < 0).tolist())))
             n += len(w)
             if n >= CHUNK:
                 yield held
@@ -366,25 +375,17 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[tup
         yield held
 
 
-def _coded(held: list, known: Codes) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all tokens of a group, and where its documents begin."""
-    sizes = np.array([len(w) for _, _, w in held])
-    codes = np.fromiter((known[x] for _, _, w in held for x in w), dtype=np.int64, count=int(sizes.sum()))
-    return codes, np.concatenate([[0], np.cumsum(sizes)])
-
-
 def trained(rows: DataFrame, v: Vocabulary, p: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """The average of what each task makes of ``p`` on its rows."""
     shape_of = np.array([shape(w) for w in v.words])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, known, seen = Network(v, p), Codes(v), 0
-        for held in _chunks(batches, 0):
-            codes, ends = _coded(held, known)
-            ids = model_ids(codes, v, shape_of)
-            cuts = np.unique(np.concatenate([np.arange(a, b, SEGMENT) for a, b in zip(ends, ends[1:])]))
-            net.train(*lanes(np.split(ids, cuts[1:]), net.start)[:2])
-            seen += len(ids)
+        for held in _chunks(batches, 0, known):
+            docs = [model_ids(codes, v, shape_of) for _, _, codes, _ in held]
+            parts = [d[k : k + SEGMENT] for d in docs for k in range(0, len(d), SEGMENT)]
+            net.train(*lanes(parts, net.start)[:2])
+            seen += sum(map(len, docs))
         if seen:
             x = flat(net.p).astype(np.float64)
             yield pa.record_batch(
@@ -405,8 +406,9 @@ def scored(rows: DataFrame, v: Vocabulary, p: dict[str, np.ndarray]) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, known, row = Network(v, p), Codes(v), TaskContext.get().partitionId() << 33
-        for held in _chunks(batches, 1):
-            codes, ends = _coded(held, known)
+        for held in _chunks(batches, 1, known):
+            codes = np.concatenate([h[2] for h in held])
+            ends = np.concatenate([[0], np.cumsum([len(h[2]) for h in held])])
             ids = model_ids(codes, v, shape_of)
             x, y, where = lanes(np.split(ids, ends[1:-1]), net.start)
             logp = net.score(x, y)
@@ -417,9 +419,9 @@ def scored(rows: DataFrame, v: Vocabulary, p: dict[str, np.ndarray]) -> DataFram
             per = lambda a: np.add.reduceat(a, ends[:-1])
             seen = sent & (v.counts[np.minimum(np.maximum(codes, 0), width - 1)] > 0)
             sizes = np.diff(ends)
-            model = [logp[a : a + n, lane].sum() / math.log(10) for (lane, a), n in zip(where, sizes)]
-            rest = [Counter(w[k] for k in np.flatnonzero(codes[a:b] < 0).tolist()) for (_, _, w), a, b in zip(held, ends, ends[1:])]
-            doc_ids = pa.array([b.column(0)[i].as_py() for b, i, _ in held], pa.int64())
+            model = [logp[a : a + n, lane].sum(dtype=np.float64) / math.log(10) for (lane, a), n in zip(where, sizes)]
+            rest = [h[3] for h in held]
+            doc_ids = pa.array([b.column(0)[i].as_py() for b, i, _, _ in held], pa.int64())
             numbers = np.arange(row, row + len(held))
             row += len(held)
             yield pa.record_batch(
