@@ -41,14 +41,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut
 
 SENT = 65_536
-MODEL_WORDS = 1024
-CLASSES = 24
-HIDDEN = 24
+MODEL_WORDS = 512
+CLASSES = 16
+HIDDEN = 16
 LANES = 256
 WINDOW = 32
 RATE = 0.1
 #: Tokens that are laid side by side at once, at most (a longer document alone).
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: In training a longer document is cut, and the state starts anew there.
 SEGMENT = 2048
 #: A task hands on its counts when it has so many words.
