@@ -69,7 +69,7 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-#: XXH64 fingerprints and tokenizer ids are beyond SQL; see tests/llm/test_pipeline.py.
+#: XXH64 fingerprints and tokenizer ids are beyond SQL; the operators are tested in tests/llm.
 ORACLE_SQL = None
 
 
