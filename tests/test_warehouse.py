@@ -64,6 +64,41 @@ def test_drivers_on_parquet_match_the_pure_chain(spark, scratch):
     assert {r["Procedure"] for r in summary} == {f"Sales_Tag.Orders_{k.capitalize()}" for k in KINDS}
 
 
+def test_a_commit_that_stopped_half_way_is_repeated(spark, scratch):
+    import pytest
+    from helpers import TAG_SCHEMA
+
+    from tidemark.sources.tables import KeyedParquetTable
+
+    feed = [(k, d("2020-01-01"), d("2021-01-01") if k % 2 else d("2021-02-01"), "I") for k in range(40)]
+    spark.createDataFrame(feed, TAG_SCHEMA).write.parquet(f"{scratch}/feed")
+    source = spark.read.parquet(f"{scratch}/feed")
+    for kind in KINDS:
+        name = f"T_{kind.capitalize()}"
+        schema = tags.empty_target(spark, source, ("k",), kind).schema
+        wh = ParquetWarehouse(
+            spark, f"{scratch}/wh", {("S_Tag", name): (TableSpec(name, ("k",)), schema)},
+            views={("S", "T"): lambda s: s.read.parquet(f"{scratch}/feed")}, buckets=4,
+        )
+        wh.set_watermark("S_Tag", d("2022-01-01"))
+        whole = KeyedParquetTable.append
+        # the newest change lands, the rest does not
+        KeyedParquetTable.append = lambda t, rows: (whole(t, rows.where("k = 0")), 1 / 0)
+        try:
+            with pytest.raises(control.ControlFailed):
+                control.run_control(kind, wh, now=d("2024-01-01"))
+        finally:
+            KeyedParquetTable.append = whole
+        assert wh.target("S_Tag", name).count() == 1 and wh.progress("S_Tag", name) is None
+        r = control.run_control(kind, wh, now=d("2024-01-02"))
+        assert r.rows[0].date_from == d("1900-01-01")
+        keys = sorted(x["k"] for x in wh.target("S_Tag", name).collect())
+        assert keys == list(range(40))
+        assert wh.progress("S_Tag", name) == d("2021-02-01")
+        again = control.run_control(kind, wh, now=d("2024-01-03"))
+        assert again.rows[0].date_from == again.rows[0].date_to == d("2021-02-01")
+
+
 def test_another_bucket_count_is_refused(spark, scratch):
     import pytest
     from pyspark.sql import types as T

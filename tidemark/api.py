@@ -41,7 +41,7 @@ def _load(kind, wh, source: Name, target: Name, date_from, date_to, dry_run, now
     try:
         return control.load_pair(kind, wh, source, target, limit, now, dry_run, log, date_from=date_from)
     finally:
-        wh.log(log.events)
+        log.flush(wh)
 
 
 def tag_first(wh, source: Name, target: Name, date_from=None, date_to=None, dry_run=False, now=None) -> StepResult:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import itertools
+import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -95,6 +96,8 @@ class EventLog:
     def __init__(self, start: int | None = None) -> None:
         self._seq = itertools.count(start if start is not None else time.time_ns() // 1000)
         self.events: list[tuple] = []
+        self._written = 0
+        self._lock = threading.Lock()
 
     def add(self, load_date, procedure, step_name, status, message=None, rows=None, at=None) -> None:
         if status == STATUS_START and step_name is None:
@@ -102,9 +105,18 @@ class EventLog:
         at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         self.events.append((next(self._seq), at, load_date, procedure, step_name, status, message, rows))
 
+    def flush(self, wh) -> None:
+        """Write the events since the last flush, so that a running load shows in the log."""
+        with self._lock:
+            wh.log(self.events[self._written :])
+            self._written = len(self.events)
 
-def _counts(changes: DataFrame) -> dict[str, int]:
-    return {r[UPSERT]: r["count"] for r in changes.groupBy(UPSERT).count().collect()}
+
+def _counts(changes: DataFrame, ts_col: str) -> tuple[dict[str, int], _dt.datetime | None]:
+    """Change rows by flag, and their newest change timestamp."""
+    found = changes.groupBy(UPSERT).agg(F.count("*").alias("n"), F.max(ts_col).alias("newest")).collect()
+    newest = [r["newest"] for r in found if r["newest"] is not None]
+    return {r[UPSERT]: r["n"] for r in found}, max(newest, default=None)
 
 
 def load_pair(
@@ -121,8 +133,10 @@ def load_pair(
 ) -> StepResult:
     """Load one target from one source; raises on failure (after logging it).
 
-    ``date_from`` replays from an explicit low bound (default: the newest
-    timestamp the target holds); ``date_limit`` caps the watermark.
+    ``date_from`` replays from an explicit low bound; by default it is the
+    newest timestamp of the finished commits where the warehouse keeps it
+    (none yet: everything is loaded again, which changes no finished row),
+    else the newest the target holds.  ``date_limit`` caps the watermark.
     """
     log = log or EventLog()
     me = ".".join(target)
@@ -136,6 +150,10 @@ def load_pair(
         spec = wh.spec(*target)
         src, tgt = wh.source(*source), wh.target(*target)
         log.add(load_date, me, STEP_DATES, STATUS_START)
+        log.flush(wh)
+        keeps_progress = hasattr(wh, "progress")
+        if date_from is None and keeps_progress:
+            date_from = wh.progress(*target) or LOADERS[kind].default_low
         options = {"computed": dict(spec.computed)} if kind == "dimensional" and spec.computed else {}
         if hasattr(wh, "target_for"):
             # read only the target buckets the window's keys hash to
@@ -160,11 +178,14 @@ def load_pair(
                     assert_no_null_keys(changes, spec.keys, ".".join(source))
                     if kind == "dimensional":
                         assert_unique_keys(changes, spec.keys, ".".join(source))
-                counts = _counts(changes) if counting else {}
+                counts, newest = _counts(changes, LOADERS[kind].ts_col) if counting else ({}, None)
                 total = sum(counts.values()) if counting else w.rows
                 first, update, insert = STEPS[kind]
                 log.add(load_date, me, first, STATUS_START, rows=0)
+                log.flush(wh)
                 wh.commit(*target, kind, result.state, changes, total)
+                if keeps_progress:
+                    wh.advance(*target, newest)
                 if update:
                     log.add(load_date, me, update, STATUS_START, rows=total)
                     log.add(load_date, me, insert, STATUS_START, rows=counts.get("U", 0))
@@ -179,6 +200,8 @@ def load_pair(
     except Exception as e:
         log.add(load_date, me, None, STATUS_FAILED, str(e))
         raise
+    finally:
+        log.flush(wh)
 
 
 def discover(kind: str, registry: DataFrame) -> DataFrame:
@@ -233,7 +256,6 @@ def run_control(
             report.rows = list(pool.map(one, pairs))
     else:
         report.rows = [one(p) for p in pairs]
-    wh.log(log.events)
     text = report.failure_message
     if text and raise_on_failure:
         raise ControlFailed(text, report)

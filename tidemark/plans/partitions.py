@@ -47,8 +47,8 @@ OPEN_VALUE = "9999-12-31 00:00:00"
 def existing_boundaries(data: DataFrame, partition_col: str) -> DataFrame:
     """The boundaries a dataset has: distinct values of its partition column.
 
-    On a file-partitioned dataset the scan reads only directory names for
-    this one column.
+    On a file-partitioned dataset the scan reads no data column: the value
+    comes from the directory names, the row counts from the file footers.
     """
     return data.select(F.col(partition_col).cast("timestamp_ntz").alias("Value")).distinct()
 

@@ -8,7 +8,10 @@
 * ``ParquetWarehouse`` keeps each declared table under
   ``<root>/<schema>/<object>`` as a ``KeyedParquetTable``; views are named
   DataFrame builders.  The run log is an append-only parquet dataset of
-  step events under ``<root>/__log``.
+  step events under ``<root>/__log``, written as the events occur.  How far
+  a target is loaded is a row beside the table, added only after a commit:
+  a commit that stopped half way is repeated from the old bound, whatever
+  rows it left behind.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.constants import CAPTURE, TABLE_TYPE, VIEW_TYPE, WATERMARK_TABLE
@@ -138,6 +142,23 @@ class ParquetWarehouse:
         df = self.spark.createDataFrame([(value,)], "LakeTimestamp timestamp_ntz")
         df.write.mode("overwrite").parquet(f"{self.root}/{schema}/{WATERMARK_TABLE}")
 
+    def _progress(self, schema: str, name: str) -> str:
+        return f"{self.root}/{schema}/{name}.progress"
+
+    def progress(self, schema: str, name: str) -> _dt.datetime | None:
+        """The newest change timestamp of the finished commits (None: none)."""
+        path = self._progress(schema, name)
+        if not path_exists(self.spark, path):
+            return None
+        return self.spark.read.parquet(path).agg(F.max("loaded_to").alias("m")).first()["m"]
+
+    def advance(self, schema: str, name: str, loaded_to: _dt.datetime | None) -> None:
+        """Add a progress row (none without a change); call it after the commit."""
+        if loaded_to is None:
+            return
+        df = self.spark.createDataFrame([(loaded_to,)], "loaded_to timestamp_ntz")
+        df.coalesce(1).write.mode("append").parquet(self._progress(schema, name))
+
     def commit(self, schema: str, name: str, kind: str, state: DataFrame, changes: DataFrame, rows: int) -> None:
         table = self._table(schema, name)
         if kind == "first":
@@ -149,7 +170,8 @@ class ParquetWarehouse:
 
     def log(self, events: list[tuple]) -> None:
         if events:
-            self.spark.createDataFrame(events, EVENT_SCHEMA).write.mode("append").parquet(f"{self.root}/__log")
+            df = self.spark.createDataFrame(events, EVENT_SCHEMA).coalesce(1)
+            df.write.mode("append").parquet(f"{self.root}/__log")
 
     def log_events(self) -> DataFrame:
         path = f"{self.root}/__log"
