@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, packing, quality, secret_scan, simhash
@@ -25,9 +25,20 @@ def _carried(docs: DataFrame, *needed: str) -> DataFrame:
     return docs.select(*needed, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
 
+def _rows_where(judged: DataFrame, passes: Column) -> DataFrame:
+    """The whole rows that pass.
+
+    A filter would be pushed below the operator's projection, with every
+    measure written out again in it and evaluated once for each use. A
+    generator stays above, so the measures are evaluated once.
+    """
+    some = F.explode(F.when(passes, F.array("_row")).otherwise(F.slice(F.array("_row"), 1, 0)))
+    return judged.select(some.alias("_row")).select("_row.*")
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules (a null text fails)."""
-    return quality.judge(_carried(docs, "text")).filter("kept").select("_row.*")
+    return _rows_where(quality.judge(_carried(docs, "text")), F.col("kept"))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +57,7 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no secret was found."""
-    return secret_scan.scan(_carried(docs, "text")).filter(F.size("spans") == 0).select("_row.*")
+    return _rows_where(secret_scan.scan(_carried(docs, "text")), F.size("spans") == 0)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
