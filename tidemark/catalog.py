@@ -7,6 +7,7 @@ query shows the target a sequence of batches leaves behind.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,19 @@ def tag_state(kind: str, batches: int) -> Query:
     return q
 
 
+def tag_full(kind: str) -> Query:
+    """An initial load of every change."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = fx.tag_source(spark, sf_dir)
+        empty = tags.empty_target(spark, src, fx.TAG_KEYS, kind)
+        loaded = chain(kind, src, empty, fx.TAG_KEYS, fx.BATCH_WATERMARKS[-1:], fx.BATCH_NOWS[:1])
+        return _show_expiry(loaded[-1].state)
+
+    q.__name__ = f"tag_{kind}_full"
+    return q
+
+
 def tag_changes(kind: str, batch: int) -> Query:
     """The change set (with its Upsert flag) of batch ``batch`` (1-based)."""
 
@@ -224,6 +238,38 @@ def control_report(kind: str) -> Query:
     return q
 
 
+def control_state(kind: str) -> Query:
+    """What the driver's runs leave in the parquet targets, with each target's name.
+
+    Silver: limits 1996-01-01, then 2003-01-01. Gold: three Live snapshots,
+    the last with every order. A target whose pair fails stays empty.
+    """
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+        options = {"raise_on_failure": False, "parallelism": PAIR_THREADS}
+        if kind == "dimensional":
+            wh = None
+            for cutoff in (*fx.LIVE_CUTOFFS, fx.LIVE_FULL):
+                wh = fx.stored_gold(spark, sf_dir, cutoff, root, wh)
+                control.run_control(kind, wh, date_limit=fx.GOLD_NOW, now=fx.GOLD_NOW, **options)
+            names = [n for n in wh.specs if n[0] == "Dimension"]
+        else:
+            wh = fx.stored_silver(spark, sf_dir, root)
+            for limit, now in zip(fx.CONTROL_LIMITS, fx.BATCH_NOWS, strict=False):
+                control.run_control(kind, wh, date_limit=limit, now=now, **options)
+            names = [n for n in wh.specs if n[1].endswith("_" + kind.capitalize())]
+        out = None
+        for name in names:
+            label = ".".join((control.LAYER[kind], *name))
+            rows = wh.target(*name).select(F.lit(label).alias("Target"), "*")
+            out = rows if out is None else out.unionByName(rows)
+        return _show_expiry(out)
+
+    q.__name__ = f"control_{kind}_state"
+    return q
+
+
 def failure_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = [_silver_report(spark, sf_dir, k) for k in fx.TAG_KINDS]
     reports.append(_gold_report(spark, sf_dir))
@@ -263,6 +309,10 @@ def _queries() -> dict[str, Query]:
         "control_latest_report": control_report("latest"),
         "control_history_report": control_report("history"),
         "control_dimensional_report": control_report("dimensional"),
+        "control_first_state": control_state("first"),
+        "control_latest_state": control_state("latest"),
+        "control_history_state": control_state("history"),
+        "control_dimensional_state": control_state("dimensional"),
         "failure_message": failure_message,
         "partition_grain": partition_grain,
         "partition_spine": partition_spine,
@@ -277,6 +327,9 @@ def _queries() -> dict[str, Query]:
         "dim_changes": dim_changes,
         "dim_candidates": dim_candidates,
         "window_bounds": window_bounds,
+        "tag_first_full": tag_full("first"),
+        "tag_latest_full": tag_full("latest"),
+        "tag_history_full": tag_full("history"),
         "tag_first_initial": tag_state("first", 1),
         "tag_first_incremental": tag_state("first", 3),
         "tag_first_changes": tag_changes("first", 2),

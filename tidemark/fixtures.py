@@ -28,6 +28,8 @@ BATCH_NOWS = (
 )
 # Cut-offs of the two Live-view snapshots and the gold "now".
 LIVE_CUTOFFS = (_dt.datetime(1996, 1, 1), _dt.datetime(1996, 7, 1))
+# A third snapshot that holds every order.
+LIVE_FULL = _dt.datetime(2003, 1, 1)
 GOLD_NOW = _dt.datetime(2024, 1, 1)
 TAG_KEYS = ("k",)
 CUSTOMER_KEYS = ("c_custkey",)
@@ -182,7 +184,9 @@ def partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- fixed values: warehouse layout of the driver fixtures -------------------------
-SILVER_WATERMARK = _dt.datetime(1996, 4, 1)
+# Every change of a segment can load, but for the first one's, which is capped.
+SILVER_WATERMARK = _dt.datetime(2003, 1, 1)
+CAPPED_WATERMARK = _dt.datetime(1996, 4, 1)
 CONTROL_LIMITS = (_dt.datetime(1996, 1, 1), _dt.datetime(2003, 1, 1))
 TAG_KINDS = ("first", "latest", "history")
 
@@ -203,6 +207,11 @@ def segment_feed(spark: SparkSession, sf_dir: str, segment: str) -> DataFrame:
     return tag_source(spark, sf_dir).join(cust, "k", "left_semi")
 
 
+def segment_watermark(n: int) -> _dt.datetime:
+    """High watermark of the n-th segment's tag schema."""
+    return CAPPED_WATERMARK if n == 0 else SILVER_WATERMARK
+
+
 def silver_warehouse(spark: SparkSession, sf_dir: str):
     """Per segment: table ``Seg.Orders`` and view ``Seg_Derived.Returns``
     (delete actions only), their First / Latest / History tag tables in
@@ -229,11 +238,44 @@ def silver_warehouse(spark: SparkSession, sf_dir: str):
                 wh.specs[(s + "_Tag", name)] = TableSpec(name, TAG_KEYS)
         if n < len(segs) - 1:
             wh.tables[(s + "_Tag", "__high_watermark")] = spark.createDataFrame(
-                [(SILVER_WATERMARK,)], "LakeTimestamp timestamp_ntz"
+                [(segment_watermark(n),)], "LakeTimestamp timestamp_ntz"
             )
     return wh
 
 
+def stored_silver(spark: SparkSession, sf_dir: str, root: str):
+    """The same sources and tag tables on parquet under ``root``.
+
+    The feed is written once, partitioned by segment; each source is a view
+    of its segment's partition.
+    """
+    from tidemark.operators.tags import empty_target
+    from tidemark.sources.warehouse import ParquetWarehouse
+    from tidemark.spec import TableSpec
+
+    seg_of = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("seg"))
+    feed = tag_source(spark, sf_dir).join(seg_of, "k")
+    feed.hint("rebalance", "seg").write.partitionBy("seg").parquet(f"{root}/feed")
+    stored = spark.read.parquet(f"{root}/feed")
+    specs, views = {}, {}
+    segs = segments(spark, sf_dir)
+    for seg in segs:
+        s = schema_name(seg)
+        orders = stored.where(F.col("seg") == seg).drop("seg")
+        returns = orders.where(F.col("LakeActionCode") == "D")
+        views[(s, "Orders")] = lambda _, v=orders: v
+        views[(s + "_Derived", "Returns")] = lambda _, v=returns: v
+        for obj in ("Orders", "Returns"):
+            for kind in TAG_KINDS:
+                name = f"{obj}_{kind.capitalize()}"
+                tag = empty_target(spark, orders, TAG_KEYS, kind).schema
+                specs[(s + "_Tag", name)] = (TableSpec(name, TAG_KEYS), tag)
+    wh = ParquetWarehouse(spark, f"{root}/silver", specs, views, buckets=4)
+    for n, seg in enumerate(segs[:-1]):
+        wh.set_watermark(schema_name(seg) + "_Tag", segment_watermark(n))
+    return wh
+
+
 def live_segment_nation(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime) -> DataFrame:
     """A Live view keyed (wrongly) by segment alone: one row per segment and nation."""
     live = live_customers(spark, sf_dir, cutoff)
@@ -268,3 +310,22 @@ def gold_warehouse(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime, wh=No
         wh.specs[("Fact", "SegmentNation")] = TableSpec("SegmentNation", ("c_mktsegment",))
         wh.tables[("Bridge", "Unfed")] = spark.createDataFrame([], sn.schema)
     return wh
+
+
+def stored_gold(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime, root: str, wh=None):
+    """``gold_warehouse`` with its targets on parquet under ``root``."""
+    from tidemark.sources.warehouse import ParquetWarehouse
+    from tidemark.spec import TableSpec
+
+    live = live_customers(spark, sf_dir, cutoff)
+    sn = live_segment_nation(spark, sf_dir, cutoff)
+    names = {seg: "Customer_" + schema_name(seg) for seg in segments(spark, sf_dir)}
+    if wh is None:
+        specs = {("Dimension", n): (TableSpec(n, CUSTOMER_KEYS), live.schema) for n in names.values()}
+        specs[("Fact", "SegmentNation")] = (TableSpec("SegmentNation", ("c_mktsegment",)), sn.schema)
+        wh = ParquetWarehouse(spark, f"{root}/gold", specs, buckets=4)
+    for seg, name in names.items():
+        view = live.where(F.col("c_mktsegment") == seg)
+        wh.views[("Live", name)] = lambda _, v=view: v
+    wh.views[("Live", "SegmentNation")] = lambda _: sn
+    return wh
