@@ -78,3 +78,35 @@ def test_existing_boundaries_of_a_partitioned_dataset(spark, scratch):
         .selectExpr("v", "to_date(month) AS month").write.partitionBy("month").parquet(path)
     got = sorted(r[0] for r in pp.existing_boundaries(spark.read.parquet(path), "month").collect())
     assert got == [d("2020-01-01"), d("2020-02-01")]
+
+
+def test_merged_boundaries_fold_into_a_neighbour_that_stays(spark):
+    v = values(spark, ["2020-01-01", "2020-02-01", "2020-03-01", "2020-04-01", "2020-05-01"])
+    merged = [("2020-01-01 00:00:00.000", "Merge"), ("2020-03-01 00:00:00.000", "Merge"),
+              ("2020-04-01 00:00:00.000", "Merge"), ("2020-07-01 00:00:00.000", "Insert")]
+    plan = spark.createDataFrame(merged, "Boundary string, Action string")
+    got = {r["Value"]: r["Neighbour"] for r in pp.merge_targets(v, plan).collect()}
+    assert got == {
+        d("2020-01-01"): d("2020-02-01"), d("2020-03-01"): d("2020-02-01"), d("2020-04-01"): d("2020-02-01"),
+    }
+    alone = pp.merge_targets(values(spark, ["2020-01-01"]), plan).collect()
+    assert [tuple(r) for r in alone] == [(d("2020-01-01"), d("2020-01-01"))]
+
+
+def test_merge_and_tiers_read_only_the_listed_partitions(spark, scratch):
+    import os
+
+    path = os.path.join(scratch, "ds")
+    spark.createDataFrame([(i, f"2020-0{i}-01") for i in range(1, 5)], "v int, m string") \
+        .selectExpr("v", "cast(m as timestamp_ntz) AS month").write.partitionBy("month").parquet(path)
+    data = spark.read.schema("v int, month timestamp_ntz").parquet(path)
+    targets = spark.createDataFrame([(d("2020-03-01"), d("2020-02-01"))], "month timestamp_ntz, Neighbour timestamp_ntz")
+    moved = pp.merged_rows(data, targets, "month")
+    assert [(r["v"], r["Neighbour"]) for r in moved.collect()] == [(3, d("2020-02-01"))]
+    tiers = spark.createDataFrame([(1, d("2020-04-01"), "PAGE")], "i int, month timestamp_ntz, TargetCompression string")
+    cold = pp.tier_rows(data, tiers, ["month"])
+    assert [(r["v"], r["TargetCompression"]) for r in cold.collect()] == [(4, "PAGE")]
+    for df in (moved, cold):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scan = next(x for x in plan.splitlines() if "PartitionFilters" in x)
+        assert "PartitionFilters: []" not in scan

@@ -178,6 +178,23 @@ def partition_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pp.partition_tiers(fx.partition_list(spark, sf_dir))
 
 
+def partition_tiers_focus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tier changes of one dataset."""
+    return pp.partition_tiers(fx.partition_list(spark, sf_dir), schema="tpch", table="lineitem_R")
+
+
+def partition_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the partitions that a trimming plan folds away, with their new partition."""
+    data = fx.partitioned_lineitem(spark, sf_dir)
+    values = pp.existing_boundaries(data, "PartitionValue").checkpoint()
+    stats = pp.grain_stats(values).first()
+    bounds = pp.bounds_from_stats(stats, fx.MERGE_BOUNDARY, first_boundary=fx.PLAN_FIRST_BOUNDARY)
+    plan = pp.partition_plan(spark, values, bounds, trim=True)
+    targets = pp.merge_targets(values, plan).withColumnRenamed("Value", "PartitionValue")
+    moved = pp.merged_rows(data, targets.checkpoint(), "PartitionValue")
+    return moved.select("l_orderkey", "l_linenumber", "ObjectName", "PartitionValue", "Neighbour")
+
+
 def partition_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows a tier rewrite touches, with the tier they are rewritten into."""
     plist = fx.partition_list(spark, sf_dir)
@@ -318,6 +335,8 @@ def _queries() -> dict[str, Query]:
         "partition_spine": partition_spine,
         "partition_plan": partition_plan,
         "partition_tiers": partition_tiers,
+        "partition_tiers_focus": partition_tiers_focus,
+        "partition_merge": partition_merge,
         "partition_recompress": partition_recompress,
         "log_summary": log_summary,
         "log_latest": log_latest,

@@ -143,6 +143,8 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- fixed values: partition-plan parameters -------------------------------------
 PLAN_BOUNDARY = _dt.datetime(2002, 3, 1)
 PLAN_FIRST_BOUNDARY = _dt.datetime(1996, 1, 1)
+# Limit of the merge: later partitions fold into the one before.
+MERGE_BOUNDARY = _dt.datetime(1998, 1, 1)
 TIER_SPLIT = _dt.datetime(1996, 1, 1)
 
 

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ntz
-from tidemark.operators.sizing import bounded_broadcast
 from tidemark.functions.constants import (
     ACTION_INSERT,
     ACTION_MERGE,
@@ -40,6 +39,7 @@ from tidemark.functions.constants import (
     MS_TEXT,
     TIER_PARQUET_CODEC,
 )
+from tidemark.operators.sizing import bounded_broadcast
 
 OPEN_VALUE = "9999-12-31 00:00:00"
 
@@ -206,11 +206,50 @@ def partition_tiers(
 def tier_rows(data: DataFrame, tiers: DataFrame, on: list[str]) -> DataFrame:
     """The data rows of partitions whose tier changes, with the target tier.
 
-    ``tiers`` has one row per partition whose tier changes; it is counted
-    and broadcast under the size limit (else the join shuffles).
+    ``tiers`` has one row per partition whose tier changes. The values of
+    the last column of ``on`` (the partition column) are collected and prune
+    the scan; the tier comes by a join, broadcast under the size limit.
     """
     t = tiers.drop("i")
-    return data.join(bounded_broadcast(t, t.count()), on, "inner")
+    pruned, rows = _in_partitions(data, t, on[-1])
+    return pruned.join(bounded_broadcast(t, rows), on, "inner")
+
+
+def _in_partitions(data: DataFrame, listed: DataFrame, col: str) -> tuple[DataFrame, int]:
+    """Rows in the listed partitions (a partition filter), and the number listed."""
+    found = listed.groupBy(col).count().collect()
+    literals = [ntz(r[col]) if isinstance(r[col], _dt.datetime) else F.lit(r[col]) for r in found]
+    return data.where(F.col(col).isin(literals)), sum(r["count"] for r in found)
+
+
+def merge_targets(values: DataFrame, plan: DataFrame, col: str = "Value") -> DataFrame:
+    """``col, Neighbour``: where the rows of each merged boundary go.
+
+    The neighbour is the next boundary below that stays, or, below the first
+    that stays, that one; if none stays the rows keep their value. One row
+    per partition, so the window is small.
+    """
+    merged = plan.where(F.col("Action") == ACTION_MERGE).select(
+        F.col("Boundary").cast("timestamp_ntz").alias(col), F.lit(True).alias("_merged")
+    )
+    v = values.join(merged, col, "left")
+    stays = F.when(F.col("_merged").isNull(), F.col(col))
+    by_value = Window.orderBy(col)
+    below = F.last(stays, ignorenulls=True).over(by_value.rowsBetween(Window.unboundedPreceding, 0))
+    above = F.first(stays, ignorenulls=True).over(by_value.rowsBetween(0, Window.unboundedFollowing))
+    v = v.withColumn("Neighbour", F.coalesce(below, above, F.col(col)))
+    return v.where(F.col("_merged")).select(col, "Neighbour")
+
+
+def merged_rows(data: DataFrame, targets: DataFrame, col: str) -> DataFrame:
+    """The data rows of merged partitions, with the value they move to as ``Neighbour``.
+
+    Only merged partitions are read. The caller adds the rows to their
+    neighbours and drops the merged partitions in one commit of its table
+    format; plain parquet has none that covers both.
+    """
+    pruned, rows = _in_partitions(data, targets, col)
+    return pruned.join(bounded_broadcast(targets, rows), col)
 
 
 def rewrite_tiers(rows: DataFrame, path: str, partition_cols: list[str]) -> None:
