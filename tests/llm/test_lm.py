@@ -116,3 +116,26 @@ def test_state_runs_through_whole_documents(small):
     before = net.score(x, y).sum()
     net.train(x, y)
     assert net.score(x, y).sum() > before * 0.7
+
+
+def test_training_carries_the_state_through_a_long_document(spark, small, monkeypatch):
+    """One start per document, and the model as large as it was."""
+    assert (lm.MODEL_WORDS, lm.CLASSES, lm.HIDDEN) == (1024, 24, 24)
+    texts = [b"the of " * 2500, b"a b c"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t binary").coalesce(1)
+    p, codes = lm.start_parameters(small), lm.Codes(small)
+    shape_of = np.array([lm.shape(w) for w in small.words])
+    net = lm.Network(small, p)
+    ids = [lm.model_ids(np.array([codes[w] for w in lm.tokens(t)]), small, shape_of) for t in texts]
+    x, y, _ = lm.lanes(ids, net.start)
+    assert ((x == net.start) & (y >= 0)).sum() == len(texts)
+    net.train(x, y)
+    got = lm.trained(rows, small, p)
+    for k in p:
+        assert got[k] == pytest.approx(net.p[k], rel=1e-5, abs=1e-6)
+
+
+def test_padding_is_bounded(small):
+    docs = [np.zeros(20_000, dtype=int), *[np.zeros(2, dtype=int)] * 500]
+    x, y, where = lm.lanes(docs, small.inputs - 1)
+    assert x.size <= 5 * sum(map(len, docs)) and (y >= 0).sum() == sum(map(len, docs))

@@ -12,7 +12,8 @@ word has a probability and they add up to one.
 
 Training. Every training document is read once. Each task trains on its
 documents by truncated backpropagation in numpy, many documents side by side,
-the state carried from window to window and reset where a document begins;
+the state carried from window to window through whole documents, however long,
+and reset only where a document begins;
 Spark averages the tasks' parameters, weighted by tokens. A small first round
 leads the tasks to a common start, the second takes the rest.
 
@@ -41,16 +42,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut
 
 SENT = 65_536
-MODEL_WORDS = 512
-CLASSES = 16
-HIDDEN = 16
+MODEL_WORDS = 1024
+CLASSES = 24
+HIDDEN = 24
 LANES = 256
 WINDOW = 32
 RATE = 0.1
 #: Tokens that are laid side by side at once, at most (a longer document alone).
 CHUNK = 2_000_000
-#: In training a longer document is cut, and the state starts anew there.
-SEGMENT = 2048
 #: A task hands on its counts when it has so many words.
 COUNTED = 400_000
 FIRST_ROUND = 8
@@ -203,6 +202,18 @@ def unflat(x: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return out
 
 
+def exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of the logits and its sum per row; the logits are shifted in place."""
+    logits -= logits.max()
+    e = np.exp(logits)
+    total = e @ np.ones(e.shape[1], dtype=e.dtype)
+    if total.min() < 1e-20:  # a row far below the largest
+        logits -= logits.max(axis=1, keepdims=True)
+        e = np.exp(logits)
+        total = e.sum(axis=1)
+    return e, total
+
+
 class Network:
     def __init__(self, v: Vocabulary, p: dict[str, np.ndarray]):
         self.v, self.p = v, {k: x.copy() for k, x in p.items()}
@@ -210,84 +221,102 @@ class Network:
         self.n_class = len(v.first) - 1
         self.sums = {k: np.full(x.shape, 1e-3, dtype=np.float32) for k, x in p.items()}
 
-    def forward(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, list]:
+    def forward(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         """States after each step of ids ``x`` (steps, lanes); a start id resets its lane."""
-        pre, u, n = self.p["E"][x], self.p["U"], HIDDEN
+        n, v = HIDDEN, self.v.inputs
+        by_gate = self.p["E"].reshape(v, 3, n).swapaxes(0, 1).reshape(3 * v, n)
+        pre = by_gate[x[:, None, :] + v * np.arange(3)[:, None]]  # steps, gates, lanes, units: each gate's values lie together
+        u = np.ascontiguousarray(self.p["U"].reshape(n, 3, n).swapaxes(0, 1))
         keep = (x != self.start).astype(np.float32)[:, :, None]
-        states, tape = np.empty((*x.shape, n), dtype=np.float32), []
+        states, before, new = (np.empty((*x.shape, n), dtype=pre.dtype) for _ in range(3))
+        hu, gates = np.empty_like(pre), np.empty_like(pre[:, :2])
         for t in range(len(x)):
-            h0 = h * keep[t]
-            hu = h0 @ u
-            gates = 1 / (1 + np.exp(-(pre[t, :, : 2 * n] + hu[:, : 2 * n])))
-            z, r = gates[:, :n], gates[:, n:]
-            new = np.tanh(pre[t, :, 2 * n :] + r * hu[:, 2 * n :])
-            h = new + z * (h0 - new)
-            states[t] = h
-            tape.append((h0, hu, z, r, new))
-        return states, tape
+            h0 = np.multiply(h, keep[t], out=before[t])
+            np.matmul(h0, u, out=hu[t])
+            g = np.add(pre[t, :2], hu[t, :2], out=gates[t])
+            np.negative(g, out=g)
+            np.exp(g, out=g)
+            g += 1
+            np.reciprocal(g, out=g)
+            m = np.multiply(g[1], hu[t, 2], out=new[t])
+            m += pre[t, 2]
+            np.tanh(m, out=m)
+            h = np.subtract(h0, m, out=states[t])
+            h *= g[0]
+            h += m
+        return states, (before, hu[:, 2], gates, new)
 
     def output(self, states: np.ndarray, target: np.ndarray, grad: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Natural log-probability of each target (the class alone outside the model), and the states' gradient."""
         v, p = self.v, self.p
         inside = target < v.n_model
         k = np.where(inside, v.class_of[np.minimum(target, v.n_model - 1)], self.n_class + target - v.n_model)
-        rows = np.arange(len(target))
-        logits = states @ p["C"] + p["c"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        logp = logits[rows, k] - np.log(total)
+        own = np.arange(len(target)), k
+        logits = states @ p["C"]
+        logits += p["c"]
+        e, total = exponentials(logits)
+        logp = logits[own] - np.log(total)
         back = None
         if grad is not None:
-            e /= total[:, None]
-            e[rows, k] -= 1
+            e *= (1 / total)[:, None]
+            e[own] -= 1
             grad["C"] = states.T @ e
             grad["c"] = e.sum(axis=0)
             back = e @ p["C"].T
             grad["W"], grad["w"] = np.zeros_like(p["W"]), np.zeros_like(p["w"])
-        order = np.argsort(np.where(inside, k, self.n_class), kind="stable")
-        ends = np.searchsorted(np.where(inside, k, self.n_class)[order], np.arange(self.n_class + 1))
+        group = np.where(inside, k, self.n_class).astype(np.int16)  # 16 bits are sorted by radix
+        order = np.argsort(group, kind="stable")
+        ends = np.searchsorted(group[order], np.arange(self.n_class + 1))
+        order = order[: ends[-1]]
+        s, word = states[order], target[order]
+        add, add_back = np.zeros_like(s[:, 0]), np.zeros_like(s)
         for c in range(self.n_class):
-            at, a, b = order[ends[c] : ends[c + 1]], v.first[c], v.first[c + 1]
-            if not len(at) or b - a == 1:
+            at, a, b = slice(ends[c], ends[c + 1]), v.first[c], v.first[c + 1]
+            if at.start == at.stop or b - a == 1:
                 continue
-            s = states[at]
-            lg = s @ p["W"][a:b].T + p["w"][a:b]
-            lg -= lg.max(axis=1, keepdims=True)
-            e = np.exp(lg)
-            total = e.sum(axis=1)
-            own = np.arange(len(at)), target[at] - a
-            logp[at] += lg[own] - np.log(total)
+            lg = s[at] @ p["W"][a:b].T
+            lg += p["w"][a:b]
+            e, total = exponentials(lg)
+            own = np.arange(len(lg)), word[at] - a
+            add[at] = lg[own] - np.log(total)
             if grad is not None:
-                e /= total[:, None]
+                e *= (1 / total)[:, None]
                 e[own] -= 1
-                grad["W"][a:b] = e.T @ s
+                grad["W"][a:b] = e.T @ s[at]
                 grad["w"][a:b] = e.sum(axis=0)
-                back[at] += e @ p["W"][a:b]
+                np.matmul(e, p["W"][a:b], out=add_back[at])
+        logp[order] += add
+        if grad is not None:
+            back[order] += add_back
         return logp, back
 
-    def backward(self, x: np.ndarray, tape: list, back: np.ndarray, grad: dict) -> None:
+    def backward(self, x: np.ndarray, tape: tuple, back: np.ndarray, grad: dict) -> None:
         """Through the window's steps; ``back`` is the output's gradient per state."""
-        u, n = self.p["U"], HIDDEN
-        keep = (x != self.start).astype(np.float32)[:, :, None]
-        dx, du = np.empty((*x.shape, 3 * n), dtype=np.float32), np.zeros_like(u)
-        dh = np.zeros_like(back[0])
-        dhu = np.empty((x.shape[1], 3 * n), dtype=np.float32)
+        n, (before, hu, gates, new) = HIDDEN, tape
+        ut = np.ascontiguousarray(self.p["U"].reshape(n, 3, n).transpose(1, 2, 0))
+        z, r, start = gates[:, 0], gates[:, 1], x == self.start
+        by_new = (1 - z) * (1 - new * new)
+        slopes = np.empty((len(x), 3, *new.shape[1:]), dtype=new.dtype)
+        slopes[:, 0] = (before - new) * z * (1 - z)
+        slopes[:, 1] = by_new * hu * r * (1 - r)
+        slopes[:, 2] = by_new * r
+        d, dhu, dh = np.empty_like(new), np.empty_like(slopes), np.zeros_like(back[0])
         for t in range(len(x) - 1, -1, -1):
-            h0, hu, z, r, new = tape[t]
-            dh = dh + back[t]
-            dn = dh * (1 - z) * (1 - new * new)
-            dx[t, :, 2 * n :] = dn
-            dhu[:, 2 * n :] = dn * r
-            dx[t, :, n : 2 * n] = dhu[:, n : 2 * n] = dn * hu[:, 2 * n :] * r * (1 - r)
-            dx[t, :, :n] = dhu[:, :n] = dh * (h0 - new) * z * (1 - z)
-            du += h0.T @ dhu
-            dh = (dh * z + dhu @ u.T) * keep[t]
-        grad["U"] = du
-        ids = x.ravel()
+            np.add(dh, back[t], out=d[t])
+            one, two, three = np.matmul(np.multiply(d[t], slopes[t], out=dhu[t]), ut)
+            dh = d[t] * z[t]
+            dh += one
+            dh += two
+            dh += three
+            dh[start[t]] = 0
+        dx = dhu.swapaxes(1, 2).reshape(-1, 3 * n)
+        grad["U"] = before.reshape(-1, n).T @ dx
+        dx[:, 2 * n :] = (d * by_new).reshape(-1, n)
+        ids = x.ravel().astype(np.min_scalar_type(self.v.inputs))
         order = np.argsort(ids, kind="stable")
-        at = np.flatnonzero(np.diff(ids[order], prepend=-1))
-        grad["E"] = (ids[order][at], np.add.reduceat(dx.reshape(-1, 3 * n)[order], at, axis=0))
+        ids = ids[order].astype(np.int64)
+        at = np.flatnonzero(np.diff(ids, prepend=-1))
+        grad["E"] = (ids[at], np.add.reduceat(dx[order], at, axis=0))
 
     def update(self, grad: dict) -> None:
         for k, g in grad.items():
@@ -314,9 +343,11 @@ class Network:
             h = states[-1]
             real = ys >= 0
             grad: dict = {}
-            _, back = self.output(states[real], ys[real], grad)
-            full = np.zeros_like(states)
-            full[real] = back
+            if real.all():
+                full = self.output(states.reshape(-1, HIDDEN), ys.ravel(), grad)[1].reshape(states.shape)
+            else:
+                full = np.zeros_like(states)
+                full[real] = self.output(states[real], ys[real], grad)[1]
             self.backward(xs, tape, full, grad)
             self.update(grad)
 
@@ -333,7 +364,7 @@ class Network:
 
 def lanes(docs: list[np.ndarray], start: int, width: int = LANES) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """Documents' ids laid into lanes of similar length, the longest first: inputs, targets, (lane, first step) of each."""
-    width = max(1, min(width, len(docs)))
+    width = max(1, min(width, len(docs), 4 * sum(map(len, docs)) // max(map(len, docs), default=1)))  # padding is bounded
     free, where, parts = [(0, i) for i in range(width)], [(0, 0)] * len(docs), [[] for _ in range(width)]
     for k in sorted(range(len(docs)), key=lambda k: -len(docs[k])):
         n, lane = heapq.heappop(free)
@@ -359,14 +390,16 @@ def model_ids(codes: np.ndarray, v: Vocabulary, shape_of: np.ndarray) -> np.ndar
     return np.where(codes < 0, v.n_model - 1 - codes, np.where(codes < v.n_model, codes, v.n_model + shape_of[codes]))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], column: int, known: Codes) -> Iterator[list[tuple[pa.RecordBatch, int, np.ndarray, Counter]]]:
-    """Documents in groups of about ``CHUNK`` tokens: batch, place, codes, and the words that were not sent."""
+def _chunks(
+    batches: Iterator[pa.RecordBatch], column: int, known: Codes, unsent: bool
+) -> Iterator[list[tuple[pa.RecordBatch, int, np.ndarray, Counter | None]]]:
+    """Documents in groups of about ``CHUNK`` tokens: batch, place, codes, and (if asked for) the words that were not sent."""
     held, n = [], 0
     for b in batches:
         for i, t in enumerate(b.column(column).to_pylist()):
             w = tokens(t)
             codes = np.fromiter(map(known.__getitem__, w), dtype=np.int32, count=len(w))
-            held.append((b, i, codes, Counter(w[k] for k in np.flatnonzero(codes < 0).tolist())))
+            held.append((b, i, codes, Counter(w[k] for k in np.flatnonzero(codes < 0).tolist()) if unsent else None))
             n += len(w)
             if n >= CHUNK:
                 yield held
@@ -381,10 +414,9 @@ def trained(rows: DataFrame, v: Vocabulary, p: dict[str, np.ndarray]) -> dict[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, known, seen = Network(v, p), Codes(v), 0
-        for held in _chunks(batches, 0, known):
+        for held in _chunks(batches, 0, known, False):
             docs = [model_ids(codes, v, shape_of) for _, _, codes, _ in held]
-            parts = [d[k : k + SEGMENT] for d in docs for k in range(0, len(d), SEGMENT)]
-            net.train(*lanes(parts, net.start)[:2])
+            net.train(*lanes(docs, net.start)[:2])
             seen += sum(map(len, docs))
         if seen:
             x = flat(net.p).astype(np.float64)
@@ -406,7 +438,7 @@ def scored(rows: DataFrame, v: Vocabulary, p: dict[str, np.ndarray]) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, known, row = Network(v, p), Codes(v), TaskContext.get().partitionId() << 33
-        for held in _chunks(batches, 1, known):
+        for held in _chunks(batches, 1, known, True):
             codes = np.concatenate([h[2] for h in held])
             ends = np.concatenate([[0], np.cumsum([len(h[2]) for h in held])])
             ids = model_ids(codes, v, shape_of)
