@@ -42,17 +42,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group.
+    """One row of each near-duplicate group: the least by id (nulls last), then by a hash of the text.
 
-    Rows that share a doc_id are one document; one of them stays. Rows
-    without an id count as one document, which names no group and stays only
-    if its group has no id at all.
+    A row's group is told by its text, not by its id: rows without an id, or
+    with the same one, stay apart if their texts do. Rows that agree in id
+    and text are told apart by a hash of all columns; of wholly equal rows
+    one stays, and repeats meet in their tasks before they are dealt.
     """
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
-    found = simhash.near_duplicates(docs, shingle=3, radius=3)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("_k")).distinct()
-    rows = _carried(docs, "doc_id").withColumn("_k", key)
-    return rows.join(kept, "_k", "left_semi").dropDuplicates(["_k"]).select("_row.*")
+    kept = simhash.one_of_each(docs, shingle=3, radius=3).withColumnRenamed("key", "_k")
+    key = F.struct(*[c.alias(k) for k, c in simhash.row_key(docs).items()])
+    rows = docs.select(key.alias("_k"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return rows.dropDuplicates(["_k"]).join(kept, "_k", "left_semi").select("_row.*")
 
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

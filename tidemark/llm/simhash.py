@@ -65,16 +65,20 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, text: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int, text: str = "text", carried: dict[str, Column] | None = None) -> DataFrame:
+    """``doc_id, fp`` (the 64 bits as a signed long), and what is ``carried`` along as a long."""
+    carried = carried or {}
+    names = ["doc_id", "fp", *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype="<u8").view("<i8")
-            yield pa.record_batch([b.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.record_batch([b.column(0), pa.array(fps), *b.columns[2:]], names=names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"), *[c.alias(k) for k, c in carried.items()]
+    )
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 # -- the tree ---------------------------------------------------------------
@@ -259,15 +263,39 @@ def links(points: DataFrame, radius: int) -> DataFrame:
     return points.select("fp").mapInPandas(deal, "shard int, fp long").groupBy("shard").applyInPandas(join, out)
 
 
+def _classes(fps: DataFrame, radius: int, first: Column) -> DataFrame:
+    """``c_fp, root, first``: each class, its component's root, and the least ``first`` of its rows."""
+    classes = cut(fps.groupBy("fp").agg(F.min(first).alias("first")))
+    roots = components(links(classes, radius))
+    return classes.join(roots, classes["fp"] == roots["node"], "left").select(
+        F.col("fp").alias("c_fp"), F.coalesce("root", "fp").alias("root"), "first"
+    )
+
+
+def row_key(docs: DataFrame, text: str = "text") -> dict[str, Column]:
+    """What tells rows apart and orders them: the id (nulls last), a hash of the text, one of the whole row."""
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    return {
+        "no_id": F.col("doc_id").cast("long").isNull().cast("long"),
+        "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).cast("long"),
+        "text_hash": F.xxhash64(F.col(text)),
+        "row_hash": F.xxhash64(F.lit(1), *every),
+    }
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3, text: str = "text") -> DataFrame:
+    """``key``: the least ``row_key`` of each component, as a struct."""
+    key = row_key(docs, text)
+    fps = cut(fingerprints(docs, shingle, text, key))
+    linked = _classes(fps, radius, F.struct(*key))
+    return linked.groupBy("root").agg(F.min("first").alias("key")).select("key")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, text: str = "text") -> DataFrame:
     """``doc_id, fp, component_id`` of every row of ``docs``."""
     fps = cut(fingerprints(docs, shingle, text))
-    classes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(classes, radius))
-    linked = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        F.col("fp").alias("c_fp"), F.coalesce("root", "fp").alias("root"), "first_id"
-    )
-    least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    linked = _classes(fps, radius, F.col("doc_id"))
+    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     named = linked.join(least, "root").select("c_fp", "component_id")
     return fps.join(named, F.col("fp") == F.col("c_fp")).select("doc_id", "fp", "component_id")
 
