@@ -60,6 +60,18 @@ def test_query(spark):
         assert r["n_chars"] == len(r["text"])
 
 
+@pytest.mark.parametrize("script", [
+    "<script>for(var i=0;i<n;i++)t(i);</script>", "<script>if(a<b){c()}</script>", "<SCRIPT>x='</scripty>';i<n;</Script >",
+    "<style>a<b</style\n>", "<script>s='<!--';t=\"<p title='\"</script>",
+])
+def test_a_hidden_element_ends_at_its_own_closing_tag(script):
+    article = "<article><h1>Head</h1><p>The story is told here, at some length.</p></article>"
+    for page in (f"<html><head>{script}</head><body>{article}</body></html>", script + article, article + script + "<p>last</p>"):
+        texts = [b.text for b in html_extract.blocks(page)]
+        assert texts == ["Head", "The story is told here, at some length.", *["last"] * page.endswith("<p>last</p>")]
+    assert [b.text for b in html_extract.blocks("<p>i<n<b>x</b></p>")] == ["i<nx"]
+
+
 def test_awkward_pages(spark):
     long = "<article><h1>T</h1>" + "<p>some words of a long story, and more of them.</p>" * 5000 + "</article>"
     rows = [

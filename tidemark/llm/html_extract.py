@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.html_pages import labelled_pages
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/><]*)(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 #: Elements by the way they are read.
 HIDDEN = frozenset("script style noscript template textarea title iframe svg math object select head".split())
+#: What ends a hidden element: its own closing tag alone, whatever else looks like one.
+CLOSING = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in HIDDEN}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -70,7 +72,7 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order."""
     out, stack, text, linked = [], [], [], 0
-    hidden = ""
+    at = 0
 
     def flush() -> None:
         nonlocal linked
@@ -81,12 +83,8 @@ def blocks(page: str) -> list[Block]:
             text.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page):
-        piece, name = m[0], (m[2] or "").lower()
-        if hidden:
-            if m[1] and name == hidden:
-                hidden = ""
-            continue
+    while m := TOKEN.match(page, at):
+        piece, name, at = m[0], (m[2] or "").lower(), m.end()
         if not name:
             if piece[:2] not in ("<!", "<?"):
                 text.append(piece)
@@ -95,7 +93,8 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in HIDDEN and not m[1]:
             if name != "head" and not m[3].endswith("/"):
-                hidden = name
+                end = CLOSING[name].search(page, at)
+                at = end.end() if end else len(page)
             flush()
             continue
         if name in INLINE:
