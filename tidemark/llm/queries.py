@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, embeddings, html_extract, lm, mixing, packing, quality, secret_scan, simhash, urls
+from tidemark.llm import (
+    alignment,
+    chat,
+    embeddings,
+    html_extract,
+    lm,
+    mixing,
+    packing,
+    preference,
+    quality,
+    secret_scan,
+    simhash,
+    urls,
+)
 from tidemark.llm.common import cut, table
 
 #: The filter's rules (action, host, path).
@@ -91,6 +104,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score and verdict of every document."""
+    return preference.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=0.3)
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between two tokenizers' tokens in every document."""
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), a, b)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
     return {f.__name__: f for f in found}
