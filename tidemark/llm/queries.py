@@ -20,6 +20,7 @@ from tidemark.llm import (
     quality,
     secret_scan,
     simhash,
+    trie,
     urls,
 )
 from tidemark.llm.common import cut, table
@@ -115,6 +116,11 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return alignment.align(table(spark, sf_dir, "documents"), a, b)
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix of the rebuilt conversations, with its members and savings."""
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
     return {f.__name__: f for f in found}
