@@ -47,6 +47,13 @@ STATUS_FAILED = "Failed"
 STATUS_RUNNING = "Running"
 STEP_DATES = "Dates"
 STEP_CODE = "Code"
+STEP_FIRSTS = "Firsts"
+STEP_CANDIDATES = "Candidates"
+STEP_CHANGES = "Changes"
+STEP_EXISTING = "Existing"
+STEP_COMBINE = "Combine"
+STEP_UPDATE = "Update"
+STEP_INSERT = "Insert"
 WAITING_SUFFIX = " (Waiting)"
 LATEST_RUNS = 1000
 # Step-name patterns of the summary view (SQL LIKE patterns).

@@ -34,21 +34,25 @@ def upsert_changes(
     probe_rows: int | None = None,
     candidate_filter: bool = False,
     computed: Mapping[str, str] | None = None,
+    candidates: DataFrame | None = None,
+    candidate_rows: int | None = None,
 ) -> DataFrame:
     """Changed source rows with an ``Upsert`` flag (``I`` new key, ``U`` known key).
 
-    ``candidate_filter`` adds the candidate-key semi join of the original
-    procedure.  It changes no result (NULL keys are rejected anyway); on
-    Spark it helps only when the view is cheap to probe by key, because
-    Catalyst pushes a semi join on a grouping key below the view's
-    aggregate.
+    ``candidates`` (materialised candidate keys, ``candidate_rows`` of them)
+    lead the evaluation as in the original procedure: Catalyst pushes the
+    semi join on a grouping key below the view's aggregate, so the view is
+    computed for changed keys only.  ``candidate_filter`` derives them from
+    the source in the same plan.  Neither changes a result (NULL keys are
+    rejected anyway).
     """
     computed = dict(computed or {})
     columns = [c for c in target.columns if c not in computed]
     rows = source.where(in_window(UPDATED, low, high))
-    if candidate_filter:
-        cand = upsert_candidates(source, keys, low, high)
-        rows = rows.join(bounded_broadcast(cand, probe_rows), [keys[0]], "left_semi")
+    if candidate_filter and candidates is None:
+        candidates, candidate_rows = upsert_candidates(source, keys, low, high), probe_rows
+    if candidates is not None:
+        rows = rows.join(bounded_broadcast(candidates, candidate_rows), [keys[0]], "left_semi")
     rows = rows.select(*columns)
     stored = stored_for_keys(target.select(*keys), rows.select(*keys), keys, probe_rows).withColumn(
         "_hit", F.lit(True)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import like_any, seconds_crossed, time_of_day_text, ts_text
 from tidemark.operators.scan import Parted, running, with_parts
+from tidemark.operators.sizing import bounded_broadcast
 from tidemark.functions.constants import (
     DELETE_PATTERNS,
     INSERT_PATTERNS,
@@ -103,9 +104,9 @@ def log_summary(log: DataFrame) -> DataFrame:
 def log_latest(log: DataFrame, n: int = LATEST_RUNS) -> DataFrame:
     """The newest ``n`` runs of the summary, newest first.
 
-    The ``n`` candidate runs come from a narrow aggregate first; at most
-    ``n`` keys are broadcast (a fixed bound) to restrict the wide summary
-    to them.  Ties on start time are broken by the run key.
+    The ``n`` candidate runs come from a narrow aggregate first; their keys
+    (at most ``n``, broadcast under the checked limit) restrict the wide
+    summary to them.  Ties on start time are broken by the run key.
     """
     order = [F.col("StartDateTime").desc(), *[F.col(c).asc() for c in RUN_KEY]]
     candidates = (
@@ -115,7 +116,7 @@ def log_latest(log: DataFrame, n: int = LATEST_RUNS) -> DataFrame:
         .limit(n)
         .select(*RUN_KEY)
     )
-    runs = log.join(F.broadcast(candidates), list(RUN_KEY), "left_semi")
+    runs = log.join(bounded_broadcast(candidates, n), list(RUN_KEY), "left_semi")
     return log_summary(runs).orderBy(*order).limit(n)
 
 

@@ -2,9 +2,10 @@
 
 A tag table is a compact key -> version index.  It carries only the key
 columns, the capture / lake timestamps and the action code of each change,
-never the payload.  Every function here is pure: it takes the source, the
-current target and the window bounds and returns the change set as a
-DataFrame with an ``Upsert`` flag (``I`` insert / ``U`` update).
+never the payload.  The functions here take the source, the current target
+and the window bounds and return the change set as a DataFrame with an
+``Upsert`` flag (``I`` insert / ``U`` update); they write no table, but
+History checkpoints its combined versions on the way.
 ``merge.py`` turns a change set into the next target state.
 
 Scale notes
@@ -27,7 +28,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,6 +72,21 @@ def window_rows(source: DataFrame, keys: Sequence[str], low, high) -> DataFrame:
     return source.where(in_window(LAKE, low, high)).select(*keys, *CHANGE_COLUMNS)
 
 
+def reduced_window(kind: str, source: DataFrame, keys: Sequence[str], low, high) -> DataFrame:
+    """The window's changes that can matter to a target: one per key, or per key and capture for History.
+
+    A loader gives the same change set from these rows as from all of the
+    window, so a load reads its source once and works on this frame.
+    """
+    rows = window_rows(source, keys, low, high)
+    if kind == "history":
+        newest = rows.groupBy(*keys, CAPTURE).agg(F.max(F.struct(LAKE, ACTION)).alias("_v"))
+        return newest.select(*keys, CAPTURE, F.col(f"_v.{LAKE}").alias(LAKE), F.col(f"_v.{ACTION}").alias(ACTION))
+    pick = F.min if kind == "first" else F.max
+    one = rows.groupBy(*keys).agg(pick(F.struct(*CHANGE_COLUMNS)).alias("_v"))
+    return one.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in CHANGE_COLUMNS])
+
+
 def stored_for_keys(
     target: DataFrame, probe: DataFrame, keys: Sequence[str], probe_rows: int | None = None
 ) -> DataFrame:
@@ -151,6 +167,7 @@ def history_changes(
     probe_rows: int | None = None,
     refresh_action: bool = False,
     hot_rows: int | None = None,
+    existing: Observation | None = None,
 ) -> DataFrame:
     """Rows to upsert into a History table (validity intervals per key).
 
@@ -162,6 +179,10 @@ def history_changes(
     counterpart updates it: new expiry and lake time, the stored action code
     (unless ``refresh_action``), and a new update time only if the lake time
     changed.  Ties on ``(capture, lake)`` are broken by action, then flag.
+    ``existing`` observes how many stored versions take part (``rows``).
+
+    The combined versions are checkpointed here (see below), so calling this
+    runs a job; a dry run must not call it.
     """
     ts = T.TimestampNTZType()
     incoming = window_rows(source, keys, low, high).select(
@@ -185,6 +206,8 @@ def history_changes(
             F.col(UPDATED).alias("_old_updated"),
         )
     )
+    if existing is not None:
+        stored = stored.observe(existing, F.count(F.lit(1)).alias("rows"))
     combined = incoming.unionByName(stored)
     # One surviving version per (key, capture): the newest (lake, action,
     # flag); the others would expire at their own capture.  The aggregate is

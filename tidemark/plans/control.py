@@ -21,7 +21,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.constants import (
@@ -30,15 +30,26 @@ from tidemark.functions.constants import (
     STATUS_FAILED,
     STATUS_START,
     STATUS_SUCCESS,
+    INSERT_FLAG,
+    STEP_CANDIDATES,
+    STEP_CHANGES,
     STEP_CODE,
+    STEP_COMBINE,
     STEP_DATES,
+    STEP_EXISTING,
+    STEP_FIRSTS,
+    STEP_INSERT,
+    STEP_UPDATE,
+    UPDATE_FLAG,
     UPSERT,
 )
 from tidemark.functions.columns import in_window
-from tidemark.operators.bounds import read_high_watermark
+from tidemark.operators.bounds import ChangeWindow, read_high_watermark
+from tidemark.operators.dimensional import upsert_candidates
+from tidemark.operators.tags import reduced_window
 from tidemark.plans import pairs as pairing
-from tidemark.plans.incremental import LOADERS, StepResult, step
-from tidemark.spec import assert_no_null_keys, assert_unique_keys
+from tidemark.plans.incremental import LOADERS, StepResult, loaded, window_of
+from tidemark.spec import KeyContractError, assert_no_null_keys, assert_unique_keys, null_key_filter
 
 PROCEDURES = {
     "first": "Control.First",
@@ -47,12 +58,12 @@ PROCEDURES = {
     "dimensional": "Control.Dimensional",
 }
 LAYER = {"first": "silver", "latest": "silver", "history": "silver", "dimensional": "gold"}
-# Step names each loader reports after its change set is known.
-STEPS = {
-    "first": ("Firsts", None, "Insert"),
-    "latest": ("Changes", "Update", "Insert"),
-    "history": ("Changes", "Update", "Insert"),
-    "dimensional": ("Changes", "Update", "Insert"),
+# The first step each loader reports.
+FIRST_STEP = {
+    "first": STEP_FIRSTS,
+    "latest": STEP_CHANGES,
+    "history": STEP_CHANGES,
+    "dimensional": STEP_CANDIDATES,
 }
 REPORT_SCHEMA = "i int, Target string, Message string, DateFrom timestamp_ntz, DateTo timestamp_ntz"
 
@@ -91,32 +102,110 @@ class ControlReport:
 
 
 class EventLog:
-    """Step events of one driver run, numbered in arrival order."""
+    """Step events of one driver run, numbered in arrival order; shared by parallel pairs."""
 
     def __init__(self, start: int | None = None) -> None:
         self._seq = itertools.count(start if start is not None else time.time_ns() // 1000)
         self.events: list[tuple] = []
         self._written = 0
-        self._lock = threading.Lock()
+        self._adding = threading.Lock()
+        self._flushing = threading.Lock()
 
     def add(self, load_date, procedure, step_name, status, message=None, rows=None, at=None) -> None:
         if status == STATUS_START and step_name is None:
             raise ValueError("a Start event needs a step")
         at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        self.events.append((next(self._seq), at, load_date, procedure, step_name, status, message, rows))
+        with self._adding:
+            self.events.append((next(self._seq), at, load_date, procedure, step_name, status, message, rows))
 
     def flush(self, wh) -> None:
-        """Write the events since the last flush, so that a running load shows in the log."""
-        with self._lock:
-            wh.log(self.events[self._written :])
-            self._written = len(self.events)
+        """Write the events since the last flush, so that a running load shows in the log.
 
+        Events that other pairs add during the write are left to the next
+        flush; after a failed write the same ones are written again.
+        """
+        with self._flushing:
+            with self._adding:
+                end = len(self.events)
+            wh.log(self.events[self._written : end])
+            self._written = end
 
-def _counts(changes: DataFrame, ts_col: str) -> tuple[dict[str, int], _dt.datetime | None]:
-    """Change rows by flag, and their newest change timestamp."""
-    found = changes.groupBy(UPSERT).agg(F.count("*").alias("n"), F.max(ts_col).alias("newest")).collect()
-    newest = [r["newest"] for r in found if r["newest"] is not None]
-    return {r[UPSERT]: r["n"] for r in found}, max(newest, default=None)
+
+def _observed(df: DataFrame, *metrics) -> tuple[DataFrame, dict]:
+    """``df`` written to the checkpoint folder, and metrics taken on the way."""
+    seen = Observation()
+    done = df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).checkpoint()
+    return done, seen.get
+
+
+def _null_keys(keys) -> Column:
+    return F.count(F.when(null_key_filter(keys), 1)).alias("null_keys")
+
+
+def _refuse_null_keys(metrics: dict, keys, what: str) -> None:
+    if metrics.get("null_keys"):
+        raise KeyContractError(f"{what}: NULL in key columns {list(keys)}")
+
+
+def _load_window(
+    kind: str, wh, source, target, src: DataFrame, tgt: DataFrame, w: ChangeWindow, now, load_date, log: EventLog, validate: bool
+) -> StepResult:
+    """Change set and commit of an open window, with an event as each step begins.
+
+    The source is read once, into a reduced frame in the checkpoint folder;
+    key checks, touched buckets and the change set work on that. Row counts
+    are observed while the frames are written, no job counts them.
+    """
+    me, spec, ts_col = ".".join(target), wh.spec(*target), LOADERS[kind].ts_col
+    begin = lambda name, rows: log.add(load_date, me, name, STATUS_START, rows=rows)
+    begin(FIRST_STEP[kind], 0)
+    log.flush(wh)
+    options: dict = {}
+    if kind == "dimensional":
+        options["computed"] = dict(spec.computed)
+        found, seen = _observed(upsert_candidates(src, spec.keys, w.date_from, w.date_to))
+        options |= {"candidates": found, "candidate_rows": seen.get("rows", 0)}
+        # with one key column the candidates are the keys; else the view tells them
+        led = found if len(spec.keys) == 1 else src.where(in_window(ts_col, w.date_from, w.date_to))
+        begin(STEP_CHANGES, seen.get("rows", 0))
+    else:
+        src, seen = _observed(reduced_window(kind, src, spec.keys, w.date_from, w.date_to), _null_keys(spec.keys))
+        options["probe_rows"] = seen.get("rows", 0)
+        led = src
+        if validate:
+            _refuse_null_keys(seen, spec.keys, ".".join(source))
+    # read only the target buckets the window's keys hash to
+    probed = wh.target_for(*target, led) if hasattr(wh, "target_for") else None
+    stored = Observation()
+    if kind == "history":
+        options["existing"] = stored
+    result = loaded(kind, src, tgt, spec.keys, w, now, probed, **options)
+    if kind == "history":
+        begin(STEP_EXISTING, w.rows)
+        begin(STEP_COMBINE, stored.get.get("rows", 0))
+    changes, total, counts, newest = result.changes, w.rows, {}, None
+    if getattr(wh, "record_counts", True):
+        of = lambda flag: F.count(F.when(F.col(UPSERT) == flag, 1))
+        changes, seen = _observed(
+            changes, of(INSERT_FLAG).alias("inserts"), of(UPDATE_FLAG).alias("updates"), F.max(ts_col).alias("newest"), _null_keys(spec.keys)
+        )
+        total, newest = seen.get("rows", 0), seen.get("newest")
+        counts = {INSERT_FLAG: seen.get("inserts", 0), UPDATE_FLAG: seen.get("updates", 0)}
+    if validate and kind == "dimensional":
+        if counts:
+            _refuse_null_keys(seen, spec.keys, ".".join(source))
+        else:
+            assert_no_null_keys(changes, spec.keys, ".".join(source))
+        assert_unique_keys(changes, spec.keys, ".".join(source))
+    begin(STEP_INSERT if kind == "first" else STEP_UPDATE, total)
+    log.flush(wh)
+    wh.commit(*target, kind, result.state, changes, total)
+    if hasattr(wh, "progress"):
+        wh.advance(*target, newest)
+    if kind != "first":
+        begin(STEP_INSERT, counts.get(UPDATE_FLAG, 0))
+    log.add(load_date, me, None, STATUS_SUCCESS, rows=counts.get(INSERT_FLAG, 0))
+    return StepResult(w, changes, result.state)
 
 
 def load_pair(
@@ -137,6 +226,7 @@ def load_pair(
     newest timestamp of the finished commits where the warehouse keeps it
     (none yet: everything is loaded again, which changes no finished row),
     else the newest the target holds.  ``date_limit`` caps the watermark.
+    A dry run computes the window alone and writes nothing but its events.
     """
     log = log or EventLog()
     me = ".".join(target)
@@ -147,54 +237,19 @@ def load_pair(
         else:
             watermark = read_high_watermark(wh.watermark(target[0]))
         load_date = min(watermark, date_limit)
-        spec = wh.spec(*target)
         src, tgt = wh.source(*source), wh.target(*target)
         log.add(load_date, me, STEP_DATES, STATUS_START)
         log.flush(wh)
-        keeps_progress = hasattr(wh, "progress")
-        if date_from is None and keeps_progress:
+        if date_from is None and hasattr(wh, "progress"):
             date_from = wh.progress(*target) or LOADERS[kind].default_low
-        options = {"computed": dict(spec.computed)} if kind == "dimensional" and spec.computed else {}
-        if hasattr(wh, "target_for"):
-            # read only the target buckets the window's keys hash to
-            col = LOADERS[kind].ts_col
-
-            def probe(w):
-                changed = src.where(in_window(col, w.date_from, w.date_to))
-                return wh.target_for(*target, changed)
-
-            options["probe_target"] = probe
-        result = step(kind, src, tgt, spec.keys, watermark, now, date_from=date_from, date_to=date_limit, **options)
-        w = result.window
+        w = window_of(kind, src, tgt, watermark, date_from, date_limit)
         log.add(load_date, me, None, STATUS_SUCCESS, w.message, 1 if w.is_open else 0)
+        result = StepResult(w, None, tgt)
         if not w.is_open:
             return result
         log.add(load_date, me, STEP_CODE, STATUS_START, f"{LOADERS[kind].name} {w.message}")
         if not dry_run:
-            counting = getattr(wh, "record_counts", True)
-            changes = result.changes.persist() if counting else result.changes
-            try:
-                if validate:
-                    assert_no_null_keys(changes, spec.keys, ".".join(source))
-                    if kind == "dimensional":
-                        assert_unique_keys(changes, spec.keys, ".".join(source))
-                counts, newest = _counts(changes, LOADERS[kind].ts_col) if counting else ({}, None)
-                total = sum(counts.values()) if counting else w.rows
-                first, update, insert = STEPS[kind]
-                log.add(load_date, me, first, STATUS_START, rows=0)
-                log.flush(wh)
-                wh.commit(*target, kind, result.state, changes, total)
-                if keeps_progress:
-                    wh.advance(*target, newest)
-                if update:
-                    log.add(load_date, me, update, STATUS_START, rows=total)
-                    log.add(load_date, me, insert, STATUS_START, rows=counts.get("U", 0))
-                else:
-                    log.add(load_date, me, insert, STATUS_START, rows=total)
-                log.add(load_date, me, None, STATUS_SUCCESS, rows=counts.get("I", 0))
-            finally:
-                if counting:
-                    changes.unpersist()
+            result = _load_window(kind, wh, source, target, src, tgt, w, now, load_date, log, validate)
         log.add(load_date, me, None, STATUS_SUCCESS)
         return result
     except Exception as e:

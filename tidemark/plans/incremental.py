@@ -47,6 +47,43 @@ class StepResult:
     state: DataFrame
 
 
+def window_of(
+    kind: str,
+    source: DataFrame,
+    target: DataFrame,
+    watermark: _dt.datetime,
+    date_from: _dt.datetime | None = None,
+    date_to: _dt.datetime | None = None,
+) -> ChangeWindow:
+    """Bounds of the target's next increment."""
+    loader = LOADERS[kind]
+    return change_window(source, target, loader.ts_col, watermark, date_from, date_to, loader.default_low)
+
+
+def loaded(
+    kind: str,
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    window: ChangeWindow,
+    now: _dt.datetime,
+    probed: DataFrame | None = None,
+    **options,
+) -> StepResult:
+    """Change set and next state of an open window.
+
+    ``probed`` may give the part of the target that can hold the window's
+    keys (e.g. their hash buckets); the change set is computed against it.
+    """
+    loader = LOADERS[kind]
+    options.setdefault("probe_rows", window.rows)
+    at = target if probed is None else probed
+    changes = loader.changes(source, at, keys, window.date_from, window.date_to, now, **options)
+    # History's changes also hold stored versions, so the window bounds nothing
+    state = loader.apply(target, changes, keys, None if kind == "history" else window.rows)
+    return StepResult(window, changes, state)
+
+
 def step(
     kind: str,
     source: DataFrame,
@@ -65,19 +102,11 @@ def step(
     target that can hold the window's keys (e.g. their hash buckets); the
     change set is computed against it, the bounds against the whole target.
     """
-    loader = LOADERS[kind]
-    window = change_window(
-        source, target, loader.ts_col, watermark, date_from, date_to, loader.default_low
-    )
+    window = window_of(kind, source, target, watermark, date_from, date_to)
     if not window.is_open:
         return StepResult(window, None, target)
-    probed = probe_target(window) if probe_target is not None else target
-    changes = loader.changes(
-        source, probed, keys, window.date_from, window.date_to, now, probe_rows=window.rows, **options
-    )
-    # History's changes also hold stored versions, so the window bounds nothing
-    state = loader.apply(target, changes, keys, None if kind == "history" else window.rows)
-    return StepResult(window, changes, state)
+    probed = probe_target(window) if probe_target is not None else None
+    return loaded(kind, source, target, keys, window, now, probed, **options)
 
 
 def chain(

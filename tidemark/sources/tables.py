@@ -14,9 +14,7 @@ only the buckets its change set touches:
    re-reading half-written files;
 4. dynamic partition overwrite replaces exactly those buckets.
 
-Choose ``buckets`` so one bucket holds roughly 128-512 MB.  On a table
-format with row-level MERGE (a v2 catalog table), ``merge_into`` does the
-same in one statement.
+Choose ``buckets`` so one bucket holds roughly 128-512 MB.
 """
 
 from __future__ import annotations
@@ -142,16 +140,3 @@ class KeyedParquetTable:
             .parquet(self.path)
         )
 
-
-def merge_into(changes: DataFrame, table: str, match: Sequence[str]) -> None:
-    """Upsert through ``MERGE`` into a catalog table whose format supports it."""
-    cond = " AND ".join(f"{table}.`{c}` = s.`{c}`" for c in match)
-    (
-        changes.alias("s")
-        .mergeInto(table, F.expr(cond))
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )

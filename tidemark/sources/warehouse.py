@@ -136,11 +136,14 @@ class ParquetWarehouse:
 
     def watermark(self, schema: str) -> DataFrame | None:
         path = f"{self.root}/{schema}/{WATERMARK_TABLE}"
-        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
+        if not path_exists(self.spark, path):
+            return None
+        return self.spark.read.parquet(path).agg(F.max("LakeTimestamp").alias("LakeTimestamp"))
 
     def set_watermark(self, schema: str, value: _dt.datetime | None) -> None:
+        """Add a watermark row; the newest counts, so a watermark only rises."""
         df = self.spark.createDataFrame([(value,)], "LakeTimestamp timestamp_ntz")
-        df.write.mode("overwrite").parquet(f"{self.root}/{schema}/{WATERMARK_TABLE}")
+        df.coalesce(1).write.mode("append").parquet(f"{self.root}/{schema}/{WATERMARK_TABLE}")
 
     def _progress(self, schema: str, name: str) -> str:
         return f"{self.root}/{schema}/{name}.progress"

@@ -48,9 +48,9 @@ def land_batch(batch: DataFrame, epoch_id: int, table_path: str, watermark_path:
         .partitionBy(EPOCH)
         .parquet(table_path)
     )
-    old = current_watermark(spark, watermark_path)
-    value = newest if old is None else max(old, newest)
-    spark.createDataFrame([(value,)], f"{LAKE} timestamp_ntz").write.mode("overwrite").parquet(watermark_path)
+    # appended, never overwritten: a reader always finds one, and a stop loses none
+    raised = spark.createDataFrame([(newest,)], f"{LAKE} timestamp_ntz")
+    raised.coalesce(1).write.mode("append").parquet(watermark_path)
 
 
 def land_with_watermark(
