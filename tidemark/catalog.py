@@ -287,6 +287,24 @@ def control_state(kind: str) -> Query:
     return q
 
 
+def control_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folded run log of parallel driver runs, without clock times.
+
+    Two History runs over every segment (the pairs of one have no watermark
+    and fail before their first step), and a gold run in which a Live view
+    with duplicate keys fails.
+    """
+    root = f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+    options = {"raise_on_failure": False, "parallelism": PAIR_THREADS}
+    silver = fx.stored_silver(spark, sf_dir, root)
+    for limit, now in zip(fx.CONTROL_LIMITS, fx.BATCH_NOWS, strict=False):
+        control.run_control("history", silver, date_limit=limit, now=now, **options)
+    gold = fx.stored_gold(spark, sf_dir, fx.LIVE_CUTOFFS[0], root)
+    control.run_control("dimensional", gold, date_limit=fx.GOLD_NOW, now=fx.GOLD_NOW, **options)
+    events = silver.log_events().unionByName(gold.log_events())
+    return runlog.log_fold(events).select("LoadDate", "Run", "Procedure", "Step", "Status", "Message", "RowsProcessed")
+
+
 def failure_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = [_silver_report(spark, sf_dir, k) for k in fx.TAG_KINDS]
     reports.append(_gold_report(spark, sf_dir))
@@ -330,6 +348,7 @@ def _queries() -> dict[str, Query]:
         "control_latest_state": control_state("latest"),
         "control_history_state": control_state("history"),
         "control_dimensional_state": control_state("dimensional"),
+        "control_log_rows": control_log_rows,
         "failure_message": failure_message,
         "partition_grain": partition_grain,
         "partition_spine": partition_spine,
