@@ -208,6 +208,42 @@ def partition_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", "ObjectName", "PartitionNumber", "TargetCompression")
 
 
+def _stored_lineitem(spark: SparkSession, sf_dir: str):
+    return fx.stored_lineitem(spark, sf_dir, f"{ensure_checkpoint_dir(spark)}/datasets-{uuid.uuid4().hex}")
+
+
+def partition_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partitions of stored datasets, with their codec's tier, from file metadata."""
+    listed = pp.partition_listing(_stored_lineitem(spark, sf_dir).files(), "PartitionValue")
+    return listed.select("*", (F.col("Bytes") > 0).alias("HasBytes")).drop("Bytes", "Files")
+
+
+def partition_tiers_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tier changes of stored datasets, from their listing."""
+    return pp.partition_tiers(pp.partition_listing(_stored_lineitem(spark, sf_dir).files(), "PartitionValue"))
+
+
+def partition_merge_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored datasets, read back after a trimming plan was applied."""
+    data = _stored_lineitem(spark, sf_dir)
+    listed = pp.partition_listing(data.files(), "PartitionValue")
+    values = listed.select(F.col("PartitionValue").alias("Value")).distinct().checkpoint()
+    bounds = pp.bounds_from_stats(pp.grain_stats(values).first(), fx.MERGE_BOUNDARY, first_boundary=fx.PLAN_FIRST_BOUNDARY)
+    plan = pp.partition_plan(spark, values, bounds, trim=True)
+    pp.apply_merge(data, pp.merge_targets(values, plan).withColumnRenamed("Value", "PartitionValue"), "PartitionValue")
+    return data.read().select("l_orderkey", "l_linenumber", "ObjectName", "PartitionValue")
+
+
+def partition_recompress_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stored partition's tier and rows after the tier changes were applied."""
+    data, on = _stored_lineitem(spark, sf_dir), ["SchemaName", "ObjectName", "PartitionValue"]
+    listed = pp.partition_listing(data.files(), "PartitionValue")
+    tiers = pp.partition_tiers(listed).join(listed.select(*on, "PartitionNumber"), ["SchemaName", "ObjectName", "PartitionNumber"])
+    pp.apply_tiers(data, tiers, on)
+    now = pp.partition_listing(data.files(), "PartitionValue").select(*on, "PartitionNumber", "CurrentCompression")
+    return now.join(data.read().groupBy(*on).agg(F.count(F.lit(1)).alias("n_rows")), on, "left")
+
+
 def silver_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = fx.silver_warehouse(spark, sf_dir).registry()
     out = None
@@ -357,6 +393,10 @@ def _queries() -> dict[str, Query]:
         "partition_tiers_focus": partition_tiers_focus,
         "partition_merge": partition_merge,
         "partition_recompress": partition_recompress,
+        "partition_listing": partition_listing,
+        "partition_tiers_stored": partition_tiers_stored,
+        "partition_merge_stored": partition_merge_stored,
+        "partition_recompress_stored": partition_recompress_stored,
         "log_summary": log_summary,
         "log_latest": log_latest,
         "log_fold": log_fold,

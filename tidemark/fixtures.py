@@ -185,6 +185,20 @@ def partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_lineitem(spark: SparkSession, sf_dir: str, root: str):
+    """Those datasets written under ``root``: months before the split as zstd, the others as snappy; a file each."""
+    from tidemark.sources.versions import VersionedPartitions
+
+    rows = partitioned_lineitem(spark, sf_dir)
+    cols = ["SchemaName", "ObjectName", "PartitionValue"]
+    rows = rows.repartition(*cols)
+    stored = VersionedPartitions(spark, f"{root}/lineitem", rows.schema, cols)
+    split = F.lit(TIER_SPLIT.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    cold = F.col("PartitionValue") < split
+    stored.commit([(rows.where(cold), "zstd"), (rows.where(~cold), "snappy")])
+    return stored
+
+
 # --- fixed values: warehouse layout of the driver fixtures -------------------------
 # Every change of a segment can load, but for the first one's, which is capped.
 SILVER_WATERMARK = _dt.datetime(2003, 1, 1)

@@ -40,6 +40,7 @@ from tidemark.functions.constants import (
     TIER_PARQUET_CODEC,
 )
 from tidemark.operators.sizing import bounded_broadcast
+from tidemark.sources.versions import VersionedPartitions, value_in_path
 
 OPEN_VALUE = "9999-12-31 00:00:00"
 
@@ -203,6 +204,39 @@ def partition_tiers(
     )
 
 
+def partition_listing(files: DataFrame, value_col: str, schema_col: str = "SchemaName", table_col: str = "ObjectName") -> DataFrame:
+    """The partitions of stored datasets, with their codec, from file metadata alone.
+
+    ``files``: ``path, length`` (``sources.versions.file_listing``). Dataset
+    and partition value are read from the path; the codec from the ending
+    Spark's writer gives a file. ``CurrentCompression`` is the tier of that
+    codec, ``NONE`` for another or no codec and ``MIXED`` if the files of a
+    partition differ, so that such a partition is rewritten.
+    ``PartitionNumber`` counts a dataset's values upwards. One row per file
+    is read, one per partition returned.
+    """
+    codec = F.regexp_extract("path", r"\.([a-z0-9]+)\.parquet$", 1)
+    tier = F.lit("NONE")
+    for name, stored_as in TIER_PARQUET_CODEC.items():
+        tier = F.when(codec == stored_as, F.lit(name)).otherwise(tier)
+    parts = files.select(
+        value_in_path(schema_col).alias("SchemaName"),
+        value_in_path(table_col).alias("ObjectName"),
+        value_in_path(value_col).cast("timestamp_ntz").alias("PartitionValue"),
+        tier.alias("tier"),
+        "length",
+    )
+    parts = parts.groupBy("SchemaName", "ObjectName", "PartitionValue").agg(
+        F.count(F.lit(1)).alias("Files"), F.sum("length").alias("Bytes"), F.min("tier").alias("_low"), F.max("tier").alias("_high")
+    )
+    n = F.row_number().over(Window.partitionBy("SchemaName", "ObjectName").orderBy("PartitionValue"))
+    return parts.select(
+        "SchemaName", "ObjectName", n.alias("PartitionNumber"), "PartitionValue",
+        F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(F.lit("MIXED")).alias("CurrentCompression"),
+        "Files", "Bytes",
+    )
+
+
 def tier_rows(data: DataFrame, tiers: DataFrame, on: list[str]) -> DataFrame:
     """The data rows of partitions whose tier changes, with the target tier.
 
@@ -244,14 +278,47 @@ def merge_targets(values: DataFrame, plan: DataFrame, col: str = "Value") -> Dat
 def merged_rows(data: DataFrame, targets: DataFrame, col: str) -> DataFrame:
     """The data rows of merged partitions, with the value they move to as ``Neighbour``.
 
-    Only merged partitions are read. The caller adds the rows to their
-    neighbours and drops the merged partitions in one commit of its table
-    format; plain parquet has none that covers both.
+    Only merged partitions are read. ``apply_merge`` commits the move.
     """
     pruned, rows = _in_partitions(data, targets, col)
     return pruned.join(bounded_broadcast(targets, rows), col)
 
 
+def _folders_of(dataset: VersionedPartitions, listed: DataFrame, keys: list[str]) -> list[str]:
+    """The dataset's folders whose partition values occur in ``listed`` (both sides are metadata)."""
+    names = dataset.spark.createDataFrame([(f, "/" + f) for f in dataset.folders()], "folder string, path string")
+    types = {f.name: f.dataType for f in dataset.schema.fields}
+    at = names.select("folder", *[value_in_path(k).cast(types[k]).alias(k) for k in keys])
+    return [r["folder"] for r in at.join(listed.select(*keys).distinct(), keys, "left_semi").collect()]
+
+
+def apply_merge(dataset: VersionedPartitions, targets: DataFrame, col: str) -> int:
+    """Fold the merged partitions into their neighbours, in one commit.
+
+    ``targets`` (``col, Neighbour``, see ``merge_targets``). Only merged
+    partitions are read and written; a neighbour keeps its files and gets
+    those of the rows that move to it.
+    """
+    targets = targets.checkpoint()
+    moved = merged_rows(dataset.read(), targets, col).withColumn(col, F.col("Neighbour"))
+    return dataset.commit([(moved, None)], _folders_of(dataset, targets, [col]))
+
+
+def apply_tiers(dataset: VersionedPartitions, tiers: DataFrame, on: list[str]) -> int:
+    """Rewrite the partitions whose tier changes with their new codec, all in one commit.
+
+    ``tiers``: the columns ``on`` (the partition column last) and
+    ``TargetCompression``. Other partitions keep their files.
+    """
+    tiers = tiers.select(*on, "TargetCompression").checkpoint()
+    rows = tier_rows(dataset.read(), tiers, on)
+    parts = [
+        (rows.where(F.col("TargetCompression") == tier), codec)
+        for tier, codec in TIER_PARQUET_CODEC.items()
+    ]
+    return dataset.commit(parts, _folders_of(dataset, tiers, on))
+
+
 def rewrite_tiers(rows: DataFrame, path: str, partition_cols: list[str]) -> None:
     """Rewrite the listed partitions of a parquet dataset with their tier's codec.
 
