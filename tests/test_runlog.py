@@ -96,3 +96,41 @@ def test_fold_with_hot_groups_split_matches_plain(spark):
     plain = sorted(tuple(r) for r in runlog.log_fold(ev).collect())
     split = sorted(tuple(r) for r in runlog.log_fold(ev, hot_rows=3).collect())
     assert split == plain
+
+
+def test_increments_equal_the_whole_fold(spark):
+    """Random events of eight groups, cut in the middle of runs and of rows."""
+    import random
+
+    rng = random.Random(5)
+    data = []
+    for seq in range(1, 400, 3):
+        status = rng.choice(["Start", "Start", "Success", "Failed"])
+        step = rng.choice(["Dates", "Code", "Insert"]) if status == "Start" else None
+        rows = rng.choice([None, None, 0, seq])
+        data.append((seq, f"P{rng.randrange(8)}", step, status, rng.choice([None, f"m{seq}"]), rows))
+    data.append((500, "New", "Dates", "Start", None, None))
+    every = events(spark, data)
+    log = runlog.log_fold(events(spark, []))
+    for low, high in ((0, 120), (120, 250), (250, 1000)):
+        log = runlog.fold_increment(log, every.where(f"seq > {low} and seq <= {high}")).checkpoint()
+    got = sorted(map(str, log.collect()))
+    assert got == sorted(map(str, runlog.log_fold(every).collect()))
+
+
+def test_an_increment_folds_the_groups_with_new_events_only(spark):
+    old = runlog.log_fold(events(spark, [(1, "P", "Dates", "Start", None, None), (2, "Q", "Dates", "Start", None, None)])).checkpoint()
+    seen = []
+    real = runlog.log_fold
+
+    def fold(e, hot_rows=None):
+        seen.append(e)
+        return real(e, hot_rows)
+
+    runlog.log_fold = fold
+    try:
+        log = runlog.fold_increment(old, events(spark, [(5, "Q", "Code", "Start", None, None)])).collect()
+    finally:
+        runlog.log_fold = real
+    assert {r["Procedure"] for r in seen[0].collect()} == {"Q"}
+    assert {(r["LogId"], r["Status"]) for r in log} == {(1, "Running"), (2, "Success"), (5, "Running")}

@@ -136,6 +136,17 @@ def log_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.log_fold(fx.log_events(spark, sf_dir))
 
 
+def log_fold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log rows after three batches of events, each folded into the rows before."""
+    events = fx.log_events(spark, sf_dir)
+    low, high = events.agg(F.min("seq"), F.max("seq")).first()
+    cuts = [low + (high - low) * k // 3 for k in (1, 2)]
+    seq = F.col("seq")
+    log = runlog.log_fold(events.where(seq <= cuts[0])).checkpoint()
+    log = runlog.fold_increment(log, events.where((seq > cuts[0]) & (seq <= cuts[1]))).checkpoint()
+    return runlog.fold_increment(log, events.where(seq > cuts[1]))
+
+
 def partition_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pp.grain_stats(fx.boundaries(spark, sf_dir))
 
@@ -400,6 +411,7 @@ def _queries() -> dict[str, Query]:
         "log_summary": log_summary,
         "log_latest": log_latest,
         "log_fold": log_fold,
+        "log_fold_incremental": log_fold_incremental,
         "dim_upsert_initial": dim_state(1),
         "dim_upsert_incremental": dim_state(2),
         "dim_changes": dim_changes,

@@ -247,3 +247,41 @@ def log_fold(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
         .when(closed, F.col("_next_rows"))
         .alias("RowsProcessed"),
     )
+
+
+def fold_increment(folded: DataFrame, events: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """The log after new events, from the folded rows so far and those events alone.
+
+    ``events`` must be later than all folded ones. What a group's new events
+    can still touch is its open state: the steps of its last run (a repeat of
+    one begins the next run) and its newest row. Both are in the folded rows
+    and are put before the new events as events of their own; rows before the
+    newest, and groups without new events, stay as they are. An event that
+    comes before its group's first Start changes no row, now or later.
+    """
+    g = list(GROUP)
+    touched = events.select(*g).distinct()
+    same = lambda a, b: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in g]
+    last = (
+        folded.alias("r").join(touched.alias("t"), same("r", "t"), "left_semi")
+        .groupBy(*g).agg(F.max("LogId").alias("_last"), F.max("Run").alias("_run"))
+    ).checkpoint()
+    known = folded.alias("r").join(last.alias("l"), same("r", "l"), "left").select("r.*", "_last", "_run")
+    open_rows = known.where(F.col("Run") == F.col("_run"))
+    # a step's count with its Start belongs to the row before, which is not folded anew
+    starts = open_rows.select(
+        F.col("LogId").alias("seq"), F.col("StartDateTime").alias("EventTime"), *g, "Step",
+        F.lit(STATUS_START).alias("Status"), "Message", F.lit(0).cast("bigint").alias("RowsProcessed"),
+    )
+    updates = open_rows.where((F.col("LogId") == F.col("_last")) & (F.col("Status") != STATUS_RUNNING)).select(
+        (F.col("LogId") + 1).alias("seq"), F.col("EndDateTime").alias("EventTime"), *g, F.lit(None).cast("string").alias("Step"),
+        "Status", "Message", "RowsProcessed",
+    )
+    fold = log_fold(starts.unionByName(updates).unionByName(events.select(*EVENT_COLUMNS)), hot_rows)
+    new = fold.alias("r").join(last.alias("l"), same("r", "l"), "left").where(
+        F.col("_last").isNull() | (F.col("LogId") >= F.col("_last"))
+    )
+    run = F.col("r.Run") + F.coalesce(F.col("_run"), F.lit(1)) - 1
+    new = new.select(*[run.cast("smallint").alias("Run") if c == "Run" else F.col(f"r.{c}") for c in LOG_COLUMNS])
+    kept = known.where(F.col("_last").isNull() | (F.col("LogId") < F.col("_last"))).select(*LOG_COLUMNS)
+    return kept.unionByName(new)
