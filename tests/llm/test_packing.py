@@ -15,9 +15,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)  # as it is: a special token's string in a text is that token
 
 
 def plain_best_fit(lengths, capacity):
@@ -55,9 +53,23 @@ def test_words_one_by_one_give_the_same_ids(spark, tokenizer):
     known = packing.WordIds(PATH)
     texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     odd = "It's THE.END,, don't x&&&y a.!b. É, İstanbul ẖH̱ ﬁ １２3 <|endoftext|> \x1c     é!! 😀.. (x). 'S 're,"
-    for t in [*texts, odd, odd.upper(), "", None]:
+    special = ["one <|endoftext|> two", "a<|endoftext|>,b.<|startoftext|>! <|ENDOFTEXT|>", "x<|endoftext|>\n\t <|endoftext|>."]
+    every = [*texts, odd, odd.upper(), *special, "", None]
+    raws = [t.encode() if t else t for t in every]
+    for t, got in zip(every, known.of(raws)):
         want = tokenizer.encode(t or "", add_special_tokens=False).ids
-        assert np.frombuffer(known.of(t.encode() if t else t), "<u4").tolist() == want
+        assert np.frombuffer(got, "<u4").tolist() == want
+    assert np.frombuffer(known.of([b"one <|endoftext|> two"])[0], "<u4").tolist() == [637, 49407, 1237]
+
+
+def test_a_full_memory_drops_its_older_half(monkeypatch):
+    whole = packing.WordIds(PATH)
+    words = [b" ".join(b"w%dx" % (i * 7 % 400) for i in range(k, k + 30)) for k in range(0, 300, 10)]
+    want = whole.of(words)
+    monkeypatch.setattr(packing, "REMEMBERED", 60)
+    small = packing.WordIds(PATH)
+    assert [small.of([w])[0] for w in words] == want
+    assert len(small.known) <= 150
 
 
 def check_packed(rows, docs, tokenizer, capacity):

@@ -22,6 +22,7 @@ import math
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -33,19 +34,22 @@ from tidemark.llm.common import cut
 
 CAPACITY = 4096
 END = 1
-#: Words a task remembers the ids of; beyond it, the memory starts anew.
-REMEMBERED = 400_000
+#: Words a Python worker remembers the ids of; beyond it, the older half is dropped.
+REMEMBERED = 1_000_000
+#: Bytes of text that are looked up at once (a longer text alone).
+SLICE = 2_000_000
 #: Steps that are broadcast; more of them are joined by shuffle.
 STEPS_SENT = 200_000
 PUNCTUATION = b".,!$%&*#|?;:"
 
 
-class WordIds(dict):
+class WordIds:
     """Little-endian uint32 ids of words between ASCII spaces, as bytes.
 
     The tokenizer never joins characters across a space, so words can be
     looked up one by one. It lower-cases, and it parts punctuation from a
-    letter or digit before it, so such words are built from known ones.
+    letter or digit before it, so such words are built from known ones. A word
+    that may hold a special token's string is left to the tokenizer as it is.
     """
 
     def __init__(self, path: str):
@@ -53,24 +57,61 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
+        self.known: dict[bytes, bytes] = {}
+
+    @classmethod
+    def of_worker(cls, path: str) -> WordIds:
+        """This Python worker's memory, kept from task to task.
+
+        The operator's own module travels by value with each task, so the
+        memory hangs on an installed one.
+        """
+        import tokenizers
+
+        kept = vars(tokenizers).setdefault("_word_ids_of_worker", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
+
+    @staticmethod
+    def parts(word: bytes) -> tuple[bytes, ...]:
+        if b"<|" in word:
+            return (word,)
+        if word.isascii():
+            word = word.lower()
         stem = word.rstrip(PUNCTUATION)
-        if word.isascii() and (low := word.lower()) != word:
-            ids = self[low]
-        elif stem and stem != word and stem[-1:].isalnum():
-            ids = self[stem] + self[word[len(stem) :]]
-        else:
-            got = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            ids = np.array(got, dtype="<u4").tobytes()
-        self[word] = ids
-        return ids
-
-    def of(self, text: bytes | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or b"").split()))
+        return (stem, word[len(stem) :]) if stem and stem != word and stem[-1:].isalnum() else (word,)
+
+    def learn(self, words: set[bytes]) -> None:
+        """Remember the ids of ``words``; unknown ones go to the tokenizer together."""
+        new = words.difference(self.known)
+        if len(self.known) + 2 * len(new) > REMEMBERED:  # the older half goes
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+            new = words.difference(self.known)
+        made = {w: self.parts(w) for w in new}
+        plain = list({p for parts in made.values() for p in parts}.difference(self.known))
+        got = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in plain], add_special_tokens=False)
+        self.known.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(plain, got))
+        self.known.update([(w, b"".join(map(self.known.__getitem__, parts))) for w, parts in made.items()])
+
+    def of(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text."""
+        words = [(t or b"").split() for t in texts]
+        self.learn(set(chain.from_iterable(words)))
+        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+
+
+def _slices(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
+    """The texts in order, about ``SLICE`` bytes at once."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t or b"")
+        if size >= SLICE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str = "text", ids: bool = False) -> DataFrame:
@@ -79,11 +120,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(tokenizer)
+        known = WordIds.of_worker(tokenizer)
         for b in batches:
             rows: list[tuple] = []
-            for i, t in enumerate(b.column(1).to_pylist()):
-                blob = known.of(t) + end
+            for i, blob in enumerate(chain.from_iterable(map(known.of, _slices(b.column(1).to_pylist())))):
+                blob += end
                 for k, at in enumerate(range(0, len(blob), 4 * capacity)):
                     part = blob[at : at + 4 * capacity]
                     rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part), *[part] * ids))
