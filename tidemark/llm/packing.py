@@ -58,6 +58,9 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.closes[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
 
     @classmethod
     def of_worker(cls, path: str) -> WordIds:
@@ -89,11 +92,28 @@ class WordIds:
             self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
             new = words.difference(self.known)
         made = {w: self.parts(w) for w in new}
-        plain = list({p for parts in made.values() for p in parts}.difference(self.known))
-        got = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in plain], add_special_tokens=False)
-        self.known.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(plain, got))
+        self.encode(list({p for parts in made.values() for p in parts}.difference(self.known)))
         self.known.update([(w, b"".join(map(self.known.__getitem__, parts))) for w, parts in made.items()])
 
+    def encode(self, words: list[bytes]) -> None:
+        """Remember the ids of words that are not made of others.
+
+        Runs of letters are encoded as one text: the tokenizer parts none of
+        them, and every part ends with a token that closes it, so as many
+        closing tokens as runs tell the ids of each.
+        """
+        texts = [w.decode("utf-8", "replace") for w in words]
+        runs = [w for w, t in zip(words, texts) if t.lower().isalpha()]
+        joined = " ".join(t for t in texts if t.lower().isalpha())
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(runs):
+            blob, ends = ids.tobytes(), (4 * ends).tolist()
+            self.known.update(zip(runs, map(lambda a, b: blob[a:b], [0, *ends], ends)))
+        words = [w for w in words if w not in self.known]
+        got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(words, got))
+
     def of(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text."""
         words = [(t or b"").split() for t in texts]
