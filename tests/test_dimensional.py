@@ -2,6 +2,7 @@
 
 import pytest
 from helpers import d, rows
+from pyspark.sql import functions as F
 
 from tidemark.operators import dimensional, merge
 from tidemark.spec import KeyContractError, assert_no_null_keys, assert_unique_keys
@@ -52,3 +53,17 @@ def test_driver_passes_computed_columns(spark):
     wh.specs[("Dimension", "D")] = TableSpec("D", ("id",), {"doubled": "amount * 2"})
     control.run_control("dimensional", wh, date_limit=d("2024-01-01"), now=d("2024-01-01"))
     assert rows(wh.tables[("Dimension", "D")], "id", "doubled") == [(1, 8)]
+
+
+def test_candidates_lead_the_view_below_its_aggregate(spark):
+    """The semi join on the candidate keys reaches the rows the Live view aggregates."""
+    base = spark.createDataFrame([(i % 10, d(f"2021-01-{1 + i % 20:02d}"), i) for i in range(100)], "id int, at timestamp_ntz, v int")
+    live = base.groupBy("id").agg(F.max("at").alias("UpdateTimestamp"), F.sum("v").alias("v"))
+    target = spark.createDataFrame([], live.schema)
+    low, high = d("2021-01-18"), d("2030-01-01")
+    plain = dimensional.upsert_changes(live, target, ("id",), low, high)
+    found = dimensional.upsert_candidates(live, ("id",), low, high).checkpoint()
+    led = dimensional.upsert_changes(live, target, ("id",), low, high, candidates=found, candidate_rows=found.count())
+    assert sorted(map(str, led.collect())) == sorted(map(str, plain.collect())) != []
+    plan = led._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")  # the join lies below the aggregate

@@ -107,6 +107,17 @@ def dim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensional.upsert_candidates(live, fx.CUSTOMER_KEYS, w.date_from, w.date_to)
 
 
+def dim_changes_by_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second snapshot's change set, led by its candidate keys."""
+    live, r = _gold_chain(spark, sf_dir, 2)[-1]
+    w = r.window
+    found = dimensional.upsert_candidates(live, fx.CUSTOMER_KEYS, w.date_from, w.date_to).checkpoint()
+    before = _gold_chain(spark, sf_dir, 1)[-1][1].state
+    return dimensional.upsert_changes(
+        live, before, fx.CUSTOMER_KEYS, w.date_from, w.date_to, probe_rows=w.rows, candidates=found, candidate_rows=found.count()
+    )
+
+
 def window_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounds of every batch of every loader: from, to, watermark, gate."""
     rows = []
@@ -415,6 +426,7 @@ def _queries() -> dict[str, Query]:
         "dim_upsert_initial": dim_state(1),
         "dim_upsert_incremental": dim_state(2),
         "dim_changes": dim_changes,
+        "dim_changes_by_candidates": dim_changes_by_candidates,
         "dim_candidates": dim_candidates,
         "window_bounds": window_bounds,
         "tag_first_full": tag_full("first"),
