@@ -112,10 +112,9 @@ def dim_changes_by_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     live, r = _gold_chain(spark, sf_dir, 2)[-1]
     w = r.window
     found = dimensional.upsert_candidates(live, fx.CUSTOMER_KEYS, w.date_from, w.date_to).checkpoint()
+    led = dimensional.led_by_candidates(live, found, fx.CUSTOMER_KEYS, found.count()).checkpoint()
     before = _gold_chain(spark, sf_dir, 1)[-1][1].state
-    return dimensional.upsert_changes(
-        live, before, fx.CUSTOMER_KEYS, w.date_from, w.date_to, probe_rows=w.rows, candidates=found, candidate_rows=found.count()
-    )
+    return dimensional.upsert_changes(led, before, fx.CUSTOMER_KEYS, w.date_from, w.date_to, probe_rows=w.rows)
 
 
 def window_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:

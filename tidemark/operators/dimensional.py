@@ -24,6 +24,17 @@ def upsert_candidates(source: DataFrame, keys: Sequence[str], low, high) -> Data
     return source.where(in_window(UPDATED, low, high)).select(keys[0]).distinct()
 
 
+def led_by_candidates(source: DataFrame, candidates: DataFrame, keys: Sequence[str], rows: int | None) -> DataFrame:
+    """The source's rows of the candidate keys (``rows`` of them).
+
+    Where the candidates fit a broadcast, Catalyst pushes this join on a
+    grouping key below the aggregate of a Live view, so the view is computed
+    for changed keys only. A filter on the aggregate's result would get
+    between the two: materialise this frame before filtering it.
+    """
+    return source.join(bounded_broadcast(candidates, rows), [keys[0]], "left_semi")
+
+
 def upsert_changes(
     source: DataFrame,
     target: DataFrame,
@@ -34,25 +45,19 @@ def upsert_changes(
     probe_rows: int | None = None,
     candidate_filter: bool = False,
     computed: Mapping[str, str] | None = None,
-    candidates: DataFrame | None = None,
-    candidate_rows: int | None = None,
 ) -> DataFrame:
     """Changed source rows with an ``Upsert`` flag (``I`` new key, ``U`` known key).
 
-    ``candidates`` (materialised candidate keys, ``candidate_rows`` of them)
-    lead the evaluation as in the original procedure: Catalyst pushes the
-    semi join on a grouping key below the view's aggregate, so the view is
-    computed for changed keys only.  ``candidate_filter`` derives them from
-    the source in the same plan.  Neither changes a result (NULL keys are
-    rejected anyway).
+    ``candidate_filter`` adds the candidate-key semi join of the original
+    procedure in the same plan; it changes no result (NULL keys are rejected
+    anyway).  The drivers materialise the candidates first and pass the rows
+    they lead to as ``source`` (``led_by_candidates``).
     """
     computed = dict(computed or {})
     columns = [c for c in target.columns if c not in computed]
     rows = source.where(in_window(UPDATED, low, high))
-    if candidate_filter and candidates is None:
-        candidates, candidate_rows = upsert_candidates(source, keys, low, high), probe_rows
-    if candidates is not None:
-        rows = rows.join(bounded_broadcast(candidates, candidate_rows), [keys[0]], "left_semi")
+    if candidate_filter:
+        rows = led_by_candidates(rows, upsert_candidates(source, keys, low, high), keys, probe_rows)
     rows = rows.select(*columns)
     stored = stored_for_keys(target.select(*keys), rows.select(*keys), keys, probe_rows).withColumn(
         "_hit", F.lit(True)

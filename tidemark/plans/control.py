@@ -45,7 +45,7 @@ from tidemark.functions.constants import (
 )
 from tidemark.functions.columns import in_window
 from tidemark.operators.bounds import ChangeWindow, read_high_watermark
-from tidemark.operators.dimensional import upsert_candidates
+from tidemark.operators.dimensional import led_by_candidates, upsert_candidates
 from tidemark.operators.tags import reduced_window
 from tidemark.plans import pairs as pairing
 from tidemark.plans.incremental import LOADERS, StepResult, loaded, window_of
@@ -164,10 +164,9 @@ def _load_window(
     if kind == "dimensional":
         options["computed"] = dict(spec.computed)
         found, seen = _observed(upsert_candidates(src, spec.keys, w.date_from, w.date_to))
-        options |= {"candidates": found, "candidate_rows": seen.get("rows", 0)}
-        # with one key column the candidates are the keys; else the view tells them
-        led = found if len(spec.keys) == 1 else src.where(in_window(ts_col, w.date_from, w.date_to))
         begin(STEP_CHANGES, seen.get("rows", 0))
+        src, _ = _observed(led_by_candidates(src, found, spec.keys, seen.get("rows", 0)))
+        led = src.where(in_window(ts_col, w.date_from, w.date_to))
     else:
         src, seen = _observed(reduced_window(kind, src, spec.keys, w.date_from, w.date_to), _null_keys(spec.keys))
         options["probe_rows"] = seen.get("rows", 0)
