@@ -1,5 +1,6 @@
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -72,6 +73,32 @@ def test_a_hidden_element_ends_at_its_own_closing_tag(script):
     assert [b.text for b in html_extract.blocks("<p>i<n<b>x</b></p>")] == ["i<nx"]
 
 
+@pytest.mark.parametrize("inner, want", [
+    ("<p><a href=x title=it's>Here</a> the first ends, it's said.</p><p>And a second isn't lost.</p>", ["Here the first ends, it's said.", "And a second isn't lost."]),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be given.</p>", ["Let x=1 be given."]),
+    ('<p title="unclosed>Some text</p><p>and more</p>', ["Some text", "and more"]),
+    ('<p title="unclosed>Some text</p><p title="b">and more</p>', ["and more"]),  # as browsers do: the next quote closes it
+    ("<p title='a > b' data-x=\"c > d\">Some</p><p a=b/>text</p>", ["Some", "text"]),
+    ("<p a = 'x>y' b>Some</p ><p\nid=\n'q'\n>text</p>", ["Some", "text"]),
+    ("<p>a < b and c <3 d</p>", ["a < b and c <3 d"]),
+    ("<p>&#0000000065;&#" + "9" * 6000 + ";</p>", ["A\ufffd"]),
+    ('<p a="x>one</p><p b=\'y>two</p>', ["one", "two"]),
+])
+def test_tags_as_browsers_read_them(inner, want):
+    assert [b.text for b in html_extract.blocks(inner)] == want
+
+
+@pytest.mark.parametrize("piece", [
+    '<p a="x ', "<p a='x\" ", '<p a=">"', "<!", "<!--", "<p a=b ", "</script ", "<div>x", "<b>x", "<b><div>", "<p><section>x</li>",
+    "<x a", "&#1", "<script></script ", "<a href=it's>x ", "<", "<p =", "<p a" + " " * 40,
+])
+def test_broken_markup_of_a_million_characters(piece):
+    start = time.perf_counter()
+    html_extract.blocks(piece * (1_000_000 // len(piece)))
+    html_extract.blocks("<script>" + piece * (1_000_000 // len(piece)) + ">")
+    assert time.perf_counter() - start < 20  # seconds on a busy machine; a rescan would take hours
+
+
 def test_awkward_pages(spark):
     long = "<article><h1>T</h1>" + "<p>some words of a long story, and more of them.</p>" * 5000 + "</article>"
     rows = [

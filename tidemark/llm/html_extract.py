@@ -9,7 +9,9 @@ joined in page order.
 Results at the edges: a null or empty page, and one without text blocks, has
 the empty text. Pages of any length are read whole; broken markup is read as
 far as it goes. Repeated rows are read one by one; an empty table gives an
-empty table; columns of the input named like a result are replaced.
+empty table; columns of the input named like a result are replaced. Reading
+takes time in line with the page's length, however broken its tags are; text
+in formulas (MathML) is part of the block around it.
 """
 
 from __future__ import annotations
@@ -26,14 +28,23 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.html_pages import labelled_pages
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/><]*)(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+SIMPLE = re.compile(r"<(/?)([a-zA-Z][^\s/><]*)(\s*/?)>")
+OPENING = re.compile(r"<(/?)([a-zA-Z][^\s/><]*)(?=[\s/>])")
+#: One attribute's name and, if it has a value, the sign before the value.
+ATTRIBUTE = re.compile(r"[\s/]*(=?[^\s/>=]+|=)(\s*=\s*)?")
+UNQUOTED = re.compile(r"[^\s>]*")
+GAP = re.compile(r"[\s/]*")
+LONG_NUMBER = re.compile(r"&#([0-9]{9,});?")
 #: Elements by the way they are read.
-HIDDEN = frozenset("script style noscript template textarea title iframe svg math object select head".split())
+HIDDEN = frozenset("script style noscript template textarea title iframe svg object select head".split())
 #: What ends a hidden element: its own closing tag alone, whatever else looks like one.
-CLOSING = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in HIDDEN}
+CLOSING = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in HIDDEN}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover "
+    "munderover mmultiscripts mprescripts mtable mtr mtd semantics annotation annotation-xml".split()
+)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words in class names, ids and roles that tell the part of a page.
 PARTS = {
@@ -50,103 +61,225 @@ PARTS = {
 WORD_PART = {w: part for part, names in PARTS.items() for w in names.split()}
 
 
-def _parts(attributes: str) -> list[str]:
+class Reader:
+    """Cuts a page into tags and text; each character is looked at a bounded number of times.
+
+    A quote starts a value only right after ``=``, and runs to the next such
+    quote, as in a browser. Where none is left, the quote is a plain character
+    of an unquoted value. A tag that would run past the page's end, and every
+    tag after it, ends at its first ``>``.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last_end = page, page.rfind(">")
+        self.unclosed: set[str] = set()  # quotes that do not occur again
+        self.plain = False
+
+    def tag(self, at: int) -> tuple[int, bool, str, list[tuple[str, str]], bool] | None:
+        """The tag at ``at``: its end, closing or not, name, attributes, empty or not; None: no tag."""
+        if at > self.last_end:
+            return None
+        if m := SIMPLE.match(self.page, at):
+            return m.end(), bool(m[1]), m[2].lower(), [], "/" in m[3]
+        m = OPENING.match(self.page, at)
+        if not m:
+            return None
+        end, found, empty = self._attributes(m.end())
+        return end, bool(m[1]), m[2].lower(), found, empty
+
+    def _attributes(self, start: int) -> tuple[int, list[tuple[str, str]], bool]:
+        page, at, found = self.page, start, []
+        stop = page.find(">", start) if self.plain else len(page)
+        while m := ATTRIBUTE.match(page, at, stop):
+            at, value = m.end(), ""
+            if m[2] and at < stop:
+                quote = page[at]
+                end = -1
+                if quote in "\"'" and quote not in self.unclosed:
+                    end = page.find(quote, at + 1, stop)
+                    if end < 0 and stop == len(page):
+                        self.unclosed.add(quote)
+                if end >= 0:
+                    value, at = page[at + 1 : end], end + 1
+                else:
+                    v = UNQUOTED.match(page, at, stop)
+                    value, at = v[0], v.end()
+            found.append((m[1].lower(), value))
+        gap = GAP.match(page, at, stop)
+        at = gap.end()
+        if at == len(page):  # the page ends inside this tag
+            self.plain = True
+            return self._attributes(start)
+        return at + 1, found, gap[0].endswith("/")
+
+    def other(self, at: int) -> int | None:
+        """The end of a comment, declaration or instruction at ``at``; None: plain text."""
+        if self.page.startswith("<!--", at):
+            end = self.page.find("-->", at + 4)
+            return len(self.page) if end < 0 else end + 3
+        if at < self.last_end and self.page[at + 1] in "!?":
+            return self.page.find(">", at) + 1
+        return None
+
+    def after_hidden(self, name: str, at: int) -> int:
+        """Where a hidden element that began before ``at`` ends."""
+        closing = CLOSING[name].search(self.page, at)
+        if not closing or closing.end() > self.last_end:
+            return len(self.page)
+        return self.page.find(">", closing.end()) + 1
+
+
+def unescape(text: str) -> str:
+    """Character references decoded; numbers beyond any code point give U+FFFD."""
+
+    def shorten(m: re.Match) -> str:
+        digits = m[1].lstrip("0") or "0"
+        return f"&#{digits};" if len(digits) < 9 else "\ufffd"
+
+    return html.unescape(LONG_NUMBER.sub(shorten, text))
+
+
+def _parts(attributes: list[tuple[str, str]]) -> list[str]:
     found = []
-    for name, a, b, c in ATTRIBUTE.findall(attributes):
-        if name.lower() in ("class", "id", "role", "itemprop"):
-            for w in re.split(r"[^a-z]+", html.unescape(a or b or c).lower()):
+    for name, value in attributes:
+        if name in ("class", "id", "role", "itemprop"):
+            for w in re.split(r"[^a-z]+", unescape(value).lower()):
                 if w in WORD_PART:
                     found.append(WORD_PART[w])
     return found
 
 
+class Open:
+    """An open element with what holds for all open ones around it (shared, so depth costs nothing)."""
+
+    __slots__ = ("name", "tags", "parts", "last", "linked", "on")
+
+    def __init__(self, around: Open | None, name: str, parts: list[str]):
+        self.name = name
+        if around is None:
+            self.tags, self.parts, self.last, self.linked, self.on = frozenset(), frozenset(), "none", False, ()
+            return
+        tags = {name} - around.tags if name not in INLINE or parts else frozenset()
+        more = sorted(set(parts) - around.parts)
+        self.tags = around.tags | tags if tags else around.tags
+        self.parts = around.parts.union(more) if more else around.parts
+        self.last = name if name not in INLINE or parts else around.last
+        self.linked = around.linked or name == "a"
+        self.on = around.on + (*("in=" + t for t in tags), *("part=" + p for p in more)) if tags or more else around.on
+
+
+class Stack:
+    def __init__(self) -> None:
+        self.items = [Open(None, "", [])]
+        self.n_open: dict[str, int] = {}
+
+    @property
+    def top(self) -> Open:
+        return self.items[-1]
+
+    def open(self, name: str, attributes: list[tuple[str, str]]) -> None:
+        self.items.append(Open(self.top, name, _parts(attributes)))
+        self.n_open[name] = self.n_open.get(name, 0) + 1
+
+    def close(self, name: str, stop: tuple[str, ...] = ()) -> None:
+        """Close the innermost ``name`` and what is open inside it, unless a barrier is met."""
+        if not self.n_open.get(name):
+            return
+        for k in range(len(self.items) - 1, 0, -1):
+            here = self.items[k].name
+            if here == name:
+                for x in self.items[k:]:
+                    self.n_open[x.name] -= 1
+                del self.items[k:]
+                return
+            if here in stop or name in INLINE and here not in INLINE:
+                return
+
+
 class Block:
-    __slots__ = ("tags", "parts", "text", "linked")
+    __slots__ = ("around", "text", "linked")
 
-    def __init__(self, stack: list, text: str, linked: int):
-        self.tags = [s[0] for s in stack]
-        self.parts = [p for s in stack for p in s[1]]
-        self.text, self.linked = text, linked
+    def __init__(self, around: Open, text: str, linked: int):
+        self.around, self.text, self.linked = around, text, linked
 
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order."""
-    out, stack, text, linked = [], [], [], 0
-    at = 0
+    out, stack, text, linked = [], Stack(), [], 0
+    reader, at = Reader(page), 0
+
+    def add(piece: str) -> None:
+        nonlocal linked
+        text.append(piece)
+        if stack.top.linked:
+            linked += len(piece)
 
     def flush() -> None:
         nonlocal linked
         if text:
-            joined = " ".join(html.unescape("".join(text)).split())
+            joined = " ".join(unescape("".join(text)).split())
             if joined:
-                out.append(Block([s for s in stack if s[0] not in INLINE or s[1]], joined, linked))
+                out.append(Block(stack.top, joined, linked))
             text.clear()
         linked = 0
 
-    while m := TOKEN.match(page, at):
-        piece, name, at = m[0], (m[2] or "").lower(), m.end()
-        if not name:
-            if piece[:2] not in ("<!", "<?"):
-                text.append(piece)
-                if any(s[0] == "a" for s in stack):
-                    linked += len(piece)
+    while at < len(page):
+        if page[at] != "<":
+            end = page.find("<", at)
+            end = len(page) if end < 0 else end
+            add(page[at:end])
+            at = end
             continue
-        if name in HIDDEN and not m[1]:
-            if name != "head" and not m[3].endswith("/"):
-                end = CLOSING[name].search(page, at)
-                at = end.end() if end else len(page)
-            flush()
+        tag = reader.tag(at)
+        if tag is None:
+            end = reader.other(at)
+            if end is None:
+                add("<")
+            at = end or at + 1
             continue
-        if name in INLINE:
+        at, closes, name, attributes, empty = tag
+        if name in HIDDEN and not closes:
+            if name != "head" and not empty:
+                at = reader.after_hidden(name, at)
+            flush()
+        elif name in INLINE:
             if name == "br":
-                text.append(" ")
-            elif m[1]:
-                _close(stack, name)
+                add(" ")
+            elif closes:
+                stack.close(name)
             elif name not in VOID:
-                stack.append((name, _parts(m[3])))
-            continue
-        flush()
-        if m[1]:
-            _close(stack, name)
-        elif name not in VOID and not m[3].endswith("/"):
-            if name == "p" or name in HEADINGS:
-                _close(stack, "p")
-            elif name in ("li", "td", "tr", "dd", "dt", "option"):
-                _close(stack, name, stop=("ul", "ol", "table", "dl", "select", "div"))
-            else:
-                _close(stack, "p", stop=("div", "article", "section", "li", "td"))
-            stack.append((name, _parts(m[3])))
-        elif name == "hr":
-            continue
+                stack.open(name, attributes)
+        else:
+            flush()
+            if closes:
+                stack.close(name)
+            elif name not in VOID and not empty:
+                if name == "p" or name in HEADINGS:
+                    stack.close("p")
+                elif name in ("li", "td", "tr", "dd", "dt", "option"):
+                    stack.close(name, stop=("ul", "ol", "table", "dl", "select", "div"))
+                else:
+                    stack.close("p", stop=("div", "article", "section", "li", "td"))
+                stack.open(name, attributes)
     flush()
     return out
 
 
-def _close(stack: list, name: str, stop: tuple[str, ...] = ()) -> None:
-    for k in range(len(stack) - 1, -1, -1):
-        if stack[k][0] == name:
-            del stack[k:]
-            return
-        if stack[k][0] in stop or name in INLINE and stack[k][0] not in INLINE:
-            return
-
-
 def features(found: list[Block]) -> list[list[str]]:
     """Names of the features that are on, per block."""
     rows, n = [], len(found)
-    has_main = any("article" in b.tags or "main" in b.tags or "main" in b.parts for b in found)
+    has_main = any("article" in b.around.tags or "main" in b.around.tags or "main" in b.around.parts for b in found)
     for i, b in enumerate(found):
-        tags, parts = set(b.tags), set(b.parts)
+        tags, parts = b.around.tags, b.around.parts
         words = b.text.count(" ") + 1
         inside = "article" in tags or "main" in tags or "main" in parts
-        f = ["bias", "tag=" + (b.tags[-1] if b.tags else "none")]
-        f += ["in=" + t for t in tags] + ["part=" + p for p in parts]
+        f = ["bias", "tag=" + b.around.last, *b.around.on]
         f += [f"words={min(words.bit_length(), 6)}", f"linked={min(3, 4 * b.linked // max(1, len(b.text)))}"]
         f.append(f"main={inside}" if has_main else "main=none")
         f.append("end" if b.text[-1] in ".!?…" else "no end")
         if "©" in b.text:
             f.append("copyright")
-        if b.tags and b.tags[-1] in HEADINGS:
+        if b.around.last in HEADINGS:
             f.append(f"heading={inside}")
         if not parts and not tags & {"nav", "header", "footer", "aside", "form"}:
             f.append("plain")
