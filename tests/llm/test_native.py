@@ -164,6 +164,25 @@ def test_urls(spark):
     assert urls.judge(pages, rules.limit(0)).filter("verdict <> 'allow'").count() == 0
 
 
+def test_urls_of_any_length(spark):
+    """Ten thousand labels and a hundred thousand slashes; rules deep and shallow; against plain Python."""
+    far = "/".join(f"d{i}" for i in range(100_000))
+    rows = [(1, f"http://x.net/{far}"), (2, "http://" + "a." * 10_000 + "com/" + "/" * 100_000), (3, "http://..com//"),
+            (4, f"http://x.net/{far[:700]}"), (5, None), (6, "http:///x"), (7, "http://a.com//b"), (8, "http://a.com/?//b")]
+    rules = [("block", "net", "/" + "/".join(f"d{i}" for i in range(50)) + "/d5"), ("block", "com", "//"), ("allow", "a.a.com", ""),
+             ("allow", "net", "/"), ("block", "..com", "/"), ("block", "", "/x")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    out = urls.judge(df, spark.createDataFrame(rules, "action string, host string, path string"), default="none").collect()
+    assert len(out) == len(rows)
+    for r in out:
+        fits = [
+            (len(h + p), len(h), a == "block", h + p, a)
+            for a, h, p in rules
+            if h and (r["host"] == h or r["host"].endswith("." + h)) and r["path"].startswith(p)
+        ]
+        assert (r["rule"], r["verdict"]) == (max(fits)[3:] if fits else (None, "none")), r["page_id"]
+
+
 def test_empty_tables(no_docs):
     assert quality.judge(no_docs).count() == 0
     assert secret_scan.scan(no_docs).count() == 0
