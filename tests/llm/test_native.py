@@ -125,6 +125,17 @@ def test_mix_is_the_queue(spark):
     assert sorted(map(str, small(sized, t, 4).collect())) == sorted(map(str, small(sized, t, 10**6).collect()))
 
 
+def test_mix_meets_targets_without_ids(spark):
+    """A third of the ids null, some repeated: told apart by text, every source comes within its largest document."""
+    rows = [(None if i % 3 == 0 else i // 2, ["a", "b", "c"][min(i % 7, 2)], 1 + i * 37 % 50, f"t{i}") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, digest string")
+    by = mixing.mix(df, digest="digest").groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"))
+    for r in by.collect():
+        assert abs(r["taken"] - r["target"]) <= 2 * 50, r
+    pages = spark.createDataFrame([(None, "a", 5, None)] * 3, "doc_id long, source string, size long, digest string")
+    assert [r["taken"] for r in mixing.mix(pages, digest="digest").collect()] == [5, 5, 5]
+
+
 def test_mix_of_nothing(spark, no_docs):
     sized = no_docs.withColumn("size", F.lit(0).cast("long"))
     assert mixing.mix(sized).count() == 0

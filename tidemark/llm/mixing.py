@@ -1,21 +1,23 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Every document of a source stands up to three times in the source's queue:
-pass 0, 1, 2, each pass shuffled by ``md5(doc_id:pass)``. Its virtual finish
+pass 0, 1, 2, each pass shuffled by ``md5(document:pass)``, where the document is its id and, if given, a
+digest of its text. Its virtual finish
 time is the source's cumulative words at that place divided by the source's
 target. All queues are merged by finish time and cut where the running total
 passes the budget, so every source has then had nearly its target.
 
 The running sums are two-level. A queue is cut into buckets by the leading
-digits of the shuffle key (uniform, so a bucket of a hot source is as small
-as N decides), the merged queue into ranges of finish time; bucket totals
+digits of the shuffle key (uniform; about as many buckets as a bucket has rows,
+so neither outgrows a task), the merged queue into ranges of finish time; bucket totals
 give each bucket's start, and a window runs inside one bucket only. Only ids
 and sizes are shuffled: each source's last taken key per pass comes back as
 one row per source and is compared with every document in place.
 
 Results at the edges: a null or empty text has size 0 and takes 0 words; null
-sources are one source, the last in order; rows that share a doc_id are peers
-in the shuffle and are taken together or not at all. An empty table gives an
+sources are one source, the last in order; rows that share a doc_id
+(and the digest, if one is given) are peers in the shuffle and are taken
+together or not at all, so give a digest where ids may be null or repeat. An empty table gives an
 empty table; a budget of 0 words takes nothing. A column of the input that is
 named like a result is replaced.
 """
@@ -59,25 +61,30 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
     return s.select("source", "source_size", "budget", target.alias("target"))
 
 
-def shuffle_key(doc_id: Column, turn: Column | int) -> Column:
+def shuffle_key(doc_id: Column, turn: Column | int, digest: Column | None = None) -> Column:
     """Place of a document in one pass of its source's queue."""
     name = F.coalesce(doc_id.cast("string"), F.lit(""))
+    if digest is not None:
+        name = F.concat(name, F.lit(":"), F.coalesce(digest, F.lit("")))
     turn = F.lit(turn) if isinstance(turn, int) else turn
     return F.concat(F.md5(F.concat_ws(":", name, turn.cast("string"))), name)
 
 
-def last_taken(sized: DataFrame, targets: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def last_taken(
+    sized: DataFrame, targets: DataFrame, bucket_rows: int | None = None, digest: str | None = None
+) -> DataFrame:
     """``source, last``: per pass the last shuffle key that the mix takes, or null."""
     rows = sized.count()
+    bucket_rows = bucket_rows or max(BUCKET_ROWS, math.isqrt(rows))
     digits = max(1, math.ceil(math.log(max(rows / bucket_rows, 1), 16)))
     t = targets.withColumnRenamed("source", "_s")
     q = sized.filter("size > 0").join(t, F.col("source").eqNullSafe(F.col("_s")))
-    q = q.select("source", "doc_id", "size", "target", "budget")
     q = q.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(PASSES - 1))))
-    q = q.withColumn("key", shuffle_key(F.col("doc_id"), F.col("turn")))
+    q = q.withColumn("key", shuffle_key(F.col("doc_id"), F.col("turn"), F.col(digest) if digest else None))
+    q = q.select("source", "size", "target", "budget", "turn", "key")
     q = q.withColumn("bucket", F.substring("key", 1, digits))
     inside = Window.partitionBy("source", "turn", "bucket").orderBy("key")
-    # one row per key: repeated doc_ids are peers
+    # one row per key: repeated documents are peers
     keyed = q.groupBy("source", "turn", "bucket", "key", "target", "budget").agg(F.sum("size").alias("size"))
     starts = q.groupBy("source", "turn", "bucket").agg(F.sum("size").alias("total"))
     before = Window.partitionBy("source").orderBy("turn", "bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -108,20 +115,22 @@ def last_taken(sized: DataFrame, targets: DataFrame, bucket_rows: int = BUCKET_R
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """``docs`` (doc_id, source, size, ...) with ``source_size, target, copies, taken``.
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), digest: str | None = None) -> DataFrame:
+    """``docs`` (doc_id, source, size, ...; ``digest`` names a column that tells texts apart) with ``source_size, target, copies, taken``.
 
     ``copies`` is how often the mix takes the document, ``taken`` its words.
     """
     docs = docs.drop("source_size", "target", "copies", "taken")
-    sized = cut(docs.select("doc_id", "source", "size"))
+    sized = cut(docs.select("doc_id", "source", "size", *([digest] if digest else [])))
     targets = cut(source_targets(sized, weights))
-    t, m = targets.alias("t"), last_taken(sized, targets).alias("m")
+    t, m = targets.alias("t"), last_taken(sized, targets, digest=digest).alias("m")
     ends = t.join(m, F.col("t.source").eqNullSafe(F.col("m.source")), "left").select(
         F.col("t.source").alias("_s"), "source_size", "target", "last"
     )
+    told = F.col(digest) if digest else None
     reached = [
-        F.coalesce(shuffle_key(F.col("doc_id"), i) <= F.col("last")[i], F.lit(False)).cast("int") for i in range(PASSES)
+        F.coalesce(shuffle_key(F.col("doc_id"), i, told) <= F.col("last")[i], F.lit(False)).cast("int")
+        for i in range(PASSES)
     ]
     copies = F.when(F.col("size") > 0, sum(reached[1:], reached[0])).otherwise(0)
     out = docs.join(cut(ends), F.col("source").eqNullSafe(F.col("_s"))).withColumn("copies", copies)

@@ -38,8 +38,9 @@ URL_RULES = (
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to source weights 1, 2, 3, repeating."""
     docs = table(spark, sf_dir, "documents")
-    sized = cut(docs.select("doc_id", "source", mixing.size_of(F.col("text")).alias("size")))
-    return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+    size, digest = mixing.size_of(F.col("text")).alias("size"), F.md5("text").alias("digest")
+    sized = cut(docs.select("doc_id", "source", size, digest))
+    return mixing.mix(sized, digest="digest").select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

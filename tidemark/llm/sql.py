@@ -9,7 +9,8 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 def op1_mixing() -> str:
     return rf"""
-with d as (select doc_id, source, len({WORDS}) as size from documents),
+with d as (select doc_id, source, len({WORDS}) as size,
+                  coalesce(doc_id::varchar, '') || ':' || coalesce(md5(text), '') as name from documents),
 s as (select source, sum(size) as source_size,
              (row_number() over (order by source nulls last) - 1) % 3 + 1 as w
       from d group by source),
@@ -23,18 +24,17 @@ o as (select *, (budget - coalesce(sum(cap) over (order by cap / w, source nulls
 l as (select min_by(level, i) as level from o where cap / w > level),
 t as (select o.source, source_size, budget,
              least(cap::double, coalesce(l.level * w, cap::double)) as target from o, l),
-q as (select d.doc_id, d.size, t.source, t.target, t.budget, e.turn,
-             md5(coalesce(d.doc_id::varchar, '') || ':' || e.turn) || coalesce(d.doc_id::varchar, '') as key
+q as (select d.name, d.size, t.source, t.target, t.budget, e.turn, md5(d.name || ':' || e.turn) || d.name as key
       from d join t on d.source is not distinct from t.source, (select unnest([0, 1, 2]) as turn) e
       where d.size > 0),
 v as (select *, sum(size) over (partition by source order by turn, key) / target as finish from q),
 m as (select *, sum(size) over (order by finish) as merged from v),
-k as (select doc_id, turn, source from m where merged <= budget group by all),
-c as (select doc_id, source, count(*) as copies from k group by all)
+k as (select name, turn, source from m where merged <= budget group by all),
+c as (select name, source, count(*) as copies from k group by all)
 select d.doc_id, d.size::bigint as size, t.source_size::bigint as source_size, t.target,
        (d.size * case when d.size > 0 then coalesce(c.copies, 0) else 0 end)::bigint as taken
 from d join t on d.source is not distinct from t.source
-left join c on c.doc_id is not distinct from d.doc_id and c.source is not distinct from d.source
+left join c on c.name = d.name and c.source is not distinct from d.source
 """
 
 
