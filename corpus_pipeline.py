@@ -62,8 +62,8 @@ def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time the mix takes a document."""
-    sized = _carried(docs, "doc_id", "source", mixing.size_of(F.col("text")).alias("size"))
-    mixed = mixing.mix(sized).filter("copies > 0")
+    size, digest = mixing.size_of(F.col("text")).alias("size"), F.md5("text").alias("digest")
+    mixed = mixing.mix(_carried(docs, "doc_id", "source", size, digest), digest="digest").filter("copies > 0")
     return mixed.withColumn("_n", F.explode(F.sequence(F.lit(1), "copies"))).select("_row.*")
 
 
