@@ -28,6 +28,11 @@ def upsert(
     return keep.unionByName(changes.select(*target.columns))
 
 
+def matched(target: DataFrame, changes: DataFrame, match: Sequence[str], change_rows: int | None = None) -> DataFrame:
+    """The target rows that ``upsert`` would replace."""
+    return target.join(bounded_broadcast(changes.select(*match), change_rows), list(match), "left_semi")
+
+
 def append(target: DataFrame, changes: DataFrame) -> DataFrame:
     """First tables only ever grow."""
     return target.unionByName(changes.select(*target.columns))

@@ -113,9 +113,11 @@ class KeyedParquetTable:
 
     def append(self, rows: DataFrame) -> None:
         self._pin_buckets()
+        self._add(self._with_bucket(rows))
+
+    def _add(self, placed: DataFrame) -> None:
         # one file per bucket, or some of even size where a bucket is large
-        dealt = self._with_bucket(rows).hint("rebalance", BUCKET)
-        dealt.write.mode("append").partitionBy(BUCKET).parquet(self.path)
+        placed.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(self.path)
 
     def upsert(self, changes: DataFrame, match: Sequence[str], change_rows: int | None = None) -> None:
         """Replace the rows matched on ``match`` and add new ones, bucket by bucket."""

@@ -55,18 +55,20 @@ class VersionedPartitions:
 
     def folders(self) -> list[str]:
         """Partition folders of the newest version, relative to the data."""
-        if not path_exists(self.spark, self._list):
-            return []
-        rows = self.spark.read.parquet(self._list)
-        newest = rows.agg(F.max("version").alias("v")).first()["v"]
-        return sorted(r["folder"] for r in rows.where(F.col("version") == newest).select("folder").collect() if r["folder"])
+        newest = self.version()
+        rows = self._listed().where(F.col("version") == newest).select("folder").collect() if newest else []
+        return sorted(r["folder"] for r in rows if r["folder"])
 
     def version(self) -> int:
         if not path_exists(self.spark, self._list):
             return 0
-        return self.spark.read.parquet(self._list).agg(F.max("version").alias("v")).first()["v"]
+        return self._listed().agg(F.max("version").alias("v")).first()["v"]
+
+    def _listed(self) -> DataFrame:
+        return self.spark.read.schema("version long, folder string").parquet(self._list)
 
-    def _read(self, folders: Sequence[str]) -> DataFrame:
+    def read_folders(self, folders: Sequence[str]) -> DataFrame:
+        """Rows of some partition folders, as ``folders`` gives them."""
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         stored = T.StructType([*self.schema.fields, T.StructField(COMMIT, T.StringType())])
@@ -75,7 +77,7 @@ class VersionedPartitions:
 
     def read(self) -> DataFrame:
         """The newest version's rows."""
-        return self._read(self.folders())
+        return self.read_folders(self.folders())
 
     def files(self) -> DataFrame:
         """``path, length`` of the newest version's files."""

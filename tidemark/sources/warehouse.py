@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.constants import CAPTURE, TABLE_TYPE, VIEW_TYPE, WATERMARK_TABLE
+from tidemark.functions.constants import CAPTURE, EXPIRY, TABLE_TYPE, VIEW_TYPE, WATERMARK_TABLE
+from tidemark.sources.intervals import IntervalParquetTable
 from tidemark.sources.tables import KeyedParquetTable, path_exists
 from tidemark.spec import TableSpec
 
@@ -105,7 +106,10 @@ class ParquetWarehouse:
 
     def _table(self, schema: str, name: str) -> KeyedParquetTable:
         spec, struct = self.specs[(schema, name)]
-        return KeyedParquetTable(self.spark, f"{self.root}/{schema}/{name}", spec.keys, struct, self.buckets)
+        path = f"{self.root}/{schema}/{name}"
+        if EXPIRY in struct.fieldNames():
+            return IntervalParquetTable(self.spark, path, spec.keys, struct, CAPTURE, EXPIRY, self.buckets)
+        return KeyedParquetTable(self.spark, path, spec.keys, struct, self.buckets)
 
     def registry(self) -> DataFrame:
         rows = [(s, o, TABLE_TYPE) for (s, o) in self.specs if o != WATERMARK_TABLE]
@@ -128,9 +132,12 @@ class ParquetWarehouse:
 
         A key's stored rows live only in its hash bucket, so this is all a
         change set can match; the bucket ids (at most ``buckets``) are
-        collected and prune the scan.
+        collected and prune the scan. Of a History table, closed versions
+        that end by the least capture of their bucket's changes are left out.
         """
         table = self._table(schema, name)
+        if isinstance(table, IntervalParquetTable):
+            return table.overlapping(changed)
         ids = table.touched_buckets(changed.select(*table.keys))
         return table.read_buckets(ids)
 
