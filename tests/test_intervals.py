@@ -30,7 +30,10 @@ LIMITS, NOWS = (d("2020-01-01"), d("2021-06-01"), d("2022-06-01")), (d("2024-01-
 def warehouse(spark, scratch):
     feed = spark.createDataFrame(FIRST + SECOND + LATE, TAG_SCHEMA)
     schema = tags.empty_target(spark, feed, ("k",), "history").schema
-    wh = ParquetWarehouse(spark, f"{scratch}/wh", {NAME: (TableSpec(NAME[1], ("k",)), schema)}, views={("S", "T"): lambda s: feed}, buckets=4)
+    wh = ParquetWarehouse(
+        spark, f"{scratch}/wh", {NAME: (TableSpec(NAME[1], ("k",)), schema)},
+        views={("S", "T"): lambda s: feed}, buckets=4, by_interval_end=True,
+    )
     wh.set_watermark("S_Tag", d("2023-01-01"))
     return wh, feed
 

@@ -97,7 +97,10 @@ class ParquetWarehouse:
         specs: Mapping[Name, tuple[TableSpec, T.StructType]],
         views: Mapping[Name, Callable[[SparkSession], DataFrame]] | None = None,
         buckets: int = 16,
+        by_interval_end: bool = False,
     ) -> None:
+        """``by_interval_end`` keeps History tables by the year their versions end (``intervals.py``)."""
+        self.by_interval_end = by_interval_end
         self.spark = spark
         self.root = root.rstrip("/")
         self.specs = dict(specs)
@@ -107,7 +110,7 @@ class ParquetWarehouse:
     def _table(self, schema: str, name: str) -> KeyedParquetTable:
         spec, struct = self.specs[(schema, name)]
         path = f"{self.root}/{schema}/{name}"
-        if EXPIRY in struct.fieldNames():
+        if self.by_interval_end and EXPIRY in struct.fieldNames():
             return IntervalParquetTable(self.spark, path, spec.keys, struct, CAPTURE, EXPIRY, self.buckets)
         return KeyedParquetTable(self.spark, path, spec.keys, struct, self.buckets)
 
