@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def test_awkward_rows(docs, no_docs):
 
 @pytest.fixture(scope="module")
 def small(spark):
-    rows = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("text").cast("binary").alias("t"))
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("text").alias("t"))
     counts = lm.word_counts(rows)
     return lm.vocabulary(counts.cache())
 
@@ -121,20 +122,47 @@ def test_state_runs_through_whole_documents(small):
 def test_training_carries_the_state_through_a_long_document(spark, small, monkeypatch):
     """One start per document, and the model as large as it was."""
     assert (lm.MODEL_WORDS, lm.CLASSES, lm.HIDDEN) == (1024, 24, 24)
-    texts = [b"the of " * 2500, b"a b c"]
-    rows = spark.createDataFrame([(t,) for t in texts], "t binary").coalesce(1)
-    p, codes = lm.start_parameters(small), lm.Codes(small)
-    shape_of = np.array([lm.shape(w) for w in small.words])
+    texts = ["the of " * 2500, "a b c"]
+    rows = spark.createDataFrame([(i, t, False, i) for i, t in enumerate(texts)], "doc_id long, t string, held boolean, h long")
+    coded = lm.encoded(rows.coalesce(1), small)
+    p = lm.start_parameters(small)
     net = lm.Network(small, p)
-    ids = [lm.model_ids(np.array([codes[w] for w in lm.tokens(t)]), small, shape_of) for t in texts]
+    ids = [np.frombuffer(bytes(r["ids"]), "<u2") for r in coded.orderBy("h").collect()]
+    assert [len(i) for i in ids] == [5001, 4] and all(i[-1] == 0 for i in ids)
     x, y, _ = lm.lanes(ids, net.start)
     assert ((x == net.start) & (y >= 0)).sum() == len(texts)
     net.train(x, y)
-    got = lm.trained(rows, small, p)
+    got = lm.trained(coded, 5005, small, p)
     for k in p:
         assert got[k] == pytest.approx(net.p[k], rel=1e-5, abs=1e-6)
 
 
+def test_words_and_shapes_are_those_of_a_plain_reader():
+    texts = ["", None, " A\tb\x0b\x0cC\r\n ", "\x1c \u00a0x\u2003 \u00c4B", "x" * 9, "\n", "I1 a, \u00fc% 7"]
+    words, n = lm.split_words(pa.array(texts))
+    want = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)) for t in texts]
+    assert words.to_pylist() == [w for x in want for w in x] and n.tolist() == [len(x) for x in want]
+    binary = words.cast(pa.binary())
+    assert lm.shapes_of(binary).tolist() == [lm.shape(w) for w in binary.to_pylist()]
+    assert lm.shapes_of(binary.slice(3)).tolist() == [lm.shape(w) for w in binary.to_pylist()[3:]]
+    assert all(lm.shapes_of(pa.array([bytes([b])]))[0] == lm.shape(bytes([b])) for b in range(1, 256))
+
+
+def test_scores_do_not_depend_on_partitions_or_slices(spark, monkeypatch):
+    """Several trainers; rows dealt into 2 or 8 tasks, in another order, and split in small slices."""
+    monkeypatch.setattr(lm, "TRAINER_TOKENS", 20_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    assert lm.trainers(100_000) == 3
+    two = {r["doc_id"]: r for r in lm.score(docs.repartition(2)).collect()}
+    monkeypatch.setattr(lm, "SLICE", 5000)
+    monkeypatch.setattr(lm, "CHUNK", 2_000_000)
+    for r in lm.score(docs.repartition(8, "text")).collect():
+        w = two[r["doc_id"]]
+        assert tuple(r)[:5] == tuple(w)[:5]
+        assert r["base_score"] == pytest.approx(w["base_score"], rel=1e-9)
+        assert r["score"] == pytest.approx(w["score"], rel=1e-5)
+
+
 def test_padding_is_bounded(small):
     docs = [np.zeros(20_000, dtype=int), *[np.zeros(2, dtype=int)] * 500]
     x, y, where = lm.lanes(docs, small.inputs - 1)

@@ -4,18 +4,25 @@ Counts. Tasks count words; Spark adds the counts up. The most frequent words
 (``SENT`` at most, a fixed bound) go to the tasks as a table; counts of rarer
 words meet the documents in a join, once per document and word.
 
+Encoding. Texts are split and looked up once, into model ids of 16 bits in the
+checkpoint folder; training and scoring read those.
+
 Model. The ``MODEL_WORDS`` most frequent words are predicted by a softmax over
 classes (words of equal share) and one over the words of the class. Any other
 word is predicted as the class of its shape (last character, length, script),
 and within it by its smoothed count among the words of that shape, so every
 word has a probability and they add up to one.
 
-Training. Every training document is read once. Each task trains on its
-documents by truncated backpropagation in numpy, many documents side by side,
-the state carried from window to window through whole documents, however long,
-and reset only where a document begins;
-Spark averages the tasks' parameters, weighted by tokens. A small first round
-leads the tasks to a common start, the second takes the rest.
+Training. Every training document is read once. Documents are dealt by a hash
+of id and text to trainers, whose number follows the training tokens alone
+(``trainers``), and taken in the order of that hash. So the model depends on
+the rows, not on how the input is split into files or tasks; rows equal in id
+and text go to one trainer, which streams them. A trainer learns by truncated
+backpropagation in numpy, many documents side by side, the state carried from
+window to window through whole documents, however long, and reset only where a
+document begins; Spark averages the trainers' parameters, weighted by tokens,
+in whole numbers, so that the order of the sums does not matter. A small first
+round leads the trainers to a common start, the second takes the rest.
 
 Scoring. The state runs through the whole document, however long.
 
@@ -28,13 +35,14 @@ columns of the input named like a result are not read.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,19 +58,35 @@ WINDOW = 32
 RATE = 0.1
 #: Tokens that are laid side by side at once, at most (a longer document alone).
 CHUNK = 2_000_000
-#: A task hands on its counts when it has so many words.
-COUNTED = 400_000
+#: Bytes of text that are split at once (a longer text alone).
+SLICE = 32 << 20
+#: Training tokens in ``TRAINER_TOKENS``, to the power ``TRAINER_GROWTH``, make the number of trainers.
+TRAINER_TOKENS = 700_000
+TRAINER_GROWTH = 0.75
+#: Parameters are averaged as multiples of 2 to this power.
+STEP = -30
 FIRST_ROUND = 8
 END = b""
 LAST = b".,!&*%$#|"
 SHAPES = 4 * (len(LAST) + 3)
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    """Words with A-Z lower-cased, and the end."""
-    w = (text or b"").lower().split()
-    w.append(END)
-    return w
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z lower-cased, one after the other, and their number in each text."""
+    t = pc.ascii_trim_whitespace(pc.fill_null(texts, ""))
+    split = pc.ascii_split_whitespace(pc.ascii_lower(t))
+    n = np.where(pc.binary_length(t).to_numpy() > 0, pc.list_value_length(split).to_numpy(), 0)
+    words = split.flatten()
+    return words.filter(pc.not_equal(words, "")), n.astype(np.int64)
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``SLICE`` bytes of ``t``."""
+    size = pc.fill_null(pc.binary_length(batch.column("t")), 0).to_numpy().astype(np.int64)
+    run = np.cumsum(size) // SLICE
+    at = np.flatnonzero(np.diff(run, prepend=-1))
+    for a, b in zip(at, [*at[1:], len(size)]):
+        yield batch.slice(a, b - a)
 
 
 def shape(word: bytes) -> int:
@@ -74,28 +98,40 @@ def shape(word: bytes) -> int:
     return 4 * k + 2 * (not word.isascii()) + (len(word) > 7)
 
 
+def shapes_of(words: pa.Array) -> np.ndarray:
+    """``shape`` of every word of a binary array; none is empty."""
+    if not len(words):
+        return np.zeros(0, dtype=np.int64)
+    words = pa.concat_arrays([words])  # its offsets begin at 0
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(data, dtype=np.uint8)[: ends[-1]]
+    last, one = data[ends[1:] - 1], np.array([shape(bytes([b])) & ~3 for b in range(128)] + [shape(b"\x80") & ~3] * 128)
+    wide = np.maximum.reduceat(data, ends[:-1]) > 127
+    return one[last] + 2 * wide + (np.diff(ends) > 7)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``word, c`` over ``t`` (texts as binary), the end token included."""
+    """``word, c`` over ``t`` (texts), the end token included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                n.update(tokens(t))
-                if len(n) > COUNTED:
-                    yield _counted(n)
-                    n = Counter()
-        yield _counted(n)
+        docs = 0
+        for s in itertools.chain.from_iterable(map(slices, batches)):
+            n = split_words(s.column("t"))[0].value_counts()
+            docs += len(s)
+            yield _counted(n.field("values").cast(pa.binary()), n.field("counts"))
+        if docs:
+            yield _counted(pa.array([END], pa.binary()), pa.array([docs], pa.int64()))
 
     return rows.select("t").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _counted(n: Counter) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], names=["word", "c"])
+def _counted(words: pa.Array, n: pa.Array) -> pa.RecordBatch:
+    return pa.record_batch([words, n], names=["word", "c"])
 
 
 @dataclass
@@ -138,15 +174,15 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     pairs = [(bytes(r["word"]), r["c"]) for r in top]
     model = [(END, ends[0]["c"] if ends else 0), *pairs[: MODEL_WORDS - 1]]
     rest = pairs[MODEL_WORDS - 1 :]
-    own = frozenset(w for w, _ in model)
+    own = pa.array([w for w, _ in model], pa.binary())
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, v = np.zeros(SHAPES, dtype=np.int64), np.zeros(SHAPES, dtype=np.int64)
         for b in batches:
-            for w, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if w not in own:
-                    n[shape(w)] += c
-                    v[shape(w)] += 1
+            b = b.filter(pc.invert(pc.is_in(b.column(0), value_set=own)))
+            of = shapes_of(b.column(0))
+            np.add.at(n, of, b.column(1).to_numpy())
+            np.add.at(v, of, 1)
         yield pa.record_batch([pa.array(np.arange(SHAPES)), pa.array(n), pa.array(v)], names=["s", "n", "v"])
 
     n, v = np.zeros(SHAPES), np.zeros(SHAPES)
@@ -160,16 +196,6 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary([w for w, _ in model + rest], c, len(model), first, class_of, n, v, total, distinct)
 
 
-class Codes(dict):
-    """Word -> its number among the sent words; -1 - shape for any other."""
-
-    def __init__(self, v: Vocabulary):
-        super().__init__((w, i) for i, w in enumerate(v.words))
-
-    def __missing__(self, word: bytes) -> int:
-        return -1 - shape(word)
-
-
 # -- the network ------------------------------------------------------------
 
 
@@ -385,112 +411,168 @@ def lanes(docs: list[np.ndarray], start: int, width: int = LANES) -> tuple[np.nd
     return x, y, where
 
 
-def model_ids(codes: np.ndarray, v: Vocabulary, shape_of: np.ndarray) -> np.ndarray:
-    """Model words keep their number; any other gets its shape's."""
-    return np.where(codes < 0, v.n_model - 1 - codes, np.where(codes < v.n_model, codes, v.n_model + shape_of[codes]))
+# -- the documents ----------------------------------------------------------
 
 
-def _chunks(
-    batches: Iterator[pa.RecordBatch], column: int, known: Codes, unsent: bool
-) -> Iterator[list[tuple[pa.RecordBatch, int, np.ndarray, Counter | None]]]:
-    """Documents in groups of about ``CHUNK`` tokens: batch, place, codes, and (if asked for) the words that were not sent."""
-    held, n = [], 0
-    for b in batches:
-        for i, t in enumerate(b.column(column).to_pylist()):
-            w = tokens(t)
-            codes = np.fromiter(map(known.__getitem__, w), dtype=np.int32, count=len(w))
-            held.append((b, i, codes, Counter(w[k] for k in np.flatnonzero(codes < 0).tolist()) if unsent else None))
-            n += len(w)
-            if n >= CHUNK:
-                yield held
-                held, n = [], 0
-    if held:
-        yield held
+def encoded(rows: DataFrame, v: Vocabulary) -> DataFrame:
+    """Per row its model ids, the parts of its scores that sent words give, and its other words with their numbers.
+
+    ``rows``: ``doc_id, t, held, h``. ``ids`` are little-endian unsigned 16-bit:
+    a model word's number, or ``n_model`` and the shape; the end comes last.
+    """
+    sent = pa.array(v.words, pa.binary())
+    log_c = np.append(np.log10(v.counts + 0.5), 0.0)
+    seen_c = np.append(v.counts > 0, False)
+    shape_log, none = v.shape_log(), len(v.words)
+    sent_shape = np.concatenate([[0], shapes_of(sent.slice(1))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for s in itertools.chain.from_iterable(map(slices, batches)):
+            words, n = split_words(s.column("t"))
+            words = words.dictionary_encode()
+            place = words.indices.to_numpy().astype(np.int64)
+            distinct = words.dictionary.cast(pa.binary())
+            code = pc.fill_null(pc.index_in(distinct, value_set=sent), none).to_numpy().astype(np.int64)
+            unsent = code == none
+            of = np.append(sent_shape, 0)[code]
+            of[unsent] = shapes_of(distinct.filter(pa.array(unsent)))
+            # of each distinct word, and last of the end: model id, score parts
+            ids = np.append(np.where(code < v.n_model, code, v.n_model + of), 0).astype("<u2")
+            base, seen = log_c[np.append(code, 0)], seen_c[np.append(code, 0)]
+            within = np.where(ids < v.n_model, 0.0, base - shape_log[np.append(of, 0)])
+            ends = np.cumsum(n + 1)
+            starts = ends - n - 1
+            full = np.full(int(ends[-1]), len(distinct))
+            full[np.delete(np.arange(len(full)), ends - 1)] = place
+            per = lambda a: pa.array(np.add.reduceat(a[full], starts))
+            # other words: once per document and word
+            doc = np.repeat(np.arange(len(s)), n)
+            rare = unsent[place]
+            pair, times = np.unique(doc[rare] * (len(distinct) + 1) + place[rare], return_counts=True)
+            cuts = pa.array(np.searchsorted(pair, np.arange(len(s) + 1) * (len(distinct) + 1)).astype(np.int32))
+            other = distinct.take(pa.array(pair % (len(distinct) + 1)))
+            flat_ids, at = ids[full], np.concatenate([[0], 2 * ends]).astype(np.int32)
+            numbers = np.arange(row, row + len(s))
+            row += len(s)
+            yield pa.record_batch(
+                [
+                    pa.array(numbers), s.column("doc_id"), s.column("held"), s.column("h"),
+                    pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer(at), pa.py_buffer(flat_ids)]),
+                    pa.array(n + 1), per(seen.astype(np.int64)), per(base), per(within),
+                    pa.ListArray.from_arrays(cuts, other), pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64))),
+                ],
+                names=ENCODED,
+            )
+
+    schema = (
+        "row long, doc_id long, held boolean, h long, ids binary, n_tokens long, known long, base double, within double, "
+        "words array<binary>, times array<long>"
+    )
+    return rows.select("doc_id", "t", "held", "h").mapInArrow(run, schema)
+
+
+ENCODED = ["row", "doc_id", "held", "h", "ids", "n_tokens", "known", "base", "within", "words", "times"]
+
 
+def _ids(codes: bytes) -> np.ndarray:
+    return np.frombuffer(codes, dtype="<u2")
 
-def trained(rows: DataFrame, v: Vocabulary, p: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """The average of what each task makes of ``p`` on its rows."""
-    shape_of = np.array([shape(w) for w in v.words])
+
+def trainers(n_tokens: int) -> int:
+    """How many trainers share so many tokens: fewer than in proportion, so that a trainer's share grows slowly."""
+    return max(1, round((n_tokens / TRAINER_TOKENS) ** TRAINER_GROWTH))
+
+
+def trained(rows: DataFrame, n_tokens: int, v: Vocabulary, p: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The average of what each trainer makes of ``p`` on its rows (``h``, ``doc_id``, ``ids``; ``n_tokens`` in all)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, known, seen = Network(v, p), Codes(v), 0
-        for held in _chunks(batches, 0, known, False):
-            docs = [model_ids(codes, v, shape_of) for _, _, codes, _ in held]
-            net.train(*lanes(docs, net.start)[:2])
-            seen += sum(map(len, docs))
-        if seen:
-            x = flat(net.p).astype(np.float64)
+        docs = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        for _, mine in itertools.groupby(docs, key=lambda r: r[0]):
+            net, seen, held, size = Network(v, p), 0, [], 0
+            for _, codes in itertools.chain(mine, [(None, None)]):
+                if codes is not None:
+                    held.append(_ids(codes))
+                    size += len(held[-1])
+                if held and (size >= CHUNK or codes is None):
+                    net.train(*lanes(held, net.start)[:2])
+                    seen, held, size = seen + size, [], 0
+            x = np.rint(np.ldexp(flat(net.p).astype(np.float64), -STEP)).astype(np.int64)
             yield pa.record_batch(
-                [pa.array(np.arange(len(x))), pa.array(x * seen), pa.array(np.full(len(x), float(seen)))], names=["i", "x", "n"]
+                [pa.array(np.arange(len(x))), pa.array(x), pa.array(np.full(len(x), seen))], names=["i", "x", "n"]
             )
 
-    sums = rows.select("t").mapInArrow(run, "i long, x double, n double").groupBy("i")
-    got = sums.agg((F.sum("x") / F.sum("n")).alias("x")).toPandas()  # one row per parameter
+    parts = trainers(n_tokens)
+    dealt = rows.select(F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int").alias("trainer"), "ids", "h", "doc_id")
+    dealt = dealt.repartitionById(parts, "trainer").sortWithinPartitions("trainer", "h", "doc_id", "ids")
+    each = dealt.select("trainer", "ids").mapInArrow(run, "i long, x long, n long")
+    weighted = F.sum(F.col("x").cast("decimal(19,0)") * F.col("n").cast("decimal(18,0)")).cast("double")
+    got = each.groupBy("i").agg((weighted / F.sum("n")).alias("x")).toPandas()  # one row per parameter
     if got.empty:
         return p
-    return unflat(got.sort_values("i")["x"].to_numpy(), p)
+    return unflat(np.ldexp(got.sort_values("i")["x"].to_numpy(), STEP), p)
 
 
 def scored(rows: DataFrame, v: Vocabulary, p: dict[str, np.ndarray]) -> DataFrame:
-    """Per row the parts of its scores that sent words give, and its other words with their numbers."""
-    shape_of = np.array([shape(w) for w in v.words])
-    log_c, shape_log, width = np.log10(v.counts + 0.5), v.shape_log(), len(v.words)
+    """``encoded`` rows with ``model``: what the model gives for all but their unsent words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, known, row = Network(v, p), Codes(v), TaskContext.get().partitionId() << 33
-        for held in _chunks(batches, 1, known, True):
-            codes = np.concatenate([h[2] for h in held])
-            ends = np.concatenate([[0], np.cumsum([len(h[2]) for h in held])])
-            ids = model_ids(codes, v, shape_of)
-            x, y, where = lanes(np.split(ids, ends[1:-1]), net.start)
+        net = Network(v, p)
+        for held in _chunks(batches):
+            docs = [_ids(c) for b in held for c in b.column("ids").to_pylist()]
+            x, y, where = lanes(docs, net.start)
             logp = net.score(x, y)
-            sent = codes >= 0
-            c = np.where(sent, log_c[np.minimum(np.maximum(codes, 0), width - 1)], 0.0)
-            outside = ids >= v.n_model
-            within = np.where(outside, c - shape_log[np.where(outside, ids - v.n_model, 0)], 0.0)
-            per = lambda a: np.add.reduceat(a, ends[:-1])
-            seen = sent & (v.counts[np.minimum(np.maximum(codes, 0), width - 1)] > 0)
-            sizes = np.diff(ends)
-            model = [logp[a : a + n, lane].sum(dtype=np.float64) / math.log(10) for (lane, a), n in zip(where, sizes)]
-            rest = [h[3] for h in held]
-            doc_ids = pa.array([b.column(0)[i].as_py() for b, i, _, _ in held], pa.int64())
-            numbers = np.arange(row, row + len(held))
-            row += len(held)
-            yield pa.record_batch(
-                [
-                    pa.array(numbers), doc_ids, pa.array(sizes.astype(np.int64)), pa.array(per(seen.astype(np.int64))),
-                    pa.array(per(c)), pa.array(np.array(model) + per(within)),
-                    pa.array([list(r) for r in rest], pa.list_(pa.binary())),
-                    pa.array([list(r.values()) for r in rest], pa.list_(pa.int64())),
-                ],
-                names=["row", "doc_id", "n_tokens", "known", "base", "model", "words", "times"],
-            )
+            model = [logp[a : a + len(d), lane].sum(dtype=np.float64) / math.log(10) for (lane, a), d in zip(where, docs)]
+            kept = pa.Table.from_batches(held).drop_columns(["ids", "within"]).combine_chunks()
+            within = np.concatenate([b.column("within").to_numpy() for b in held])
+            yield from kept.append_column("model", pa.array(np.array(model) + within)).to_batches()
+
+    schema = "row long, doc_id long, held boolean, n_tokens long, known long, base double, model double"
+    return rows.select("row", "doc_id", "held", "ids", "n_tokens", "known", "base", "within").mapInArrow(run, schema)
+
 
-    schema = "row long, doc_id long, n_tokens long, known long, base double, model double, words array<binary>, times array<long>"
-    return rows.select("doc_id", "t").mapInArrow(run, schema)
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Rows in groups of about ``CHUNK`` tokens."""
+    held, n = [], 0
+    for b in batches:
+        size = np.cumsum(b.column("n_tokens").to_numpy())
+        at = 0
+        while at < len(b):
+            done = size[at - 1] if at else 0
+            to = min(int(np.searchsorted(size, done + CHUNK - n)) + 1, len(b))
+            held.append(b.slice(at, to - at))
+            n, at = n + int(size[to - 1] - done), to
+            if n >= CHUNK:
+                yield held
+                held, n = [], 0
+    if held:
+        yield held
 
 
 def score(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
-    training = rows.filter(~held_out(F.col("doc_id")))
-    counts = cut(word_counts(training))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("t"))
+    rows = rows.withColumns({"held": held_out(F.col("doc_id")), "h": F.xxhash64("doc_id", "t")})
+    counts = cut(word_counts(rows.filter(~F.col("held"))))
     v = vocabulary(counts)
+    coded = cut(encoded(rows, v))
+    early = F.pmod("h", F.lit(FIRST_ROUND)) == 0
+    training = coded.filter(~F.col("held"))
+    n_early = training.agg(F.coalesce(F.sum(F.when(early, F.col("n_tokens"))), F.lit(0))).first()[0]
     p = start_parameters(v)
-    early = F.pmod(F.xxhash64("doc_id", "t"), F.lit(FIRST_ROUND)) == 0
-    p = trained(training.filter(early), v, p)
-    p = trained(training.filter(~early), v, p)
-    parts = cut(scored(rows, v, p))
-    others = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("x"))
+    p = trained(training.filter(early), n_early, v, p)
+    p = trained(training.filter(~early), v.total - n_early, v, p)
+    others = coded.select("row", F.explode(F.arrays_zip("words", "times")).alias("x"))
     others = others.select("row", F.col("x.words").alias("word"), F.col("x.times").alias("k"))
     found = others.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more"),
         F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("more_known"),
     )
     more = F.coalesce("more", F.lit(0.0))
-    return parts.join(found, "row", "left").select(
+    return scored(coded, v, p).join(found, "row", "left").select(
         "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("held").alias("held_out"),
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(int(v.total)).cast("long").alias("train_tokens"),
