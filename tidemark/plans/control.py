@@ -8,12 +8,16 @@ after the loop all failures are reported together (and raised, unless
 
 The pair list is catalog metadata (one row per table), so it is collected
 to the driver; each pair's own work runs as Spark jobs.  Independent pairs
-can run concurrently (``parallelism``); Spark schedules their jobs side by
-side.
+can run concurrently (``parallelism``) in threads that inherit the caller's
+Spark properties.  The jobs of a pair carry a tag of their own
+(``pair_tag``), by which ``cancel_pair`` stops that pair alone, and run in a
+scheduler pool of their own: where the session schedules fairly
+(``spark.scheduler.mode=FAIR``), a large pair does not hold up the small ones.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import itertools
 import threading
@@ -21,6 +25,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -264,6 +269,33 @@ def discover(kind: str, registry: DataFrame) -> DataFrame:
     return pairing.discover_silver_pairs(registry, kind)
 
 
+POOL = "spark.scheduler.pool"
+
+
+def pair_tag(kind: str, target: tuple[str, str]) -> str:
+    """The job tag of a target's load (a tag holds no comma)."""
+    return f"{PROCEDURES[kind]}:{target[0]}.{target[1]}".replace(",", "_")
+
+
+def cancel_pair(spark: SparkSession, kind: str, target: tuple[str, str]) -> None:
+    """Stop the running jobs of one pair; the pair fails and is reported, the others go on."""
+    spark.sparkContext.cancelJobsWithTag(pair_tag(kind, target))
+
+
+@contextlib.contextmanager
+def _jobs_of(spark: SparkSession, tag: str):
+    """Jobs begun inside carry ``tag`` and run in the pool of that name."""
+    sc = spark.sparkContext
+    pool = sc.getLocalProperty(POOL)
+    sc.addJobTag(tag)
+    sc.setLocalProperty(POOL, tag)
+    try:
+        yield
+    finally:
+        sc.removeJobTag(tag)
+        sc.setLocalProperty(POOL, pool)
+
+
 def run_control(
     kind: str,
     wh,
@@ -289,17 +321,11 @@ def run_control(
         try:
             if p["n_sources"] > 1:
                 raise ValueError(f"{p['n_sources']} sources map to this target")
-            r = load_pair(
-                kind,
-                wh,
-                (p["source_schema"], p["source_object"]),
-                (p["target_schema"], p["target_object"]),
-                date_limit,
-                now,
-                dry_run,
-                log,
-                validate,
-            )
+            target = (p["target_schema"], p["target_object"])
+            with _jobs_of(wh.spark, pair_tag(kind, target)):
+                r = load_pair(
+                    kind, wh, (p["source_schema"], p["source_object"]), target, date_limit, now, dry_run, log, validate
+                )
             row.date_from, row.date_to = r.window.date_from, r.window.date_to
         except Exception as e:  # noqa: BLE001 - failures are isolated per target
             row.message = str(e)
@@ -307,7 +333,9 @@ def run_control(
 
     if parallelism > 1:
         with ThreadPoolExecutor(parallelism) as pool:
-            report.rows = list(pool.map(one, pairs))
+            # each pair gets a copy of the caller's properties of its own: its tag and pool are set in it
+            started = [pool.submit(inheritable_thread_target(wh.spark)(one), p) for p in pairs]
+            report.rows = [f.result() for f in started]
     else:
         report.rows = [one(p) for p in pairs]
     text = report.failure_message

@@ -92,7 +92,15 @@ class KeyedParquetTable:
         return T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType(), True)])
 
     def _with_bucket(self, df: DataFrame) -> DataFrame:
-        return df.select(*self.schema.fieldNames()).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+        # the columns' metadata (keys, computed columns) is written with the files' schema
+        columns = [F.col(f.name).alias(f.name, metadata=f.metadata) if f.metadata else f.name for f in self.schema.fields]
+        return df.select(*columns).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+
+    def stored_fields(self) -> T.StructType:
+        """The columns as the files describe them, metadata included (the declared ones if none is written)."""
+        if not self.exists():
+            return self.schema
+        return T.StructType([f for f in self.spark.read.parquet(self.path).schema.fields if f.name != BUCKET])
 
     def touched_buckets(self, changes: DataFrame) -> list[int]:
         """Bucket numbers a change set touches (at most ``buckets`` values)."""

@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.constants import CAPTURE, EXPIRY, TABLE_TYPE, VIEW_TYPE, WATERMARK_TABLE
 from tidemark.sources.intervals import IntervalParquetTable
-from tidemark.sources.tables import KeyedParquetTable, path_exists
-from tidemark.spec import TableSpec
+from tidemark.sources.tables import BUCKET, KeyedParquetTable, path_exists
+from tidemark.spec import TableSpec, column_rows, described
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -85,6 +85,16 @@ class FrameWarehouse:
         self.events.extend(events)
 
 
+def stored_specs(spark: SparkSession, root: str, names: list[Name]) -> dict[Name, tuple[TableSpec, T.StructType]]:
+    """What ``ParquetWarehouse`` needs to open written targets again: keys and computed columns come from their files."""
+    found = {}
+    for schema, name in names:
+        fields = spark.read.parquet(f"{root.rstrip('/')}/{schema}/{name}").schema.fields
+        struct = T.StructType([f for f in fields if f.name != BUCKET])
+        found[(schema, name)] = (TableSpec.of_schema(name, struct), struct)
+    return found
+
+
 class ParquetWarehouse:
     """Declared tables stored as keyed parquet directories under ``root``."""
 
@@ -103,7 +113,7 @@ class ParquetWarehouse:
         self.by_interval_end = by_interval_end
         self.spark = spark
         self.root = root.rstrip("/")
-        self.specs = dict(specs)
+        self.specs = {n: (spec, described(struct, spec)) for n, (spec, struct) in specs.items()}
         self.views = dict(views or {})
         self.buckets = buckets
 
@@ -130,6 +140,15 @@ class ParquetWarehouse:
     def spec(self, schema: str, name: str) -> TableSpec:
         return self.specs[(schema, name)][0]
 
+    def table_specs(self) -> DataFrame:
+        """``Target, Column, Position, KeyPosition, Computed`` of every target, read from the stored columns' metadata."""
+        rows = []
+        for schema, name in sorted(self.specs):
+            stored = self._table(schema, name).stored_fields()
+            rows += [(f"{schema}.{name}", *r) for r in column_rows(stored)]
+        columns = "Target string, Column string, Position int, KeyPosition int, Computed string"
+        return self.spark.createDataFrame(rows, columns)
+
     def target_for(self, schema: str, name: str, changed: DataFrame) -> DataFrame:
         """The target's rows in the buckets of the keys in ``changed``.
 

@@ -1,7 +1,10 @@
 """Table descriptions and key checks.
 
-Parquet carries no unique-key metadata, so each target names its business
-keys (and, for gold tables, its computed columns) explicitly.
+Parquet has no unique keys of its own, so a target's business keys and, for
+gold tables, its computed columns are kept as metadata of its columns
+(``described``). Spark stores them with the schema in every file it writes, and
+``TableSpec.of_schema`` reads them back; only a target that was never written
+is described by hand.
 """
 
 from __future__ import annotations
@@ -11,6 +14,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Names in a column's metadata: its place among the keys (from 1), the expression that computes it.
+KEY = "tidemark.key"
+COMPUTED = "tidemark.computed"
 
 
 class KeyContractError(ValueError):
@@ -35,6 +43,13 @@ class TableSpec:
             raise ValueError(f"{self.name}: a target needs at least one key column")
         object.__setattr__(self, "keys", tuple(self.keys))
 
+    @classmethod
+    def of_schema(cls, name: str, schema: T.StructType) -> TableSpec:
+        """The description that the columns' metadata hold; refused without a key."""
+        keys = sorted((f for f in schema.fields if KEY in f.metadata), key=lambda f: f.metadata[KEY])
+        computed = {f.name: f.metadata[COMPUTED] for f in schema.fields if COMPUTED in f.metadata}
+        return cls(name, tuple(f.name for f in keys), computed)
+
     @property
     def candidate_key(self) -> str:
         """The first key column (the candidate key of the gold upsert)."""
@@ -47,6 +62,27 @@ class TableSpec:
         return [c for c in columns if c not in self.computed]
 
 
+def described(schema: T.StructType, spec: TableSpec) -> T.StructType:
+    """``schema`` with the keys and computed columns of ``spec`` as metadata (others' metadata stay)."""
+    unknown = {*spec.keys, *spec.computed} - set(schema.fieldNames())
+    if unknown:
+        raise ValueError(f"{spec.name}: no columns {sorted(unknown)}")
+    fields = []
+    for f in schema.fields:
+        told = {k: v for k, v in f.metadata.items() if k not in (KEY, COMPUTED)}
+        if f.name in spec.keys:
+            told[KEY] = spec.keys.index(f.name) + 1
+        if f.name in spec.computed:
+            told[COMPUTED] = spec.computed[f.name]
+        fields.append(T.StructField(f.name, f.dataType, f.nullable, told))
+    return T.StructType(fields)
+
+
+def column_rows(schema: T.StructType) -> list[tuple[str, int, int | None, str | None]]:
+    """Column, position (from 1), place in the key and computing expression of each column."""
+    return [(f.name, i, f.metadata.get(KEY), f.metadata.get(COMPUTED)) for i, f in enumerate(schema.fields, 1)]
+
+
 def null_key_filter(keys: Sequence[str]):
     cond = None
     for k in keys:
