@@ -110,3 +110,10 @@ def test_whole_table(spark, tokenizer):
 def test_ids_come_along(spark, docs):
     for r in packing.pieces(docs, PATH, capacity=50, ids=True).collect():
         assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
+
+
+def test_a_word_is_remembered_once_whatever_its_case_and_punctuation():
+    known = packing.WordIds(PATH)
+    known.of([b"Word, word. WORD; word", "É word,".encode()])
+    assert set(known.known) == {b"word", b",", b".", b";", "É".encode()}
+    assert packing.REMEMBERED <= 300_000

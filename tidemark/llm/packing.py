@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -34,13 +35,19 @@ from tidemark.llm.common import cut
 
 CAPACITY = 4096
 END = 1
-#: Words a Python worker remembers the ids of; beyond it, the older half is dropped.
-REMEMBERED = 1_000_000
+#: Words a Python worker remembers the ids of (about 200 bytes each); beyond it, the older half is dropped.
+REMEMBERED = 300_000
+#: Runs of letters that are encoded as one text.
+RUNS = 256
+#: Rows of a batch that are Python objects at once.
+ROWS = 1024
 #: Bytes of text that are looked up at once (a longer text alone).
 SLICE = 2_000_000
 #: Steps that are broadcast; more of them are joined by shuffle.
 STEPS_SENT = 200_000
 PUNCTUATION = b".,!$%&*#|?;:"
+#: Punctuation between a letter or digit and the word's end.
+TAIL = re.compile(rb"(?<=[0-9a-z])[%s]+(?!\S)" % re.escape(PUNCTUATION))
 
 
 class WordIds:
@@ -48,15 +55,20 @@ class WordIds:
 
     The tokenizer never joins characters across a space, so words can be
     looked up one by one. It lower-cases, and it parts punctuation from a
-    letter or digit before it, so such words are built from known ones. A word
-    that may hold a special token's string is left to the tokenizer as it is.
+    letter or digit before it, so words are taken lower-cased and apart from
+    the punctuation at their end. A word that may hold a special token's
+    string is left to the tokenizer as it is.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # lower-case ASCII letters between spaces: nothing to normalise, to part or to map to bytes
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.known: dict[bytes, bytes] = {}
         vocab = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -77,35 +89,40 @@ class WordIds:
         return kept[path]
 
     @staticmethod
-    def parts(word: bytes) -> tuple[bytes, ...]:
-        if b"<|" in word:
-            return (word,)
-        if word.isascii():
-            word = word.lower()
-        stem = word.rstrip(PUNCTUATION)
-        return (stem, word[len(stem) :]) if stem and stem != word and stem[-1:].isalnum() else (word,)
+    def parts(text: bytes) -> list[bytes]:
+        """The words of a text in order, as the parts that are looked up."""
+        if text.isascii() and b"<|" not in text:
+            return TAIL.sub(rb" \g<0>", text.lower()).split()
+        found: list[bytes] = []
+        for word in text.split():
+            if b"<|" in word:
+                found.append(word)
+                continue
+            if word.isascii():
+                word = word.lower()
+            stem = word.rstrip(PUNCTUATION)
+            found += (stem, word[len(stem) :]) if stem and stem != word and stem[-1:].isalnum() else (word,)
+        return found
 
     def learn(self, words: set[bytes]) -> None:
         """Remember the ids of ``words``; unknown ones go to the tokenizer together."""
         new = words.difference(self.known)
-        if len(self.known) + 2 * len(new) > REMEMBERED:  # the older half goes
+        if len(self.known) + len(new) > REMEMBERED:  # the older half goes
             self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
             new = words.difference(self.known)
-        made = {w: self.parts(w) for w in new}
-        self.encode(list({p for parts in made.values() for p in parts}.difference(self.known)))
-        self.known.update([(w, b"".join(map(self.known.__getitem__, parts))) for w, parts in made.items()])
+        self.encode(list(new))
 
     def encode(self, words: list[bytes]) -> None:
-        """Remember the ids of words that are not made of others.
+        """Remember the ids of new words.
 
-        Runs of letters are encoded as one text: the tokenizer parts none of
-        them, and every part ends with a token that closes it, so as many
-        closing tokens as runs tell the ids of each.
+        Runs of lower-case ASCII letters go to the model in texts of many: it
+        parts none of them, and every run ends with a token that closes it, so
+        as many closing tokens as runs tell the ids of each.
         """
-        texts = [w.decode("utf-8", "replace") for w in words]
-        runs = [w for w, t in zip(words, texts) if t.lower().isalpha()]
-        joined = " ".join(t for t in texts if t.lower().isalpha())
-        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+        runs = [w for w in words if w.isalpha() and w.islower()]  # of bytes: ASCII letters alone
+        joined = [b" ".join(runs[k : k + RUNS]).decode() for k in range(0, len(runs), RUNS)]
+        found = self.plain.encode_batch_fast(joined, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, dtype="<u4"), *[np.array(e.ids, dtype="<u4") for e in found]])
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) == len(runs):
             blob, ends = ids.tobytes(), (4 * ends).tolist()
@@ -116,7 +133,7 @@ class WordIds:
 
     def of(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text."""
-        words = [(t or b"").split() for t in texts]
+        words = [self.parts(t or b"") for t in texts]
         self.learn(set(chain.from_iterable(words)))
         return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
@@ -141,7 +158,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordIds.of_worker(tokenizer)
-        for b in batches:
+        for b in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             rows: list[tuple] = []
             for i, blob in enumerate(chain.from_iterable(map(known.of, _slices(b.column(1).to_pylist())))):
                 blob += end
