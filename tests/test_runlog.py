@@ -134,3 +134,21 @@ def test_an_increment_folds_the_groups_with_new_events_only(spark):
         runlog.log_fold = real
     assert {r["Procedure"] for r in seen[0].collect()} == {"Q"}
     assert {(r["LogId"], r["Status"]) for r in log} == {(1, "Running"), (2, "Success"), (5, "Running")}
+
+
+def test_a_fold_without_hot_groups_takes_few_jobs(spark):
+    """Forty runs of one group; pointer doubling took a checkpoint and a count for each of its rounds."""
+    rows = [(i, "P", "Dates", "Start", None, None) for i in range(1, 41)]
+    spark.sparkContext.setJobGroup("fold", "fold")
+    try:
+        log = runlog.log_fold(events(spark, rows)).collect()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("fold")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r["Run"] for r in log) == list(range(1, 41))
+    assert len(jobs) <= 25
+
+
+def test_an_event_that_came_twice_repeats_no_step(spark):
+    rows = [(1, "P", "Dates", "Start", None, None)] * 2 + [(2, "P", "Code", "Start", None, None)]
+    assert {r["Run"] for r in runlog.log_fold(events(spark, rows)).collect()} == {1}

@@ -10,9 +10,10 @@ log table is a fold over them, computed with windows and aggregates:
    run (``bump``).  Bumps form a chain: from a run's first event, the next
    bump is the first such ``Start`` whose previous same-step start lies in
    the run.  That "next bump" pointer is a reverse running minimum; the
-   chain from each group's first event is found by pointer doubling
-   (O(log runs) joins), not by walking rows one by one.  All running scans
-   cut a group with very many events into ordered parts (``scan.py``).
+   chain from each group's first event is walked group by group; where a
+   group has very many events, all running scans cut it into ordered parts
+   (``scan.py``) and the chain is found by pointer doubling (O(log runs)
+   joins) instead.
 2. Each ``Start`` opens a row (``LogId`` = its sequence number).  Later
    ``Success`` / ``Failed`` events update the newest row: status and end
    time from the last one; message and row count from the last ``Failed``
@@ -24,6 +25,7 @@ log table is a fold over them, computed with windows and aggregates:
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,12 +131,31 @@ def _is(status: str) -> Column:
     return F.col("Status") == status
 
 
+def _bumps_of_group(rows: pa.Table) -> pa.Table:
+    """One group's candidates whose previous same-step start ``p`` lies in the run that they meet."""
+    rows, found, begin = rows.sort_by("seq"), [], None
+    for seq, p in zip(rows["seq"].to_pylist(), rows["p"].to_pylist()):
+        bump = begin is None or p >= begin
+        found.append(bump)
+        begin = seq if bump else begin
+    return rows.filter(pa.array(found, pa.bool_())).drop(["p"])
+
+
 def run_bumps(events: Parted, hot_rows: int | None = None) -> DataFrame:
-    """``(LoadDate, Procedure, seq)`` of the Start events that begin a new run."""
+    """``(LoadDate, Procedure, seq)`` of the Start events that begin a new run.
+
+    Without a hot group, each group's candidates (``hot_rows`` at most) are
+    walked in one task, as the plain windows walk its rows; the rounds of
+    pointer doubling, each some jobs whose plans the driver holds, are for
+    groups that are cut into parts.
+    """
     g = list(GROUP)
     starts = Parted(events.df.where(_is(STATUS_START)), events.group, events.split)
     prev = running(starts, [*g, "Step"], ["seq"], F.col("seq"), "max", "p", inclusive=False).df
-    cand = prev.where(F.col("RowsProcessed").isNull() & F.col("p").isNotNull()).select(*g, "seq", "p")
+    # an event that came twice does not repeat its own step
+    cand = prev.where(F.col("RowsProcessed").isNull() & (F.col("p") < F.col("seq"))).select(*g, "seq", "p")
+    if not events.split:
+        return cand.groupBy(*g).applyInArrow(_bumps_of_group, cand.drop("p").schema).checkpoint()
     firsts = events.df.groupBy(*g).agg(F.min("seq").alias("node"))
     # next bump after node i = min{ j : p(j) >= i }: a reverse running minimum
     # over values keyed by p(j) and queries keyed by i (values first on ties).
