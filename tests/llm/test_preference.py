@@ -83,3 +83,37 @@ def test_labels_of_one_kind_or_none(spark, docs):
         assert r["score"] == pytest.approx((n + 1) / (n + 2))
     for r in preference.score(docs, one.limit(0)).collect():
         assert r["score"] == pytest.approx(0.5)
+
+
+def _stored(spark, rows):
+    data = [(int(i), int(q), [float(v) for v in x]) for i, (q, x) in enumerate(rows)]
+    return spark.createDataFrame(data, "doc_id long, q int, x array<double>")
+
+
+@pytest.mark.parametrize("zeros", [3, 150])
+def test_every_labelled_row_teaches_whatever_the_bucket(spark, zeros):
+    """Moments and threshold are those of all rows, and a rare class is in every bucket."""
+    rng = np.random.default_rng(2)
+    label = np.array([0] * zeros + [1] * (600 - zeros))
+    x = np.round(rng.standard_normal((600, preference.FEATURES)), 1)
+    x[:, 3] += 2.0 * label
+    rows = preference.dealt(_stored(spark, zip(label, x)), 600 - zeros, zeros, bucket=100).checkpoint()
+    each = preference.over(rows)
+    per = each(lambda b: [np.array([b[2].sum(), (b[1] == 0).sum(), (b[1] == 1).sum()])])
+    assert len(per) > 3 and sum(p[0][0] for p in per) == 600
+    assert all(p[0][1] >= min(zeros, 50) and p[0][2] > 0 for p in per)
+    r, whole = preference.fit_buckets(each, 0.3), preference.fit(x, label, 0.3)
+    assert np.allclose(r.mean, whole.mean) and np.allclose(r.scale, whole.scale)
+    assert np.argmax(np.abs(r.weights)) == 3
+    s = np.sort(r.raw(x))
+    assert r.shift == pytest.approx((s[zeros - 1] + s[zeros]) / 2)
+
+
+def test_ranks_among_many_and_equal_scores():
+    rng = np.random.default_rng(3)
+    for s in (rng.standard_normal(20_000), np.ones(5000), np.r_[np.zeros(3000), rng.random(9000)]):
+        parts = [(p[:, None], np.zeros(len(p)), np.ones(len(p), dtype=bool)) for p in np.array_split(rng.permutation(s), 4)]
+        each = lambda f: [f(p) for p in parts]
+        for k in (0, 2999, len(s) - 2):
+            got = preference.order_statistics(each, lambda x: x[:, 0], (k, k + 1))
+            assert got == np.sort(s)[[k, k + 1]].tolist()
