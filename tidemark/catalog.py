@@ -279,9 +279,14 @@ def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover_gold_pairs(wh.registry())
 
 
-def _silver_report(spark: SparkSession, sf_dir: str, kind: str) -> control.ControlReport:
+def _scratch(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+
+
+def _silver_report(spark: SparkSession, sf_dir: str, kind: str, feed: DataFrame | None = None) -> control.ControlReport:
     """Two driver runs (limits 1996-01-01, then 2003-01-01); the second's report."""
-    wh = fx.silver_warehouse(spark, sf_dir)
+    feed = fx.stored_feed(spark, sf_dir, _scratch(spark)) if feed is None else feed
+    wh = fx.silver_warehouse(spark, sf_dir, feed)
     report = None
     for limit, now in zip(fx.CONTROL_LIMITS, fx.BATCH_NOWS, strict=False):
         report = control.run_control(
@@ -294,8 +299,9 @@ def _gold_report(spark: SparkSession, sf_dir: str) -> control.ControlReport:
     """Gold driver over the Live views at the first cut-off, then the second."""
     wh = None
     report = None
+    root = _scratch(spark)
     for cutoff in fx.LIVE_CUTOFFS:
-        wh = fx.gold_warehouse(spark, sf_dir, cutoff, wh)
+        wh = fx.gold_warehouse(spark, sf_dir, cutoff, wh, fx.stored_live(spark, sf_dir, cutoff, root))
         report = control.run_control(
             "dimensional", wh, date_limit=fx.GOLD_NOW, now=fx.GOLD_NOW, raise_on_failure=False,
             parallelism=PAIR_THREADS,
@@ -320,7 +326,7 @@ def control_state(kind: str) -> Query:
     """
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+        root = _scratch(spark)
         options = {"raise_on_failure": False, "parallelism": PAIR_THREADS}
         if kind == "dimensional":
             wh = None
@@ -351,7 +357,7 @@ def control_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     and fail before their first step), and a gold run in which a Live view
     with duplicate keys fails.
     """
-    root = f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+    root = _scratch(spark)
     options = {"raise_on_failure": False, "parallelism": PAIR_THREADS}
     silver = fx.stored_silver(spark, sf_dir, root)
     for limit, now in zip(fx.CONTROL_LIMITS, fx.BATCH_NOWS, strict=False):
@@ -363,7 +369,8 @@ def control_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failure_message(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = [_silver_report(spark, sf_dir, k) for k in fx.TAG_KINDS]
+    feed = fx.stored_feed(spark, sf_dir, _scratch(spark))
+    reports = [_silver_report(spark, sf_dir, k, feed) for k in fx.TAG_KINDS]
     reports.append(_gold_report(spark, sf_dir))
     return control.failure_frame(spark, reports)
 

@@ -12,6 +12,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values: fixture parameters -------------------------------------------
 # High watermarks of the three tag batches.
@@ -223,17 +224,37 @@ def segment_feed(spark: SparkSession, sf_dir: str, segment: str) -> DataFrame:
     return tag_source(spark, sf_dir).join(cust, "k", "left_semi")
 
 
+def stored_by_segment(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` written under ``path``, a partition for each value of ``c_mktsegment``, which ``of_segment`` reads alone."""
+    part = F.concat(F.lit("s-"), "c_mktsegment")  # never empty, never a number
+    rows.withColumn("_part", part).hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
+    schema = T.StructType([*rows.schema.fields, T.StructField("_part", T.StringType())])
+    return rows.sparkSession.read.schema(schema).parquet(path)
+
+
+def of_segment(stored: DataFrame, segment: str) -> DataFrame:
+    """The rows of one segment of what ``stored_by_segment`` wrote."""
+    return stored.where((F.col("_part") == f"s-{segment}") & (F.col("c_mktsegment") == segment)).drop("_part")
+
+
+def stored_feed(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The feeds of all segments, joined once: every pair reads its own partition."""
+    seg_of = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment").distinct()
+    return stored_by_segment(tag_source(spark, sf_dir).join(seg_of, "k"), f"{root}/feed")
+
+
 def segment_watermark(n: int) -> _dt.datetime:
     """High watermark of the n-th segment's tag schema."""
     return CAPPED_WATERMARK if n == 0 else SILVER_WATERMARK
 
 
-def silver_warehouse(spark: SparkSession, sf_dir: str):
+def silver_warehouse(spark: SparkSession, sf_dir: str, stored: DataFrame | None = None):
     """Per segment: table ``Seg.Orders`` and view ``Seg_Derived.Returns``
     (delete actions only), their First / Latest / History tag tables in
     ``Seg_Tag``, a source without a target (``Seg.Lines``) and a tag-named
     view that must not match (``Seg_Tag.Lines_Latest``).  The last segment's
-    tag schema has no high watermark, so its pairs fail."""
+    tag schema has no high watermark, so its pairs fail. The feeds come from
+    ``stored`` (``stored_feed``) where it is given."""
     from tidemark.operators.tags import empty_target
     from tidemark.sources.warehouse import FrameWarehouse
     from tidemark.spec import TableSpec
@@ -242,7 +263,7 @@ def silver_warehouse(spark: SparkSession, sf_dir: str):
     segs = segments(spark, sf_dir)
     for n, seg in enumerate(segs):
         s = schema_name(seg)
-        feed = segment_feed(spark, sf_dir, seg)
+        feed = segment_feed(spark, sf_dir, seg) if stored is None else of_segment(stored, seg).drop("c_mktsegment")
         wh.tables[(s, "Orders")] = feed
         wh.tables[(s, "Lines")] = feed
         wh.views[(s + "_Derived", "Returns")] = feed.where(F.col("LakeActionCode") == "D")
@@ -292,34 +313,39 @@ def stored_silver(spark: SparkSession, sf_dir: str, root: str):
     return wh
 
 
-def live_segment_nation(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime) -> DataFrame:
+def live_segment_nation(live: DataFrame) -> DataFrame:
     """A Live view keyed (wrongly) by segment alone: one row per segment and nation."""
-    live = live_customers(spark, sf_dir, cutoff)
     return live.groupBy("c_mktsegment", "n_name").agg(
         F.sum("order_count").alias("order_count"), F.max("UpdateTimestamp").alias("UpdateTimestamp")
     )
 
 
-def gold_warehouse(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime, wh=None):
+def stored_live(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime, root: str) -> DataFrame:
+    """A snapshot of ``live_customers``, aggregated once: every pair reads its own partition."""
+    return stored_by_segment(live_customers(spark, sf_dir, cutoff), f"{root}/live-{cutoff:%Y%m%d}")
+
+
+def gold_warehouse(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime, wh=None, stored: DataFrame | None = None):
     """Per segment ``Dimension.Customer_<Seg>`` fed by ``Live.Customer_<Seg>``;
     ``Other.Customer_<Seg>`` must not match; ``Fact.SegmentNation`` is fed by
     a Live view with duplicate keys, so it fails; ``Bridge.Unfed`` has no
-    Live source.  Passing ``wh`` swaps in the Live views at a new cut-off."""
+    Live source.  Passing ``wh`` swaps in the Live views at a new cut-off;
+    they read ``stored`` (``stored_live``) where it is given."""
     from tidemark.sources.warehouse import FrameWarehouse
     from tidemark.spec import TableSpec
 
     fresh = wh is None
     wh = wh or FrameWarehouse(spark)
-    live = live_customers(spark, sf_dir, cutoff)
+    live = live_customers(spark, sf_dir, cutoff) if stored is None else stored.drop("_part")
     for seg in segments(spark, sf_dir):
         name = "Customer_" + schema_name(seg)
-        view = live.where(F.col("c_mktsegment") == seg)
+        view = live.where(F.col("c_mktsegment") == seg) if stored is None else of_segment(stored, seg)
         wh.views[("Live", name)] = view
         if fresh:
             wh.tables[("Dimension", name)] = spark.createDataFrame([], view.schema)
             wh.specs[("Dimension", name)] = TableSpec(name, CUSTOMER_KEYS)
             wh.tables[("Other", name)] = spark.createDataFrame([], view.schema)
-    sn = live_segment_nation(spark, sf_dir, cutoff)
+    sn = live_segment_nation(live)
     wh.views[("Live", "SegmentNation")] = sn
     if fresh:
         wh.tables[("Fact", "SegmentNation")] = spark.createDataFrame([], sn.schema)
@@ -333,15 +359,16 @@ def stored_gold(spark: SparkSession, sf_dir: str, cutoff: _dt.datetime, root: st
     from tidemark.sources.warehouse import ParquetWarehouse
     from tidemark.spec import TableSpec
 
-    live = live_customers(spark, sf_dir, cutoff)
-    sn = live_segment_nation(spark, sf_dir, cutoff)
+    stored = stored_live(spark, sf_dir, cutoff, root)
+    live = stored.drop("_part")
+    sn = live_segment_nation(live)
     names = {seg: "Customer_" + schema_name(seg) for seg in segments(spark, sf_dir)}
     if wh is None:
         specs = {("Dimension", n): (TableSpec(n, CUSTOMER_KEYS), live.schema) for n in names.values()}
         specs[("Fact", "SegmentNation")] = (TableSpec("SegmentNation", ("c_mktsegment",)), sn.schema)
         wh = ParquetWarehouse(spark, f"{root}/gold", specs, buckets=4)
     for seg, name in names.items():
-        view = live.where(F.col("c_mktsegment") == seg)
+        view = of_segment(stored, seg)
         wh.views[("Live", name)] = lambda _, v=view: v
     wh.views[("Live", "SegmentNation")] = lambda _: sn
     return wh
