@@ -117,3 +117,48 @@ def test_a_word_is_remembered_once_whatever_its_case_and_punctuation():
     known.of([b"Word, word. WORD; word", "É word,".encode()])
     assert set(known.known) == {b"word", b",", b".", b";", "É".encode()}
     assert packing.REMEMBERED <= 300_000
+
+
+def test_letters_beyond_ascii_are_parted_from_punctuation_and_pass_the_plain_model(monkeypatch, tokenizer):
+    known = packing.WordIds(PATH)
+    texts = [b"", "\u00e9lan, \u00c9lan. na\u00efve; word".encode(), None, "\u00e9lan! na\u00efve".encode()]
+    want = [np.array(tokenizer.encode((t or b"").decode()).ids, "<u4").tobytes() for t in texts]
+    sent, whole = [], known.tokenizer
+
+    class Seen:
+        def encode_batch_fast(self, words, **options):
+            sent.extend(words)
+            return whole.encode_batch_fast(words, **options)
+
+    monkeypatch.setattr(known, "tokenizer", Seen())
+    assert known.of(texts) == want
+    assert sorted(sent) == ["!", ",", ".", ";"]
+    assert sorted(w.decode() for w in known.known) == ["!", ",", ".", ";", "na\u00efve", "word", "\u00c9lan", "\u00e9lan"]
+
+
+def test_words_used_of_late_stay_in_a_full_memory(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 4)
+    known = packing.WordIds(PATH)
+    for k in range(6):
+        known.of([b"often word%s" % (b"abcdef"[k : k + 1] * 3)])
+    assert set(known.known) == {b"often", b"wordddd", b"wordeee", b"wordfff"}
+
+
+def test_characters_and_edges_of_many_kinds(tokenizer):
+    known = packing.WordIds(PATH)
+    points = [*range(0x600), *range(0x1E00, 0x2160), *range(0x3000, 0x3100), *range(0xFB00, 0xFB10), 0x1F600]
+    texts = [f"{x} a{x} A{x}b, B{x}. {x}, {x}.. \u00e9{x},\u00c9{x}H! 1{x}; <|{x}" for x in map(chr, points)]
+    texts += ["a\u0130, b", "3\u00d7. 3\u00f7,", "\u212aelvin", "x\u0301, A\u0301.", "", " \t\r\n\x0b\f", "\x1c", "it's. 'S, don't!"]
+    for t, got in zip(texts, known.of([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    for odd in (b"a\xff, b\xc3. \x80,\xe2\x82", b"\xa9, \xc3"):
+        want = tokenizer.encode(odd.decode("utf-8", "replace"), add_special_tokens=False).ids
+        assert np.frombuffer(known.of([odd])[0], "<u4").tolist() == want
+    assert known.of([]) == [] and known.of([None, b" "]) == [b"", b""]
+
+
+def test_slices_of_a_batch_keep_their_rows(spark, docs, tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "SLICE", 100)
+    monkeypatch.setattr(packing, "ROWS", 3)
+    parts = packing.pieces(docs.coalesce(1), PATH, capacity=64)
+    check_packed(packing.pack(parts, 64).collect(), docs.select("doc_id", "text").collect(), tokenizer, 64)

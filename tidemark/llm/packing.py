@@ -22,12 +22,13 @@ import math
 import os
 import re
 import zlib
-from collections.abc import Iterator
-from itertools import chain, islice
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ from tidemark.llm.common import cut
 
 CAPACITY = 4096
 END = 1
-#: Words a Python worker remembers the ids of (about 200 bytes each); beyond it, the older half is dropped.
+#: Words a Python worker remembers the ids of (about 50 bytes each); beyond it, those not used the longest are dropped.
 REMEMBERED = 300_000
 #: Runs of letters that are encoded as one text.
 RUNS = 256
@@ -45,9 +46,20 @@ ROWS = 1024
 SLICE = 2_000_000
 #: Steps that are broadcast; more of them are joined by shuffle.
 STEPS_SENT = 200_000
+#: Latin letters without İ (whose lower case is not a letter alone): of the tokenizer's rules, lower-casing alone
+#: touches a run of them.
+RUN = "^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+$"
+
+SPACE = b" \t\n\x0b\f\r"
 PUNCTUATION = b".,!$%&*#|?;:"
-#: Punctuation between a letter or digit and the word's end.
-TAIL = re.compile(rb"(?<=[0-9a-z])[%s]+(?!\S)" % re.escape(PUNCTUATION))
+LOWER = bytes(32 if k in SPACE else k + 32 if 65 <= k <= 90 else k for k in range(256))
+#: A part begins where what the byte before may end meets what the byte may begin: 1 a word, 2 the punctuation after
+#: a letter or digit (a byte from 0x80 on ends a letter, but in the words that ``ODD`` finds).
+BEFORE = bytes(1 if k in SPACE else 2 * (chr(k).isalnum() if k < 128 else k < 192) for k in range(256))
+AFTER = bytes(0 if k in SPACE else 3 if k in PUNCTUATION else 1 for k in range(256))
+#: Bytes that begin other characters than ASCII and U+00C0 to U+027F, which are letters but for × and ÷.
+ODD = bytes(k == 0xC2 or k > 0xC9 for k in range(256))
+ODD_PAIRS = (b"<|", "×".encode(), "÷".encode(), "İ".encode())
 
 
 class WordIds:
@@ -55,9 +67,11 @@ class WordIds:
 
     The tokenizer never joins characters across a space, so words can be
     looked up one by one. It lower-cases, and it parts punctuation from a
-    letter or digit before it, so words are taken lower-cased and apart from
-    the punctuation at their end. A word that may hold a special token's
-    string is left to the tokenizer as it is.
+    letter or digit before it, so words are taken with ASCII lower-cased and
+    cut before such punctuation. A word that may hold a special token's
+    string, or characters beyond the Latin letters, is left to the tokenizer
+    as it is. Slices of many texts are parted and looked up as arrays; only
+    new words are Python objects.
     """
 
     def __init__(self, path: str):
@@ -65,11 +79,12 @@ class WordIds:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # lower-case ASCII letters between spaces: nothing to normalise, to part or to map to bytes
+        # runs of lower-case letters between spaces: nothing to normalise or to part
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
-        self.known: dict[bytes, bytes] = {}
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), letters])
+        self.words = self.ids = pa.array([], pa.large_binary())  # those used last come first
         vocab = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.closes[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
@@ -88,57 +103,94 @@ class WordIds:
             kept[path] = cls(path)
         return kept[path]
 
+    @property
+    def known(self) -> list[bytes]:
+        """The words that are remembered."""
+        return self.words.to_pylist()
+
     @staticmethod
-    def parts(text: bytes) -> list[bytes]:
-        """The words of a text in order, as the parts that are looked up."""
-        if text.isascii() and b"<|" not in text:
-            return TAIL.sub(rb" \g<0>", text.lower()).split()
-        found: list[bytes] = []
-        for word in text.split():
-            if b"<|" in word:
-                found.append(word)
-                continue
-            if word.isascii():
-                word = word.lower()
-            stem = word.rstrip(PUNCTUATION)
-            found += (stem, word[len(stem) :]) if stem and stem != word and stem[-1:].isalnum() else (word,)
-        return found
-
-    def learn(self, words: set[bytes]) -> None:
-        """Remember the ids of ``words``; unknown ones go to the tokenizer together."""
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:  # the older half goes
-            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
-            new = words.difference(self.known)
-        self.encode(list(new))
-
-    def encode(self, words: list[bytes]) -> None:
-        """Remember the ids of new words.
-
-        Runs of lower-case ASCII letters go to the model in texts of many: it
-        parts none of them, and every run ends with a token that closes it, so
-        as many closing tokens as runs tell the ids of each.
+    def parts(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """The parts of all texts that are looked up, in order, and how many lie before each text and in all.
+
+        ``texts`` are UTF-8.
         """
-        runs = [w for w in words if w.isalpha() and w.islower()]  # of bytes: ASCII letters alone
-        joined = [b" ".join(runs[k : k + RUNS]).decode() for k in range(0, len(runs), RUNS)]
+        raw = b" %s " % b" ".join(texts)
+        data, before, after = (np.frombuffer(raw.translate(t), np.uint8) for t in (LOWER, BEFORE, AFTER))
+        edge = before[:-1] & after[1:]
+        at = np.flatnonzero(edge) + 1
+        odd = np.zeros(0, np.int64) if raw.isascii() else np.flatnonzero(np.frombuffer(raw.translate(ODD), bool))
+        for pair in ODD_PAIRS:
+            if pair in raw:
+                odd = np.append(odd, [m.start() for m in re.finditer(re.escape(pair), raw)])
+        if len(odd):  # their words stay whole and as they are
+            begins = at[edge[at - 1] == 1]
+            ends = np.flatnonzero(after[:-1] & before[1:] & 1) + 1
+            k = np.unique(np.searchsorted(begins, odd, "right") - 1)
+            inside = np.zeros(len(raw), np.int8)
+            inside[begins[k]], inside[ends[k]] = 1, -1
+            inside = np.cumsum(inside, dtype=np.int8).view(bool)
+            data = np.where(inside, np.frombuffer(raw, np.uint8), data)
+            at = at[(edge[at - 1] == 1) | ~inside[at]]
+        solid = (after & 1).view(bool)
+        sizes = np.cumsum(solid, dtype=np.uint32)  # a batch of Spark's has less than 2 GB
+        offsets = np.append(sizes[at - 1], sizes[-1]).astype(np.int64)
+        bounds = [None, pa.py_buffer(offsets), pa.py_buffer(data[solid])]
+        starts = np.cumsum([1, *[len(t) + 1 for t in texts]])
+        return pa.Array.from_buffers(pa.large_binary(), len(at), bounds), np.searchsorted(at, starts)
+
+    def learn(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct ``words``, which are remembered; unknown ones go to the tokenizer together."""
+        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
+        new, unused = at < 0, np.ones(len(self.words), bool)
+        unused[at[~new]] = False
+        ids = pa.concat_arrays([self.ids, self.encode(words.filter(pa.array(new)))])
+        ids = ids.take(pa.array(np.where(new, len(self.ids) + np.cumsum(new) - 1, at)))
+        unused = pa.array(unused)
+        self.words = pa.concat_arrays([words, self.words.filter(unused)]).slice(0, REMEMBERED)
+        self.ids = pa.concat_arrays([ids, self.ids.filter(unused)]).slice(0, REMEMBERED)
+        return ids
+
+    def encode(self, words: pa.Array) -> pa.Array:
+        """The ids of new words.
+
+        Runs of Latin letters go to the model lower-cased, in texts of many:
+        it parts none of them, and every run ends with a token that closes it,
+        so as many closing tokens as runs tell the ids of each.
+        """
+        letters = pc.match_substring_regex(words.cast(pa.large_string()), RUN)
+        runs = words.filter(letters).to_pylist()
+        joined = [b" ".join(runs[k : k + RUNS]).decode().lower() for k in range(0, len(runs), RUNS)]
         found = self.plain.encode_batch_fast(joined, add_special_tokens=False)
         ids = np.concatenate([np.zeros(0, dtype="<u4"), *[np.array(e.ids, dtype="<u4") for e in found]])
         ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) == len(runs):
-            blob, ends = ids.tobytes(), (4 * ends).tolist()
-            self.known.update(zip(runs, map(lambda a, b: blob[a:b], [0, *ends], ends)))
-        words = [w for w in words if w not in self.known]
-        got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(words, got))
+        if len(ends) != len(runs):
+            letters, ids, ends = pa.array(np.zeros(len(words), bool)), ids[:0], ends[:0]
+        offsets = np.append([0], 4 * ends)
+        plain = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+        others = [w.decode() for w in words.filter(pc.invert(letters)).to_pylist()]
+        got = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        rest = pa.array([np.array(e.ids, dtype="<u4").tobytes() for e in got], pa.large_binary())
+        order = np.argsort(~letters.to_numpy(zero_copy_only=False), kind="stable")
+        return pa.concat_arrays([plain, rest]).take(pa.array(np.argsort(order)))
 
     def of(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text."""
-        words = [self.parts(t or b"") for t in texts]
-        self.learn(set(chain.from_iterable(words)))
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+        parts, first = self.parts([_utf8(t or b"") for t in texts])
+        if not len(parts):
+            return [b""] * len(texts)
+        coded = parts.dictionary_encode()
+        _, offsets, ids = self.learn(coded.dictionary).take(coded.indices).buffers()
+        ends = np.frombuffer(offsets, np.int64)[first].tolist()
+        ids = memoryview(ids or b"")
+        return [bytes(ids[a:b]) for a, b in zip(ends, ends[1:])]
+
+
+def _utf8(text: bytes) -> bytes:
+    """The text, with U+FFFD for bytes that are not UTF-8."""
+    return text if text.isascii() else text.decode("utf-8", "replace").encode()
 
 
-def _slices(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
+def _slices(texts: Iterable[bytes | None]) -> Iterator[list[bytes | None]]:
     """The texts in order, about ``SLICE`` bytes at once."""
     held, size = [], 0
     for t in texts:
@@ -158,17 +210,20 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordIds.of_worker(tokenizer)
-        for b in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
-            rows: list[tuple] = []
-            for i, blob in enumerate(chain.from_iterable(map(known.of, _slices(b.column(1).to_pylist())))):
-                blob += end
-                for k, at in enumerate(range(0, len(blob), 4 * capacity)):
-                    part = blob[at : at + 4 * capacity]
-                    rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part), *[part] * ids))
-            cols = list(zip(*rows)) or [()] * (5 + ids)
-            out = [b.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32())]
-            out += [pa.array(c, pa.int64()) for c in cols[2:5]] + [pa.array(c, pa.binary()) for c in cols[5:]]
-            yield pa.record_batch(out, names=names)
+        for b in batches:
+            lists, done = (b.column(1).slice(k, ROWS).to_pylist() for k in range(0, b.num_rows, ROWS)), 0
+            for texts in _slices(chain.from_iterable(lists)):
+                rows: list[tuple] = []
+                for i, blob in enumerate(known.of(texts), done):
+                    blob += end
+                    for k, at in enumerate(range(0, len(blob), 4 * capacity)):
+                        part = blob[at : at + 4 * capacity]
+                        rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part), *[part] * ids))
+                done += len(texts)
+                cols = list(zip(*rows))
+                out = [b.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32())]
+                out += [pa.array(c, pa.int64()) for c in cols[2:5]] + [pa.array(c, pa.binary()) for c in cols[5:]]
+                yield pa.record_batch(out, names=names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids
