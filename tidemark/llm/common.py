@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def by_batch(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for ``mapInArrow``, one batch after another.
+
+    After each, memory that Arrow's pool holds unused goes back to the
+    system: Python workers outlive their tasks, beside the next stage's JVM.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield from run([b])
+            del b
+            pa.default_memory_pool().release_unused()
+        pa.default_memory_pool().release_unused()  # the last batch was still held by its reader
+
+    return each
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value``, which is evaluated once however often it is used."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

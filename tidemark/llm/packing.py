@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import by_batch, cut
 
 CAPACITY = 4096
 END = 1
@@ -140,12 +140,13 @@ class WordIds:
 
     def learn(self, words: pa.Array) -> pa.Array:
         """The ids of distinct ``words``, which are remembered; unknown ones go to the tokenizer together."""
-        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
-        new, unused = at < 0, np.ones(len(self.words), bool)
-        unused[at[~new]] = False
+        used = pc.index_in(self.words, value_set=words)  # hashes the fewer: the slice's words
+        unused = used.is_null()
+        at = np.full(len(words), -1)
+        at[used.drop_null().to_numpy()] = np.flatnonzero(~unused.to_numpy(zero_copy_only=False))
+        new = at < 0
         ids = pa.concat_arrays([self.ids, self.encode(words.filter(pa.array(new)))])
         ids = ids.take(pa.array(np.where(new, len(self.ids) + np.cumsum(new) - 1, at)))
-        unused = pa.array(unused)
         self.words = pa.concat_arrays([words, self.words.filter(unused)]).slice(0, REMEMBERED)
         self.ids = pa.concat_arrays([ids, self.ids.filter(unused)]).slice(0, REMEMBERED)
         return ids
@@ -208,7 +209,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
     end = np.array([END], dtype="<u4").tobytes()
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * ids]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordIds.of_worker(tokenizer)
         for b in batches:
             lists, done = (b.column(1).slice(k, ROWS).to_pylist() for k in range(0, b.num_rows, ROWS)), 0
@@ -227,7 +228,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(by_batch(run), schema)
 
 
 class Tightest:

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import by_batch, cut
 from tidemark.llm.components import components
 
 SEED = 42
@@ -43,6 +43,8 @@ SAMPLE = 65_536
 SHARD_ROWS = 4096
 LEAF = 768
 BLOCK = 1 << 16
+#: Texts of a batch that are Python objects at once.
+ROWS = 1024
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -70,15 +72,16 @@ def fingerprints(docs: DataFrame, shingle: int, text: str = "text", carried: dic
     carried = carried or {}
     names = ["doc_id", "fp", *carried]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype="<u8").view("<i8")
+            texts = itertools.chain.from_iterable(b.column(1).slice(k, ROWS).to_pylist() for k in range(0, b.num_rows, ROWS))
+            fps = np.array([fingerprint(t, shingle) for t in texts], dtype="<u8").view("<i8")
             yield pa.record_batch([b.column(0), pa.array(fps), *b.columns[2:]], names=names)
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"), *[c.alias(k) for k, c in carried.items()]
     )
-    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return rows.mapInArrow(by_batch(run), ", ".join(f"{c} long" for c in names))
 
 
 # -- the tree ---------------------------------------------------------------
