@@ -2,9 +2,11 @@
 
 import weakref
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import tokenizers
 
 from tidemark.llm import common, packing, simhash
 
@@ -126,3 +128,23 @@ def test_known_words_are_not_hashed_for_each_slice(monkeypatch):
     assert got[0].as_py() == b"0007" and got[2].as_py() == b"0003"
     assert known.known[:5] == [b"remembered7", b"new", b"remembered3", b"remembered0", b"remembered1"]
     assert len(known.words) == len(known.ids) == 1001
+
+
+def test_the_tokenizer_is_read_once(monkeypatch):
+    """Both ways of a word to its ids share one model in memory."""
+    path, made, read = public_tokenizers.path("word_bpe_49k.json"), tokenizers.Tokenizer, []
+
+    class Counted:
+        def __new__(cls, model):
+            return made(model)
+
+        @staticmethod
+        def from_file(path):
+            read.append(path)
+            return made.from_file(path)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    known = packing.WordIds(path)
+    assert read == [path]
+    text = "Plain wordsandwords of Größe, then 日本 x<|endoftext|>y and 12.5%!"
+    assert np.frombuffer(known.of([text.encode()])[0], "<u4").tolist() == made.from_file(path).encode(text, add_special_tokens=False).ids

@@ -76,12 +76,11 @@ class WordIds:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # runs of lower-case letters between spaces: nothing to normalise or to part
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
+        # runs of lower-case letters between spaces: nothing to normalise or to part, no special tokens; one model in memory
+        self.plain = Tokenizer(self.tokenizer.model)
         letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), letters])
         self.words = self.ids = pa.array([], pa.large_binary())  # those used last come first
