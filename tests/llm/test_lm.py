@@ -167,3 +167,41 @@ def test_padding_is_bounded(small):
     docs = [np.zeros(20_000, dtype=int), *[np.zeros(2, dtype=int)] * 500]
     x, y, where = lm.lanes(docs, small.inputs - 1)
     assert x.size <= 5 * sum(map(len, docs)) and (y >= 0).sum() == sum(map(len, docs))
+
+
+def test_a_lone_long_document_is_scored_in_large_windows(small, monkeypatch):
+    """The output layer's fixed costs are paid per ``WINDOW * LANES`` ids, not per ``WINDOW`` steps; the scores stay."""
+    net = lm.Network(small, lm.start_parameters(small))
+    doc = np.random.default_rng(4).integers(0, small.n_model + lm.SHAPES, 10_000)
+    x, y, _ = lm.lanes([doc], net.start)
+    want, h = [], np.zeros((1, lm.HIDDEN), dtype=np.float32)
+    for t in range(0, len(x), lm.WINDOW):
+        states, _ = net.forward(x[t : t + lm.WINDOW], h)
+        h = states[-1]
+        want.append(net.output(states[:, 0], y[t : t + lm.WINDOW, 0])[0])
+    calls, output = [], net.output
+    monkeypatch.setattr(net, "output", lambda s, *a: calls.append(len(s)) or output(s, *a))
+    assert net.score(x, y)[:, 0] == pytest.approx(np.concatenate(want), rel=1e-4, abs=1e-5)
+    assert calls == [lm.WINDOW * lm.LANES, 10_000 - lm.WINDOW * lm.LANES]
+
+
+def test_softmax_and_sums_by_id_against_plain_numpy():
+    rng = np.random.default_rng(5)
+    for scale in (1, 200):  # within and beyond the range of exp
+        rows = [(scale * rng.standard_normal(w)).astype(np.float32) for w in (3, 1, 7, 7, 2)]
+        own, width = np.array([2, 0, 5, 0, 1]), np.array([len(r) for r in rows])
+        want = [r.astype(float)[o] - np.logaddexp.reduce(r.astype(float)) for r, o in zip(rows, own)]
+        slopes = [np.exp(r.astype(float) - np.logaddexp.reduce(r.astype(float))) - np.eye(len(r))[o] for r, o in zip(rows, own)]
+        e = np.concatenate(rows)
+        assert lm.softmax(e, width, np.cumsum(width) - width + own, True) == pytest.approx(want, rel=1e-4, abs=1e-4)
+        assert e == pytest.approx(np.concatenate(slopes), abs=1e-4)
+        e = np.concatenate(rows[2:4])
+        assert lm.softmax(e, 7, np.array([5, 7]), True) == pytest.approx(want[2:4], rel=1e-4, abs=1e-4)
+        assert e == pytest.approx(np.concatenate(slopes[2:4]), abs=1e-4)
+    for ids in ([7], [3] * 40, [*range(50), *[5] * 20, *[8] * 3, 9], [1] * lm.OFTEN + [2] * (lm.OFTEN - 1)):
+        ids = rng.permutation(np.array(ids, dtype=np.uint16))
+        rows = rng.standard_normal((len(ids), 6))
+        at, sums = lm.sums_by_id(ids, rows)
+        assert sorted(at) == sorted(set(ids.tolist()))
+        for i, s in zip(at, sums):
+            assert s == pytest.approx(rows[ids == i].sum(axis=0))

@@ -56,6 +56,8 @@ HIDDEN = 24
 LANES = 256
 WINDOW = 32
 RATE = 0.1
+#: Occurrences of an id in a window from which on its gradients are summed as a product.
+OFTEN = 16
 #: Tokens that are laid side by side at once, at most (a longer document alone).
 CHUNK = 2_000_000
 #: Bytes of text that are split at once (a longer text alone).
@@ -228,16 +230,48 @@ def unflat(x: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return out
 
 
-def exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp of the logits and its sum per row; the logits are shifted in place."""
-    logits -= logits.max()
-    e = np.exp(logits)
-    total = e @ np.ones(e.shape[1], dtype=e.dtype)
-    if total.min() < 1e-20:  # a row far below the largest
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-    return e, total
+def softmax(e: np.ndarray, width: int | np.ndarray, own: np.ndarray, slopes: bool) -> np.ndarray:
+    """Natural log-probability of each row's own entry, in place.
+
+    ``e`` holds logits, row after row, ``width`` in each (one number, or one per
+    row); ``own`` says where each row's own lies. With ``slopes``, ``e`` becomes
+    the negative log-probability's gradient.
+    """
+    even = isinstance(width, int)
+    starts = None if even else np.cumsum(width) - width
+    rows = e.reshape(-1, width) if even else e
+    spread = (lambda a: a[:, None]) if even else (lambda a: np.repeat(a, width))
+    if e.min() < -80 or e.max() > 80:  # out of the range of exp
+        rows -= spread(rows.max(axis=1) if even else np.maximum.reduceat(e, starts))
+    logp = e.take(own)
+    np.exp(e, out=e)  # far faster than into another large array
+    total = rows @ np.ones(width, dtype=e.dtype) if even else np.add.reduceat(e, starts)
+    logp -= np.log(total)
+    if slopes:
+        rows *= spread(1 / total)
+        e[own] -= 1
+    return logp
+
+
+def sums_by_id(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, the most frequent first, and the sum of the rows of each."""
+    order = np.argsort(ids, kind="stable")
+    ids = ids.take(order)
+    at = np.flatnonzero(np.diff(ids.astype(np.int64), prepend=-1))
+    n = np.diff(at, append=len(ids))
+    falling = np.argsort(-n, kind="stable")
+    at, n = at.take(falling), n.take(falling)
+    out = np.empty((len(at), rows.shape[1]), dtype=rows.dtype)
+    often = int(np.searchsorted(-n, -OFTEN, side="right"))
+    one = np.ones(n[0], dtype=rows.dtype)
+    for i in range(often):
+        np.dot(one[: n[i]], rows.take(order[at[i] : at[i] + n[i]], axis=0), out=out[i])
+    left, few = at[often:], -n[often:]
+    out[often:] = rows.take(order.take(left), axis=0)
+    for k in range(1, -few[0] if len(few) else 0):  # the k-th row of each that has one
+        more = int(np.searchsorted(few, -k))
+        out[often : often + more] += rows.take(order.take(left[:more] + k), axis=0)
+    return ids.take(at).astype(np.int64), out
 
 
 class Network:
@@ -245,104 +279,108 @@ class Network:
         self.v, self.p = v, {k: x.copy() for k, x in p.items()}
         self.start = v.inputs - 1
         self.n_class = len(v.first) - 1
+        self.group = np.concatenate([v.class_of, self.n_class + np.arange(SHAPES)]).astype(np.int16)  # sorted by radix
         self.sums = {k: np.full(x.shape, 1e-3, dtype=np.float32) for k, x in p.items()}
 
     def forward(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         """States after each step of ids ``x`` (steps, lanes); a start id resets its lane."""
-        n, v = HIDDEN, self.v.inputs
-        by_gate = self.p["E"].reshape(v, 3, n).swapaxes(0, 1).reshape(3 * v, n)
-        pre = by_gate[x[:, None, :] + v * np.arange(3)[:, None]]  # steps, gates, lanes, units: each gate's values lie together
-        u = np.ascontiguousarray(self.p["U"].reshape(n, 3, n).swapaxes(0, 1))
-        keep = (x != self.start).astype(np.float32)[:, :, None]
-        states, before, new = (np.empty((*x.shape, n), dtype=pre.dtype) for _ in range(3))
-        hu, gates = np.empty_like(pre), np.empty_like(pre[:, :2])
-        for t in range(len(x)):
-            h0 = np.multiply(h, keep[t], out=before[t])
-            np.matmul(h0, u, out=hu[t])
-            g = np.add(pre[t, :2], hu[t, :2], out=gates[t])
-            np.negative(g, out=g)
-            np.exp(g, out=g)
-            g += 1
-            np.reciprocal(g, out=g)
-            m = np.multiply(g[1], hu[t, 2], out=new[t])
-            m += pre[t, 2]
-            np.tanh(m, out=m)
-            h = np.subtract(h0, m, out=states[t])
-            h *= g[0]
-            h += m
-        return states, (before, hu[:, 2], gates, new)
+        n, e, u = HIDDEN, self.p["E"], self.p["U"]
+        rows, at = (e, x) if x.size > len(e) else (e.take(x.ravel(), axis=0), np.arange(x.size).reshape(x.shape))
+        # each gate's values lie together; with both gates negated and the new state doubled, exp is all they need
+        by_gate = np.concatenate([-rows[:, :n], -rows[:, n : 2 * n]])
+        gates = by_gate.take(at[:, None] + np.array([[0], [len(rows)]]), axis=0)  # steps, gates, lanes, units
+        new = (rows[:, 2 * n :] * 2).take(at, axis=0)
+        u_gates, u_new = np.stack([-u[:, :n], -u[:, n : 2 * n]]), u[:, 2 * n :] * 2
+        keep = (x != self.start).astype(e.dtype)[:, :, None]
+        states, before, hu = (np.empty_like(new) for _ in range(3))
+        h, gu, mu = h.astype(e.dtype, copy=False), np.empty_like(gates[0]), np.empty_like(new[0])
+        one, two = np.array(1, e.dtype), np.array(-2, e.dtype)
+        with np.errstate(over="ignore"):  # 1 / inf is 0
+            for h_t, h0, g, m, hu_t, keep_t in zip(states, before, gates, new, hu, keep):
+                np.multiply(h, keep_t, out=h0)
+                g += np.matmul(h0, u_gates, out=gu)
+                np.exp(g, out=g)
+                g += one
+                np.reciprocal(g, out=g)
+                m += np.multiply(g[1], np.dot(h0, u_new, out=hu_t), out=mu)
+                np.exp(m, out=m)  # tanh a = 1 - 2 / (exp 2a + 1)
+                m += one
+                np.divide(two, m, out=m)
+                m += one
+                h = np.subtract(h0, m, out=h_t)
+                h *= g[0]
+                h += m
+        return states, (before, hu, gates, new)
 
     def output(self, states: np.ndarray, target: np.ndarray, grad: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Natural log-probability of each target (the class alone outside the model), and the states' gradient."""
-        v, p = self.v, self.p
-        inside = target < v.n_model
-        k = np.where(inside, v.class_of[np.minimum(target, v.n_model - 1)], self.n_class + target - v.n_model)
-        own = np.arange(len(target)), k
-        logits = states @ p["C"]
-        logits += p["c"]
-        e, total = exponentials(logits)
-        logp = logits[own] - np.log(total)
-        back = None
-        if grad is not None:
-            e *= (1 / total)[:, None]
-            e[own] -= 1
-            grad["C"] = states.T @ e
-            grad["c"] = e.sum(axis=0)
+        v, p, n, learn = self.v, self.p, HIDDEN, grad is not None
+        k = self.group.take(target)
+        order = np.argsort(k, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        k, s = k.take(order), np.ones((len(order), n + 1), dtype=states.dtype)  # by group; the last column meets the biases
+        s[:, :n] = states.take(order, axis=0)
+        e = s @ np.vstack([p["C"], p["c"]])
+        logp, back = softmax(e.ravel(), e.shape[1], np.arange(0, e.size, e.shape[1]) + k, learn), None
+        if learn:
+            g = e.T @ s
+            grad["C"], grad["c"] = g[:, :n].T, g[:, n]
             back = e @ p["C"].T
-            grad["W"], grad["w"] = np.zeros_like(p["W"]), np.zeros_like(p["w"])
-        group = np.where(inside, k, self.n_class).astype(np.int16)  # 16 bits are sorted by radix
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(self.n_class + 1))
-        order = order[: ends[-1]]
-        s, word = states[order], target[order]
-        add, add_back = np.zeros_like(s[:, 0]), np.zeros_like(s)
-        for c in range(self.n_class):
-            at, a, b = slice(ends[c], ends[c + 1]), v.first[c], v.first[c + 1]
-            if at.start == at.stop or b - a == 1:
-                continue
-            lg = s[at] @ p["W"][a:b].T
-            lg += p["w"][a:b]
-            e, total = exponentials(lg)
-            own = np.arange(len(lg)), word[at] - a
-            add[at] = lg[own] - np.log(total)
-            if grad is not None:
-                e *= (1 / total)[:, None]
-                e[own] -= 1
-                grad["W"][a:b] = e.T @ s[at]
-                grad["w"][a:b] = e.sum(axis=0)
-                np.matmul(e, p["W"][a:b], out=add_back[at])
-        logp[order] += add
-        if grad is not None:
-            back[order] += add_back
-        return logp, back
+        # the words of all classes, class after class
+        ends = np.searchsorted(k, np.arange(self.n_class + 1))
+        k = k[: ends[-1]]
+        width = np.diff(v.first)[k]
+        stops = np.cumsum(width)
+        e, w, parts = np.empty(width.sum(), dtype=s.dtype), np.hstack([p["W"], p["w"][:, None]]), []
+        for c in np.flatnonzero(np.diff(ends)):
+            at, of = slice(ends[c], ends[c + 1]), slice(v.first[c], v.first[c + 1])
+            part = e[stops[at.start] - width[at.start] : stops[at.stop - 1]].reshape(at.stop - at.start, -1)
+            parts.append((at, of, np.matmul(s[at], w[of].T, out=part)))
+        if parts:
+            own = stops - width + target.take(order[: len(k)]) - v.first[k]
+            logp[: len(k)] += softmax(e, width, own, learn)
+        if learn:
+            g = np.zeros_like(w)
+            for at, of, part in parts:
+                np.matmul(part.T, s[at], out=g[of])
+                back[at] += part @ p["W"][of]
+            grad["W"], grad["w"] = g[:, :n], g[:, n]
+        return logp.take(place), back.take(place, axis=0) if learn else None
 
     def backward(self, x: np.ndarray, tape: tuple, back: np.ndarray, grad: dict) -> None:
         """Through the window's steps; ``back`` is the output's gradient per state."""
         n, (before, hu, gates, new) = HIDDEN, tape
-        ut = np.ascontiguousarray(self.p["U"].reshape(n, 3, n).transpose(1, 2, 0))
-        z, r, start = gates[:, 0], gates[:, 1], x == self.start
-        by_new = (1 - z) * (1 - new * new)
-        slopes = np.empty((len(x), 3, *new.shape[1:]), dtype=new.dtype)
-        slopes[:, 0] = (before - new) * z * (1 - z)
-        slopes[:, 1] = by_new * hu * r * (1 - r)
-        slopes[:, 2] = by_new * r
-        d, dhu, dh = np.empty_like(new), np.empty_like(slopes), np.zeros_like(back[0])
+        ut, start = np.ascontiguousarray(self.p["U"].T), x == self.start
+        z, r, starts = gates[:, 0], gates[:, 1], start.any(axis=1)
+        rest = 1 - z
+        by_z = before - new
+        by_z *= z
+        by_z *= rest
+        by_new = new * new
+        np.subtract(1, by_new, out=by_new)
+        by_new *= rest
+        by_hu = by_new * r
+        by_r = np.subtract(1, r, out=rest)
+        by_r *= by_hu
+        by_r *= hu
+        by_r *= 0.5  # the tape's products are doubled
+        dhu = np.empty((*x.shape, 3 * n), dtype=new.dtype)
+        d, dh, dz = np.empty_like(new), np.zeros_like(new[0]), np.empty_like(new[0])
         for t in range(len(x) - 1, -1, -1):
-            np.add(dh, back[t], out=d[t])
-            one, two, three = np.matmul(np.multiply(d[t], slopes[t], out=dhu[t]), ut)
-            dh = d[t] * z[t]
-            dh += one
-            dh += two
-            dh += three
-            dh[start[t]] = 0
-        dx = dhu.swapaxes(1, 2).reshape(-1, 3 * n)
-        grad["U"] = before.reshape(-1, n).T @ dx
-        dx[:, 2 * n :] = (d * by_new).reshape(-1, n)
-        ids = x.ravel().astype(np.min_scalar_type(self.v.inputs))
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order].astype(np.int64)
-        at = np.flatnonzero(np.diff(ids, prepend=-1))
-        grad["E"] = (ids[at], np.add.reduceat(dx[order], at, axis=0))
+            dt, all_t = np.add(dh, back[t], out=d[t]), dhu[t]
+            np.multiply(dt, by_z[t], out=all_t[:, :n])
+            np.multiply(dt, by_r[t], out=all_t[:, n : 2 * n])
+            np.multiply(dt, by_hu[t], out=all_t[:, 2 * n :])
+            np.dot(all_t, ut, out=dh)
+            dh += np.multiply(dt, z[t], out=dz)
+            if starts[t]:
+                dh[start[t]] = 0
+        dx = dhu.reshape(-1, 3 * n)
+        grad["U"] = (dx.T @ before.reshape(-1, n)).T
+        by_new *= d
+        dx[:, 2 * n :] = by_new.reshape(-1, n)
+        grad["E"] = sums_by_id(x.ravel().astype(np.min_scalar_type(self.v.inputs)), dx)
 
     def update(self, grad: dict) -> None:
         for k, g in grad.items():
@@ -353,12 +391,15 @@ class Network:
             self.sums[k][rows] = s
             self.p[k][rows] -= RATE * g / np.sqrt(s)
 
-    def windows(self, x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """First step, inputs and targets of each window, without the lanes that have ended."""
+    def windows(self, x: np.ndarray, y: np.ndarray, size: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """First step, inputs and targets of each window, without the lanes that have ended; of ``size`` ids if more steps."""
         busy = (y >= 0).sum(axis=0)  # falling: see lanes()
-        for t in range(0, len(x), WINDOW):
+        t = 0
+        while t < len(x):
             n = int((busy > t).sum())
-            yield t, x[t : t + WINDOW, :n], y[t : t + WINDOW, :n]
+            to = t + max(WINDOW, size // max(1, n))
+            yield t, x[t:to, :n], y[t:to, :n]
+            t = to
 
     def train(self, x: np.ndarray, y: np.ndarray) -> None:
         """One pass over lanes of ids (steps, lanes); a target below 0 is padding."""
@@ -367,24 +408,26 @@ class Network:
             h = h[: xs.shape[1]]
             states, tape = self.forward(xs, h)
             h = states[-1]
-            real = ys >= 0
+            real = np.flatnonzero(ys >= 0)
+            flat_states, targets = states.reshape(-1, HIDDEN), ys.ravel()
             grad: dict = {}
-            if real.all():
-                full = self.output(states.reshape(-1, HIDDEN), ys.ravel(), grad)[1].reshape(states.shape)
+            if len(real) == ys.size:
+                full = self.output(flat_states, targets, grad)[1]
             else:
-                full = np.zeros_like(states)
-                full[real] = self.output(states[real], ys[real], grad)[1]
-            self.backward(xs, tape, full, grad)
+                full = np.zeros_like(flat_states)
+                full[real] = self.output(flat_states.take(real, axis=0), targets.take(real), grad)[1]
+            self.backward(xs, tape, full.reshape(states.shape), grad)
             self.update(grad)
 
     def score(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log-probability of every target (steps, lanes), 0 at padding."""
         h, out = np.zeros((x.shape[1], HIDDEN), dtype=np.float32), np.zeros(x.shape, dtype=np.float32)
-        for t, xs, ys in self.windows(x, y):
+        for t, xs, ys in self.windows(x, y, WINDOW * LANES):
             states, _ = self.forward(xs, h[: xs.shape[1]])
             h = states[-1]
             real = ys >= 0
-            out[t : t + WINDOW, : xs.shape[1]][real] = self.output(states[real], ys[real])[0]
+            at = np.flatnonzero(real)
+            out[t : t + len(xs), : xs.shape[1]][real] = self.output(states.reshape(-1, HIDDEN).take(at, axis=0), ys.ravel().take(at))[0]
         return out
 
 
